@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratecast.session import shuffle_partitions
+from ratecast.session import materialize, shuffle_partitions
 
 MIN_BLOCK = 4096
 
@@ -83,30 +83,50 @@ def running_sums(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
                  idx: str = "idx", block: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sum of each column (and ``cum_n``, the running row count),
     ordered by ``idx`` within ``keys``; equal to ``sum() OVER (ORDER BY idx ROWS
-    UNBOUNDED PRECEDING)`` but never one task for the whole series."""
+    UNBOUNDED PRECEDING)`` but never one task for the whole series.
+
+    Finite values are summed as DECIMAL(38,18), so the block order of the additions
+    cannot change the result; NaN / +inf / -inf are counted apart and restored with
+    IEEE rules (any NaN, or both infinities -> NaN; else the infinity).
+    """
     b = block or MIN_BLOCK
     keys = list(keys)
+    dec = "decimal(38,18)"
     d = df.withColumn("_blk", F.floor(F.col(idx) / F.lit(b)).cast("long"))
-    vals = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
+    parts = {}
+    for c in cols:
+        x = F.col(c).cast("double")
+        bad = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+        parts[c] = {
+            "fin": F.when(x.isNull() | bad, F.lit(0)).otherwise(x).cast(dec),
+            "nan": F.isnan(x).cast("long"),
+            "pinf": (x == F.lit(float("inf"))).cast("long"),
+            "ninf": (x == F.lit(float("-inf"))).cast("long"),
+        }
+    d = d.select("*", *[e.alias(f"_{k}_{c}") for c, ps in parts.items() for k, e in ps.items()])
+    comps = [f"_{k}_{c}" for c, ps in parts.items() for k in ps]
     per_blk = d.groupBy(*keys, "_blk").agg(
-        F.count(F.lit(1)).alias("_bn"), *[F.sum(v).alias(f"_bs_{c}") for c, v in vals.items()])
+        F.count(F.lit(1)).alias("_bn"), *[F.sum(v).alias(f"_b{v}") for v in comps])
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_blk.select(
-        *keys, "_blk",
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cn"),
-        *[F.coalesce(F.sum(f"_bs_{c}").over(before), F.lit(0.0)).alias(f"_cs_{c}") for c in cols])
+        *keys, "_blk", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cn"),
+        *[F.coalesce(F.sum(f"_b{v}").over(before), F.lit(0)).alias(f"_c{v}") for v in comps])
     inblk = Window.partitionBy(*keys, "_blk").orderBy(idx) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_rn", F.count(F.lit(1)).over(inblk))
-    for c, v in vals.items():
-        d = d.withColumn(f"_rs_{c}", F.sum(v).over(inblk))
+    d = d.select("*", F.count(F.lit(1)).over(inblk).alias("_rn"),
+                 *[F.sum(v).over(inblk).alias(f"_r{v}") for v in comps])
     # the block table is (#keys x n/B) rows; AQE broadcasts it when it is small and
     # falls back to a shuffle join otherwise
     out = d.join(carry, [*keys, "_blk"])
     out = out.withColumn(f"{prefix}n", F.col("_rn") + F.col("_cn"))
     for c in cols:
-        out = out.withColumn(f"{prefix}{c}", F.col(f"_rs_{c}") + F.col(f"_cs_{c}"))
-    drop = ["_blk", "_rn", "_cn"] + [f"_rs_{c}" for c in cols] + [f"_cs_{c}" for c in cols]
+        tot = {k: F.col(f"_r_{k}_{c}") + F.col(f"_c_{k}_{c}") for k in ("fin", "nan", "pinf", "ninf")}
+        val = (F.when((tot["nan"] > 0) | ((tot["pinf"] > 0) & (tot["ninf"] > 0)), F.lit(float("nan")))
+               .when(tot["pinf"] > 0, F.lit(float("inf")))
+               .when(tot["ninf"] > 0, F.lit(float("-inf")))
+               .otherwise(tot["fin"].cast("double")))
+        out = out.withColumn(f"{prefix}{c}", val)
+    drop = ["_blk", "_rn", "_cn"] + comps + [f"_r{v}" for v in comps] + [f"_c{v}" for v in comps]
     return out.drop(*drop)
 
 
@@ -168,9 +188,15 @@ def range_scan(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
     spark = df.sparkSession
     p = partitions or shuffle_partitions(spark)
     rp = df.repartitionByRange(p, *[F.col(c).asc_nulls_first() for c in keys + order])
+    schema = T.StructType(list(df.schema.fields) + [T.StructField("_lpos", T.LongType())] + [
+        T.StructField(f"_lprev_{c}", df.schema[c].dataType) for c in carry])
+    local = (rp.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys + order])
+             .mapInPandas(_local_scan_fn(keys, carry), schema)
+             .withColumn("_pid", F.spark_partition_id()))
+    # range bounds are sampled per execution: compute the partitioned scan once
+    local = materialize(local)
     # per (range partition, key): row count and last carry values -- at most p + #keys rows
-    summ = (rp.select(F.spark_partition_id().alias("_pid"), *keys, *order, *carry)
-            .groupBy("_pid", *keys)
+    summ = (local.groupBy("_pid", *keys)
             .agg(F.count(F.lit(1)).alias("_cnt"),
                  F.max(F.struct(*order, *[F.col(c).alias(f"_c_{c}") for c in carry])).alias("_last")))
     prev_parts = Window.partitionBy(*keys).orderBy("_pid")
@@ -179,12 +205,6 @@ def range_scan(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
         F.coalesce(F.sum("_cnt").over(prev_parts.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
         *[F.lag(F.col(f"_last._c_{c}")).over(prev_parts).alias(f"_carry_{c}") for c in carry])
-
-    schema = T.StructType(list(df.schema.fields) + [T.StructField("_lpos", T.LongType())] + [
-        T.StructField(f"_lprev_{c}", df.schema[c].dataType) for c in carry])
-    local = (rp.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys + order])
-             .mapInPandas(_local_scan_fn(keys, carry), schema)
-             .withColumn("_pid", F.spark_partition_id()))
     if not keys:
         # at most p rows: a proven bound, so broadcast
         joined = local.join(F.broadcast(carry_tbl), ["_pid"])
@@ -218,7 +238,7 @@ def _value_ranks(df: DataFrame, col: str, keys: list[str], partitions: int | Non
     p_n = partitions or shuffle_partitions(spark)
     vc = (df.where(F.col(col).isNotNull())
           .groupBy(*keys, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_w")))
-    rp = vc.repartitionByRange(p_n, *keys, "_v").withColumn("_pid", F.spark_partition_id())
+    rp = materialize(vc.repartitionByRange(p_n, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
     part = rp.groupBy(*keys, "_pid").agg(F.sum("_w").alias("_pw"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
     part = part.select(*keys, "_pid", "_pw",
@@ -231,7 +251,8 @@ def _value_ranks(df: DataFrame, col: str, keys: list[str], partitions: int | Non
 def _values_at(rp: DataFrame, part: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
     """``ranks`` (keys.., tags.., _r) -> same rows with ``_x``, the value at rank _r.
     Only the range partitions holding a target rank are sorted."""
-    hit = ranks.join(part, keys, "inner").where(
+    # both sides are tiny (target ranks x range partitions)
+    hit = (ranks.join(part, keys, "inner") if keys else ranks.crossJoin(F.broadcast(part))).where(
         (F.col("_r") >= F.col("_poff")) & (F.col("_r") < F.col("_poff") + F.col("_pw")))
     pids = hit.select(*keys, "_pid").distinct()
     sel = rp.join(F.broadcast(pids) if not keys else pids, [*keys, "_pid"])

@@ -123,3 +123,662 @@ FROM pr GROUP BY model""")
 def q_metric_summary(spark, d):
     """E6 over the hourly replay."""
     return EV.metric_summary(RP.replay_predictions(events(spark, d), freq="1 hour"))
+
+
+# ================================================================ shared SQL pieces
+S_MIN = Q.series_cte()
+S_HOUR = Q.series_cte(Q.HOUR)
+GAPS_SQL = """g AS (SELECT event_id, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (ORDER BY ts, event_id) AS gap_us
+                    FROM events WHERE ts IS NOT NULL)"""
+CAL_SQL = """CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
+             CAST(isodow(ts) >= 6 AS INTEGER) AS is_weekend"""
+ROLL_SQL = """CASE WHEN count(*) OVER w = 1440 THEN avg(CAST(txn_count AS DOUBLE)) OVER w END AS rolling_mean,
+              CASE WHEN count(*) OVER w = 1440 THEN stddev_samp(CAST(txn_count AS DOUBLE)) OVER w END AS rolling_std"""
+ROLL_W = "WINDOW w AS (ORDER BY idx ROWS BETWEEN 1439 PRECEDING AND CURRENT ROW)"
+HOURLY_SQL = """h AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, avg(txn_count) AS mean, stddev_samp(txn_count) AS std,
+                       CAST(min(txn_count) AS DOUBLE) AS min, CAST(max(txn_count) AS DOUBLE) AS max FROM s GROUP BY 1)"""
+WEEKDAY_SQL = """dn AS (SELECT * FROM (VALUES (0, 'Monday'), (1, 'Tuesday'), (2, 'Wednesday'), (3, 'Thursday'),
+                        (4, 'Friday'), (5, 'Saturday'), (6, 'Sunday')) t(day_of_week, day_name)),
+wa AS (SELECT dayname(ts) AS day_name, avg(txn_count) AS mean, stddev_samp(txn_count) AS std FROM s GROUP BY 1),
+wd AS (SELECT CAST(dn.day_of_week AS INTEGER) AS day_of_week, dn.day_name, wa.mean, wa.std
+       FROM dn LEFT JOIN wa USING (day_name))"""
+ACF_SQL = """mu AS (SELECT avg(CAST(txn_count AS DOUBLE)) AS m, count(*) AS n FROM s),
+cx AS (SELECT idx, txn_count - m AS x FROM s, mu),
+den AS (SELECT sum(x * x) AS d FROM cx),
+lg AS (SELECT CAST(unnest({lags}) AS INTEGER) AS lag),
+ac AS (SELECT lag, sum(a.x * b.x) / (SELECT d FROM den) AS acf
+       FROM lg JOIN cx a ON TRUE JOIN cx b ON b.idx = a.idx - lg.lag, mu WHERE lg.lag < mu.n GROUP BY lag)"""
+KEY_LAGS_SQL = "[1, 5, 10, 15, 30, 60, 120, 1440]"
+ALL_LAGS_SQL = "range(0, 101)"
+IQR_SQL = """qq AS (SELECT quantile_cont(txn_count, 0.25) AS q1, quantile_cont(txn_count, 0.75) AS q3 FROM s),
+bb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 3 * (q3 - q1) AS lower_bound, q3 + 3 * (q3 - q1) AS upper_bound FROM qq)"""
+SPLIT80 = "nn AS (SELECT count(*) AS n FROM s), sp AS (SELECT s.*, CASE WHEN idx < floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM s, nn)"
+
+
+def w(body: str, cte: str = S_MIN) -> str:
+    return f"WITH {cte},\n{body}"
+
+
+def minute_replay(spark, d):
+    return RP.replay_predictions(events(spark, d))
+
+
+def hour_replay(spark, d):
+    return RP.replay_predictions(events(spark, d), freq="1 hour")
+
+
+REPLAY_H = Q.replay_cte(Q.HOUR)
+REPLAY_M = Q.replay_cte()
+
+from ratecast.functions import calendar as CA  # noqa: E402
+from ratecast.functions import metrics as MT  # noqa: E402
+from ratecast.operators import patterns as PT  # noqa: E402
+from ratecast.operators import profile as PF  # noqa: E402
+from ratecast.operators import stats as ST  # noqa: E402
+from ratecast.plans import profile_report as PRR  # noqa: E402
+
+
+# ================================================================ 2.E windows
+@query("event_gaps", f"WITH {GAPS_SQL} SELECT * FROM g")
+def q_event_gaps(spark, d):
+    """Gap to the previous event, range-partitioned scan."""
+    return WI.event_gaps(events(spark, d))
+
+
+@query("event_gaps_by_user", """SELECT user_id, event_id, ts,
+       epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_us
+       FROM events WHERE ts IS NOT NULL""")
+def q_event_gaps_by_user(spark, d):
+    """R1 with keys: gap to the same user's previous event."""
+    return WI.event_gaps(events(spark, d), keys=["user_id"])
+
+
+@query("event_gap_stats", f"""WITH {GAPS_SQL}
+SELECT count(gap_us) AS n_gaps, avg(gap_us) / 1e6 AS mean_gap_s, min(gap_us) / 1e6 AS min_gap_s,
+       max(gap_us) / 1e6 AS max_gap_s, quantile_cont(gap_us, 0.5) / 1e6 AS median_gap_s
+FROM g WHERE gap_us IS NOT NULL""")
+def q_event_gap_stats(spark, d):
+    """R2: mean / median / min / max gap (exact distributed median)."""
+    return WI.event_gap_stats(WI.event_gaps(events(spark, d)))
+
+
+@query("large_gaps", f"WITH {GAPS_SQL} SELECT * FROM g WHERE gap_us > 600000000 ORDER BY ts, event_id LIMIT 5")
+def q_large_gaps(spark, d):
+    """the first 5 gaps longer than 10 minutes (a top-k report)."""
+    return SE.large_gaps(WI.event_gaps(events(spark, d)), 10, n=5, order=("ts", "event_id"))
+
+
+@query("large_gaps_count", f"WITH {GAPS_SQL} SELECT count(*) AS n_large_gaps FROM g WHERE gap_us > 600000000")
+def q_large_gaps_count(spark, d):
+    """how many gaps exceed 10 minutes."""
+    return SE.large_gaps(WI.event_gaps(events(spark, d)), 10).agg(F.count(F.lit(1)).alias("n_large_gaps"))
+
+
+@query("moving_avg_5", w("""m AS (SELECT *, avg(CAST(txn_count AS DOUBLE)) OVER (ORDER BY idx ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS txn_ma_5 FROM s)
+SELECT * FROM m"""))
+def q_moving_avg_5(spark, d):
+    """Trailing 5-row mean, partial at the start."""
+    return WI.moving_average(minute_series(spark, d), rows=5)
+
+
+@query("rolling_mean_std", w(f"r AS (SELECT *, {ROLL_SQL} FROM s {ROLL_W}) SELECT * FROM r"))
+def q_rolling_mean_std(spark, d):
+    """1440-row rolling mean and sample std, null until full."""
+    return WI.rolling_mean_std(minute_series(spark, d))
+
+
+@query("lookback_windows", w("""x AS (SELECT idx, list(CAST(txn_count AS DOUBLE)) OVER (ORDER BY idx ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS x,
+                     CAST(txn_count AS DOUBLE) AS y FROM s)
+SELECT idx, idx - 60 AS row, x, y FROM x WHERE len(x) = 60"""))
+def q_lookback_windows(spark, d):
+    """L=60 input windows with the next value as target."""
+    return WI.lookback_windows(minute_series(spark, d), lookback=60)
+
+
+@query("lookback_windows_multi", w(f"""f AS (SELECT idx, txn_count, {CAL_SQL} FROM s),
+x AS (SELECT idx, flatten(list([CAST(txn_count AS DOUBLE), hour, day_of_week, is_weekend]) OVER (ORDER BY idx ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING)) AS x,
+             count(*) OVER (ORDER BY idx ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS c,
+             CAST(txn_count AS DOUBLE) AS y FROM f)
+SELECT idx, idx - 60 AS row, x, y FROM x WHERE c = 60"""))
+def q_lookback_windows_multi(spark, d):
+    """L=60 x 4 feature windows (flattened row-major for the check)."""
+    feats = CA.add_time_features(minute_series(spark, d))
+    r = WI.lookback_windows_multi(feats, lookback=60)
+    return r.select("idx", "row", F.flatten("x").alias("x"), "y")
+
+
+@query("running_metrics", REPLAY_M + """,
+rm AS (SELECT *, row_number() OVER o AS k,
+       avg(abs(predicted - actual)) OVER o AS a1, sqrt(avg((predicted - actual) * (predicted - actual)) OVER o) AS a2,
+       avg(CASE WHEN actual = 0 AND predicted - actual = 0 THEN 'NaN'::DOUBLE WHEN actual = 0 THEN 'Infinity'::DOUBLE
+                ELSE abs((predicted - actual) / actual) END) OVER o * 100 AS a3
+       FROM pr WINDOW o AS (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT ts, idx, actual, predicted, error, model, CASE WHEN k > 1 THEN a1 END AS running_mae,
+       CASE WHEN k > 1 THEN a2 END AS running_rmse, CASE WHEN k > 1 THEN a3 END AS running_mape FROM rm""")
+def q_running_metrics(spark, d):
+    """Running MAE / RMSE / MAPE over the minute replay (two-level carry)."""
+    return WI.running_metrics(minute_replay(spark, d))
+
+
+@query("recent_values", w("""r AS (SELECT *, coalesce(list(txn_count) OVER (ORDER BY idx ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), []) AS recent_5 FROM s)
+SELECT * FROM r"""))
+def q_recent_values(spark, d):
+    """The last 5 actuals before each minute."""
+    return WI.recent_values(minute_series(spark, d), k=5)
+
+
+@query("last_n_points", REPLAY_M + """
+SELECT *, abs(predicted - actual) AS abs_error FROM pr WHERE idx > (SELECT max(idx) FROM pr) - 50""")
+def q_last_n_points(spark, d):
+    """The last 50 replayed points with their error."""
+    return WI.last_n_points(minute_replay(spark, d), k=50)
+
+
+@query("stability_halves", w(f"""r AS (SELECT *, {ROLL_SQL} FROM s {ROLL_W}),
+nn AS (SELECT count(*) AS n FROM s),
+a AS (SELECT avg(CASE WHEN idx >= 1440 AND idx < floor(n / 2) THEN rolling_mean END) AS first_mean,
+             avg(CASE WHEN idx >= floor(n / 2) THEN rolling_mean END) AS second_mean,
+             avg(CASE WHEN idx >= 1440 AND idx < floor(n / 2) THEN rolling_std END) AS first_std,
+             avg(CASE WHEN idx >= floor(n / 2) THEN rolling_std END) AS second_std FROM r, nn)
+SELECT *, abs(second_mean - first_mean) AS mean_change, abs(second_std - first_std) AS std_change,
+       abs(second_mean - first_mean) / first_mean * 100 AS mean_change_pct,
+       abs(second_std - first_std) / first_std * 100 AS std_change_pct,
+       coalesce(abs(second_mean - first_mean) / first_mean < 0.1 AND abs(second_std - first_std) / first_std < 0.2, false) AS is_stable
+FROM a"""))
+def q_stability_halves(spark, d):
+    """First vs second half of the rolling statistics."""
+    return WI.stability_halves(WI.rolling_mean_std(minute_series(spark, d)))
+
+
+# ================================================================ 2.D remaining
+@query("series_completeness", w("""SELECT CAST((epoch_us(max(ts)) - epoch_us(min(ts))) / 60000000 + 1 AS BIGINT) AS expected_bins,
+       count(*) AS actual_bins,
+       CAST((epoch_us(max(ts)) - epoch_us(min(ts))) / 60000000 + 1 AS BIGINT) - count(*) AS missing_bins FROM s"""))
+def q_series_completeness(spark, d):
+    """Expected vs actual minutes."""
+    return SE.series_completeness(minute_series(spark, d))
+
+
+@query("daily_counts", "SELECT CAST(ts AS DATE) AS date, count(*) AS n_events FROM events WHERE ts IS NOT NULL GROUP BY 1")
+def q_daily_counts(spark, d):
+    """T4: events per calendar date."""
+    return SE.daily_counts(events(spark, d))
+
+
+@query("daily_count_stats", """WITH dc AS (SELECT count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY CAST(ts AS DATE))
+SELECT avg(n) AS mean_per_day, min(n) AS min_per_day, max(n) AS max_per_day, stddev_samp(n) AS std_per_day FROM dc""")
+def q_daily_count_stats(spark, d):
+    """T5: statistics of the daily counts."""
+    return SE.daily_count_stats(events(spark, d))
+
+
+@query("series_stats", w("""SELECT count(*) AS n_bins, avg(txn_count) AS mean, quantile_cont(txn_count, 0.5) AS median,
+       stddev_samp(txn_count) AS std, CAST(min(txn_count) AS DOUBLE) AS min, CAST(max(txn_count) AS DOUBLE) AS max,
+       stddev_samp(txn_count) / avg(txn_count) AS cv FROM s"""))
+def q_series_stats(spark, d):
+    """Mean, median, std, min, max, CV of the minute series."""
+    return SE.series_stats(minute_series(spark, d))
+
+
+@query("zero_bins", w("""SELECT count(*) FILTER (WHERE txn_count = 0) AS zero_bins, count(*) AS n_bins,
+       count(*) FILTER (WHERE txn_count = 0) * 100.0::DOUBLE / count(*) AS zero_pct,
+       count(*) FILTER (WHERE txn_count = 0) > count(*) * 0.05::DOUBLE AS high_zero_share FROM s"""))
+def q_zero_bins(spark, d):
+    """Empty minutes."""
+    return SE.zero_bins(minute_series(spark, d))
+
+
+@query("series_percentiles", w("""q AS (SELECT quantile_cont(txn_count, [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]) AS v FROM s)
+SELECT CAST(unnest([1, 5, 10, 25, 50, 75, 90, 95, 99]) AS INTEGER) AS percentile, unnest(v) AS value FROM q""", S_HOUR))
+def q_series_percentiles(spark, d):
+    """Percentiles of the hourly series."""
+    return SE.series_percentiles(hour_series(spark, d))
+
+
+@query("sort_by_time", """SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_index FROM events""")
+def q_sort_by_time(spark, d):
+    """Global time order with a 0-based position (range-partitioned)."""
+    return SE.sort_by_time(events(spark, d), tiebreak="event_id")
+
+
+@query("split_summary", w(SPLIT80 + """
+SELECT split, count(*) AS n_rows, avg(txn_count) AS mean, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM s) AS share_pct
+FROM sp GROUP BY split"""))
+def q_split_summary(spark, d):
+    """Sizes, shares and means of the 80/20 sides."""
+    return SE.split_summary(PR.temporal_split(minute_series(spark, d), 0.8))
+
+
+PROFILE_SUMMARY_SQL = f"""WITH dd AS (SELECT DISTINCT * FROM events),
+{Q.series_cte(src='dd', count_col='tps')},
+{IQR_SQL.replace('txn_count', 'tps')},
+hh AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, avg(tps) AS mean FROM s GROUP BY 1),
+mu AS (SELECT avg(CAST(tps AS DOUBLE)) AS m, count(*) AS n FROM s),
+cx AS (SELECT idx, tps - m AS x FROM s, mu),
+den AS (SELECT sum(x * x) AS d FROM cx),
+lg AS (SELECT unnest(range(0, 100)) AS lag),
+ac AS (SELECT lag, sum(a.x * b.x) / (SELECT d FROM den) AS acf FROM lg JOIN cx a ON TRUE JOIN cx b ON b.idx = a.idx - lg.lag, mu
+       WHERE lg.lag < mu.n GROUP BY lag)
+SELECT (SELECT count(*) FROM dd) AS total_records, count(*) AS total_minutes, avg(tps) AS mean_tps,
+       stddev_samp(tps) AS std_tps, CAST(min(tps) AS DOUBLE) AS min_tps, CAST(max(tps) AS DOUBLE) AS max_tps,
+       count(*) FILTER (WHERE tps = 0) AS zero_minutes,
+       (SELECT count(*) FILTER (WHERE tps < lower_bound OR tps > upper_bound) * 100.0::DOUBLE / count(*) FROM s, bb) AS outliers_pct,
+       (SELECT CAST(arg_max(hour, (mean, -hour)) AS INTEGER) FROM hh) AS peak_hour,
+       (SELECT CAST(arg_min(hour, (mean, hour)) AS INTEGER) FROM hh) AS low_hour,
+       (SELECT CAST(coalesce(max(lag) FILTER (WHERE abs(acf) > 0.2 AND NOT isnan(acf)), 10) AS BIGINT) FROM ac) AS recommended_lookback
+FROM s"""
+
+
+@query("profile_summary", PROFILE_SUMMARY_SQL)
+def q_profile_summary(spark, d):
+    """The 13-field summary row without the ADF fields."""
+    return PRR.profile_summary(events(spark, d))
+
+
+@query("profile_summary_full")
+def q_profile_summary_full(spark, d):
+    """T11 with the ADF p-value and verdict (rows-only check)."""
+    return PRR.profile_summary(events(spark, d), with_adf=True)
+
+
+# ================================================================ 2.B profile
+TYPE_MAP = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+              WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"""
+
+
+@query("profile_overview", f"""SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name, {TYPE_MAP} AS data_type,
+       (SELECT count(*) FROM orders) AS n_rows FROM information_schema.columns WHERE table_name = 'orders'""")
+def q_profile_overview(spark, d):
+    """Columns, types and row count of orders."""
+    return PF.profile_overview(table(spark, d, "orders"))
+
+
+@query("first_rows", "SELECT * FROM events ORDER BY ts, event_id LIMIT 10")
+def q_first_rows(spark, d):
+    """head(10) in time order."""
+    return PF.first_rows(events(spark, d), 10)
+
+
+@query("last_rows", "SELECT * FROM (SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 10) ORDER BY ts, event_id")
+def q_last_rows(spark, d):
+    """tail(10) in time order."""
+    return PF.last_rows(events(spark, d), 10)
+
+
+@query("random_rows")
+def q_random_rows(spark, d):
+    """10 repeatable pseudo-random events (rows-only check)."""
+    return PF.random_rows(events(spark, d), 10, seed=42)
+
+
+def _describe_sql(tbl: str, cols: list[str]) -> str:
+    parts = [f"""SELECT '{c}' AS column_name, count({c}) AS count, avg(CAST({c} AS DOUBLE)) AS mean,
+       stddev_samp(CAST({c} AS DOUBLE)) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+       quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50,
+       quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75 FROM {tbl}""" for c in cols]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("describe_numeric", _describe_sql("orders", ["o_orderkey", "o_custkey", "o_totalprice"]))
+def q_describe_numeric(spark, d):
+    """P5: describe() of the numeric columns of orders (exact distributed quartiles)."""
+    return PF.describe_numeric(table(spark, d, "orders"))
+
+
+ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("null_counts", "WITH nc AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM orders" for c in ORDERS_COLS)
+    + ") SELECT *, (SELECT sum(null_count) FROM nc) = 0 AS table_has_no_nulls FROM nc")
+def q_null_counts(spark, d):
+    """Nulls per column of orders."""
+    return PF.null_counts(table(spark, d, "orders"))
+
+
+@query("distinct_counts", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM orders" for c in ORDERS_COLS))
+def q_distinct_counts(spark, d):
+    """Distinct values per column of orders."""
+    return PF.distinct_counts(table(spark, d, "orders"))
+
+
+@query("duplicate_count", """SELECT CAST(sum(c - 1) AS BIGINT) AS duplicate_rows, CAST(sum(c) AS BIGINT) AS total_rows
+FROM (SELECT count(*) AS c FROM events GROUP BY user_id, event_type)""")
+def q_duplicate_count(spark, d):
+    """Repeated (user, event type) rows of the log."""
+    return PF.duplicate_count(events(spark, d).select("user_id", "event_type"))
+
+
+@query("duplicate_count_rows", """SELECT CAST(sum(c - 1) AS BIGINT) AS duplicate_rows, CAST(sum(c) AS BIGINT) AS total_rows
+FROM (SELECT count(*) AS c FROM events GROUP BY ALL)""".replace("GROUP BY ALL", "GROUP BY event_id, ts, user_id, event_type, value, props"))
+def q_duplicate_count_rows(spark, d):
+    """P8 on whole rows (the reference's check)."""
+    return PF.duplicate_count(events(spark, d))
+
+
+@query("drop_duplicates", "SELECT DISTINCT user_id, event_type FROM events")
+def q_drop_duplicates(spark, d):
+    """One copy of each (user, event type)."""
+    return PF.drop_duplicates(events(spark, d).select("user_id", "event_type"))
+
+
+@query("time_range", """SELECT min(ts) AS start, max(ts) AS "end",
+       CAST(floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000) AS BIGINT) AS duration_days,
+       CAST(floor(((epoch_us(max(ts)) - epoch_us(min(ts))) % 86400000000) / 3600000000) AS BIGINT) AS duration_hours
+FROM events""")
+def q_time_range(spark, d):
+    """P10: span of the log."""
+    return PF.time_range(events(spark, d))
+
+
+@query("numeric_columns", f"""SELECT CAST(row_number() OVER (ORDER BY ordinal_position) - 1 AS INTEGER) AS ordinal, column_name,
+       {TYPE_MAP} AS data_type FROM information_schema.columns
+WHERE table_name = 'events' AND data_type IN ('BIGINT', 'INTEGER', 'DOUBLE')""")
+def q_numeric_columns(spark, d):
+    """Numeric columns of events."""
+    return PF.numeric_columns_table(events(spark, d))
+
+
+# ================================================================ 2.C filters
+@query("project_columns", w("SELECT ts, txn_count FROM s"))
+def q_project_columns(spark, d):
+    """F1."""
+    return SE.project_columns(minute_series(spark, d), keep=["ts", "txn_count"])
+
+
+@query("weekend_filter", w(f"f AS (SELECT *, {CAL_SQL} FROM s) SELECT * FROM f WHERE is_weekend = 1"))
+def q_weekend_filter(spark, d):
+    """weekend minutes."""
+    return SE.weekend_filter(CA.add_time_features(minute_series(spark, d)))
+
+
+@query("weekday_filter", w(f"f AS (SELECT *, {CAL_SQL} FROM s) SELECT * FROM f WHERE is_weekend = 0"))
+def q_weekday_filter(spark, d):
+    """F3 negated: weekday minutes."""
+    return SE.weekend_filter(CA.add_time_features(minute_series(spark, d)), weekend=False)
+
+
+@query("outlier_filter", w(IQR_SQL + ", o AS (SELECT s.* FROM s, bb WHERE txn_count < lower_bound OR txn_count > upper_bound) SELECT * FROM o"))
+def q_outlier_filter(spark, d):
+    """minutes outside the 3 x IQR bounds."""
+    return ST.iqr_outlier_rows(minute_series(spark, d)).drop("lower_bound", "upper_bound")
+
+
+@query("membership", w("SELECT *, (isodow(ts) - 1) IN (5, 6) AS is_weekend FROM s"))
+def q_membership(spark, d):
+    """day_of_week in (5, 6) as a boolean column."""
+    s = minute_series(spark, d)
+    return s.withColumn("is_weekend", F.weekday("ts").isin(list(CA.WEEKEND_DAYS)))
+
+
+@query("positional_slice", w("SELECT s.* FROM s, (SELECT count(*) AS n FROM s) nn WHERE idx >= 1440 AND idx < floor(n / 2)"))
+def q_positional_slice(spark, d):
+    """rows [1440, n/2)."""
+    s = minute_series(spark, d)
+    n = SE.series_length(s)
+    return SE.attach(s, n).where((F.col("idx") >= 1440) & (F.col("idx") < F.floor(F.col("n") / 2))).drop("n")
+
+
+@query("rename_cast", w("SELECT ts, idx, CAST(txn_count AS DOUBLE) AS txn_count FROM s"))
+def q_rename_cast(spark, d):
+    """float counts."""
+    return SE.rename_cast(minute_series(spark, d))
+
+
+# ================================================================ 2.F scalars
+@query("time_features_calendar", w(f"SELECT *, {CAL_SQL} FROM s"))
+def q_time_features_calendar(spark, d):
+    """Hour, Monday=0 day of week, 0/1 weekend flag."""
+    return CA.add_time_features(minute_series(spark, d))
+
+
+@query("time_features_profile", w("""SELECT ts, idx, txn_count, CAST(hour(ts) AS INTEGER) AS hour,
+       CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week, dayname(ts) AS day_name, CAST(ts AS DATE) AS date,
+       isodow(ts) >= 6 AS is_weekend FROM s"""))
+def q_time_features_profile(spark, d):
+    """C1, C2, C4, C5 and the boolean C3."""
+    return CA.add_time_features(minute_series(spark, d),
+                                ("hour", "day_of_week", "day_name", "date", "is_weekend_bool"))
+
+
+@query("time_features_cyclic", w("""SELECT ts, idx, CAST(txn_count AS DOUBLE) AS txn_count,
+       sin(2 * pi() * hour(ts) / 24) AS hour_sin, cos(2 * pi() * hour(ts) / 24) AS hour_cos,
+       avg(CAST(txn_count AS DOUBLE)) OVER (ORDER BY idx ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS txn_ma_5 FROM s"""))
+def q_time_features_cyclic(spark, d):
+    """C6 + R3: the grid script's feature bundle (hour dropped)."""
+    s = SE.rename_cast(minute_series(spark, d))
+    s = CA.add_time_features(s, ("hour_sin", "hour_cos"))
+    return WI.moving_average(s, "txn_count", 5)
+
+
+@query("abs_error_ape", REPLAY_H + """
+SELECT idx, actual, predicted, abs(predicted - actual) AS abs_error,
+       CASE WHEN actual > 0 THEN abs(predicted - actual) / actual * 100 ELSE 0.0 END AS ape_guarded FROM pr""")
+def q_abs_error_ape(spark, d):
+    """C7, C8 on the hourly replay."""
+    p = hour_replay(spark, d)
+    return p.select("idx", "actual", "predicted", MT.abs_error().alias("abs_error"), MT.ape_guarded().alias("ape_guarded"))
+
+
+@query("round2", w(HOURLY_SQL + " SELECT hour, round_even(mean, 2) AS mean, round_even(std, 2) AS std, round_even(min, 2) AS min, round_even(max, 2) AS max FROM h"))
+def q_round2(spark, d):
+    """Hourly statistics rounded half-to-even to 2 places."""
+    h = PT.hourly_stats(CA.add_time_features(minute_series(spark, d), ("hour",)))
+    return h.select("hour", *[CA.round2(c).alias(c) for c in ("mean", "std", "min", "max")])
+
+
+# ================================================================ 2.G patterns
+def _feats(spark, d):
+    return CA.add_time_features(minute_series(spark, d), ("hour",))
+
+
+@query("hourly_stats", w(HOURLY_SQL + " SELECT * FROM h"))
+def q_hourly_stats(spark, d):
+    """G1."""
+    return PT.hourly_stats(_feats(spark, d))
+
+
+@query("peak_low_hour", w(HOURLY_SQL + """ SELECT CAST(arg_max(hour, (mean, -hour)) AS INTEGER) AS peak_hour, max(mean) AS peak_mean,
+       CAST(arg_min(hour, (mean, hour)) AS INTEGER) AS low_hour, min(mean) AS low_mean FROM h"""))
+def q_peak_low_hour(spark, d):
+    """First hour on ties."""
+    return PT.peak_low_hour(PT.hourly_stats(_feats(spark, d)))
+
+
+@query("hourly_variation", w(HOURLY_SQL + " SELECT max(mean) - min(mean) AS hourly_range, (max(mean) - min(mean)) / avg(mean) * 100 AS hourly_range_pct FROM h"))
+def q_hourly_variation(spark, d):
+    """G3."""
+    return PT.hourly_variation(PT.hourly_stats(_feats(spark, d)))
+
+
+@query("weekday_stats", w(WEEKDAY_SQL + " SELECT * FROM wd"))
+def q_weekday_stats(spark, d):
+    """Monday..Sunday with null rows for absent days."""
+    return PT.weekday_stats(minute_series(spark, d))
+
+
+@query("busiest_quietest_day", w(WEEKDAY_SQL + """ SELECT arg_max(day_name, (mean, -day_of_week)) AS busiest_day,
+       arg_min(day_name, (mean, day_of_week)) AS quietest_day, max(mean) - min(mean) AS weekly_range,
+       (max(mean) - min(mean)) / avg(mean) * 100 AS weekly_range_pct FROM wd WHERE mean IS NOT NULL"""))
+def q_busiest_quietest_day(spark, d):
+    """G5."""
+    return PT.busiest_quietest_day(PT.weekday_stats(minute_series(spark, d)))
+
+
+@query("weekend_vs_weekday", w("""a AS (SELECT avg(CASE WHEN isodow(ts) < 6 THEN txn_count END) AS weekday_mean,
+       avg(CASE WHEN isodow(ts) >= 6 THEN txn_count END) AS weekend_mean FROM s)
+SELECT *, abs(weekend_mean - weekday_mean) AS difference, abs(weekend_mean - weekday_mean) / weekday_mean * 100 AS difference_pct FROM a"""))
+def q_weekend_vs_weekday(spark, d):
+    """G6."""
+    return PT.weekend_vs_weekday(minute_series(spark, d))
+
+
+# ================================================================ 2.H statistics
+@query("acf_key_lags", w(ACF_SQL.format(lags=KEY_LAGS_SQL) + """
+SELECT lag, acf, CASE WHEN lag >= 1440 THEN CAST(lag // 1440 AS VARCHAR) || ' day' WHEN lag >= 60 THEN CAST(lag // 60 AS VARCHAR) || ' hr'
+                      ELSE CAST(lag AS VARCHAR) || ' min' END AS lag_label FROM ac"""))
+def q_acf_key_lags(spark, d):
+    """A1 + C10: ACF at 1, 5, 10, 15, 30, 60, 120, 1440 minutes."""
+    return ST.acf_key_lags(minute_series(spark, d))
+
+
+@query("acf_all_lags", w(ACF_SQL.format(lags=ALL_LAGS_SQL) + " SELECT lag, acf FROM ac"))
+def q_acf_all_lags(spark, d):
+    """A2: ACF for lags 0..100 (halo blocks, partial sums)."""
+    return ST.acf(minute_series(spark, d), range(101))
+
+
+@query("acf_hourly", w(ACF_SQL.format(lags="range(0, 49)") + " SELECT lag, acf FROM ac", S_HOUR))
+def q_acf_hourly(spark, d):
+    """A2 on the hourly series, lags 0..48."""
+    return ST.acf(hour_series(spark, d), range(49))
+
+
+@query("recommended_lookback", w(ACF_SQL.format(lags=ALL_LAGS_SQL) + """,
+r AS (SELECT max(lag) FILTER (WHERE lag < 100 AND abs(acf) > 0.2 AND NOT isnan(acf)) AS r FROM ac)
+SELECT r AS max_significant_lag, r AS lookback_min, r * 2 AS lookback_recommended_max, least(r * 3, 1440) AS lookback_max,
+       coalesce(r, 10) AS recommended_lookback FROM r"""))
+def q_recommended_lookback(spark, d):
+    """A3."""
+    a = ST.acf(minute_series(spark, d), range(101))
+    r = ST.recommended_lookback(a)
+    return r.select(*[F.col(c).cast("int").alias(c) for c in r.columns])
+
+
+@query("iqr_outliers", w(IQR_SQL + """, c AS (SELECT count(*) FILTER (WHERE txn_count < lower_bound OR txn_count > upper_bound) AS n_outliers,
+       count(*) FILTER (WHERE txn_count < lower_bound OR txn_count > upper_bound) * 100.0::DOUBLE / count(*) AS outlier_pct FROM s, bb)
+SELECT * FROM bb, c"""))
+def q_iqr_outliers(spark, d):
+    """A4 at minute grain (degenerate: Q1 = Q3 = 0)."""
+    return ST.iqr_outliers(minute_series(spark, d))
+
+
+@query("iqr_outliers_daily", w(IQR_SQL + """, c AS (SELECT count(*) FILTER (WHERE txn_count < lower_bound OR txn_count > upper_bound) AS n_outliers,
+       count(*) FILTER (WHERE txn_count < lower_bound OR txn_count > upper_bound) * 100.0::DOUBLE / count(*) AS outlier_pct FROM s, bb)
+SELECT * FROM bb, c""", Q.series_cte(86_400_000_000, "lineitem", "l_shipdate")))
+def q_iqr_outliers_daily(spark, d):
+    """A4 on daily lineitem ship dates."""
+    return ST.iqr_outliers(SE.resample_count(table(spark, d, "lineitem"), ts="l_shipdate", freq="1 day"))
+
+
+@query("iqr_outlier_stats", w(IQR_SQL + """ SELECT count(*) AS n_outliers, CAST(min(txn_count) AS DOUBLE) AS min_outlier,
+       CAST(max(txn_count) AS DOUBLE) AS max_outlier, avg(txn_count) AS mean_outlier
+FROM s, bb WHERE txn_count < lower_bound OR txn_count > upper_bound"""))
+def q_iqr_outlier_stats(spark, d):
+    """A5."""
+    return ST.iqr_outlier_stats(minute_series(spark, d))
+
+
+ZSQL = """st AS (SELECT avg(txn_count) AS mu, stddev_pop(txn_count) AS sd FROM s)
+SELECT count(*) FILTER (WHERE sd > 0 AND abs(txn_count - mu) / sd > 3) AS n_outliers,
+       count(*) FILTER (WHERE sd > 0 AND abs(txn_count - mu) / sd > 3) * 100.0::DOUBLE / count(*) AS outlier_pct FROM s, st"""
+
+
+@query("zscore_outliers", w(ZSQL))
+def q_zscore_outliers(spark, d):
+    """A6 at minute grain."""
+    return ST.zscore_outliers(minute_series(spark, d))
+
+
+@query("zscore_outliers_hourly", w(ZSQL, S_HOUR))
+def q_zscore_outliers_hourly(spark, d):
+    """A6 at hour grain."""
+    return ST.zscore_outliers(hour_series(spark, d))
+
+
+SKEW_SQL = """SELECT skewness(txn_count) AS skewness,
+       CASE WHEN abs(skewness(txn_count)) < 0.5 THEN 'symmetric' WHEN skewness(txn_count) > 0 THEN 'right-skewed' ELSE 'left-skewed' END AS skew_class FROM s"""
+KURT_SQL = """SELECT kurtosis(txn_count) AS kurtosis,
+       CASE WHEN abs(kurtosis(txn_count)) < 0.5 THEN 'mesokurtic' WHEN kurtosis(txn_count) > 0 THEN 'leptokurtic' ELSE 'platykurtic' END AS kurtosis_class FROM s"""
+
+
+@query("skewness_class", w(SKEW_SQL))
+def q_skewness_class(spark, d):
+    """A7 (minute)."""
+    return ST.skewness_class(minute_series(spark, d))
+
+
+@query("skewness_class_hourly", w(SKEW_SQL, S_HOUR))
+def q_skewness_class_hourly(spark, d):
+    """A7 (hour)."""
+    return ST.skewness_class(hour_series(spark, d))
+
+
+@query("kurtosis_class", w(KURT_SQL))
+def q_kurtosis_class(spark, d):
+    """A8 (minute)."""
+    return ST.kurtosis_class(minute_series(spark, d))
+
+
+@query("kurtosis_class_hourly", w(KURT_SQL, S_HOUR))
+def q_kurtosis_class_hourly(spark, d):
+    """A8 (hour)."""
+    return ST.kurtosis_class(hour_series(spark, d))
+
+
+JB_SQL = """m AS (SELECT count(*) AS n, avg(txn_count) AS mu FROM s),
+c AS (SELECT avg(power(txn_count - mu, 2)) AS m2, avg(power(txn_count - mu, 3)) AS m3, avg(power(txn_count - mu, 4)) AS m4 FROM s, m),
+j AS (SELECT n, n / 6.0::DOUBLE * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4) AS jarque_bera FROM m, c)
+SELECT n, jarque_bera, exp(-jarque_bera / 2) AS p_value, exp(-jarque_bera / 2) > 0.05 AS is_normal FROM j"""
+
+
+@query("normality_test", w(JB_SQL, S_HOUR))
+def q_normality_test(spark, d):
+    """A9 (re-aimed): Jarque-Bera on the whole hourly series."""
+    return ST.normality_test(hour_series(spark, d))
+
+
+@query("normality_test_minute", w(JB_SQL))
+def q_normality_test_minute(spark, d):
+    """A9 at minute grain."""
+    return ST.normality_test(minute_series(spark, d))
+
+
+@query("adf_test")
+def q_adf_test(spark, d):
+    """A10: ADF with AIC lag choice on the hourly series (rows-only check)."""
+    return ST.adf_test(hour_series(spark, d))
+
+
+@query("adf_test_minute")
+def q_adf_test_minute(spark, d):
+    """A10 on the minute series (rows-only check)."""
+    return ST.adf_test(minute_series(spark, d))
+
+
+@query("adf_lag0", w("""l AS (SELECT CAST(txn_count AS DOUBLE) AS y, CAST(lag(txn_count) OVER (ORDER BY idx) AS DOUBLE) AS ylag FROM s),
+d AS (SELECT ylag, y - ylag AS dy FROM l WHERE ylag IS NOT NULL)
+SELECT regr_count(dy, ylag) AS nobs, regr_slope(dy, ylag) AS slope,
+       regr_slope(dy, ylag) / sqrt((regr_syy(dy, ylag) - regr_sxy(dy, ylag) * regr_sxy(dy, ylag) / regr_sxx(dy, ylag))
+                                   / (regr_count(dy, ylag) - 2) / regr_sxx(dy, ylag)) AS df_statistic FROM d""", S_HOUR))
+def q_adf_lag0(spark, d):
+    """A10 fixed at lag 0: Dickey-Fuller t-statistic from regr_* aggregates."""
+    return ST.adf_lag0(hour_series(spark, d))
+
+
+REC_SQL = w(IQR_SQL + "," + HOURLY_SQL + "," + WEEKDAY_SQL + "," + ACF_SQL.format(lags=ALL_LAGS_SQL) + """,
+x AS (SELECT (SELECT stddev_samp(txn_count) / avg(txn_count) FROM s) AS cv,
+             (SELECT count(*) FILTER (WHERE txn_count < lower_bound OR txn_count > upper_bound) * 100.0::DOUBLE / count(*) FROM s, bb) AS outlier_pct,
+             (SELECT (max(mean) - min(mean)) / avg(mean) FROM h) AS h_ratio,
+             (SELECT (max(mean) - min(mean)) / avg(mean) FROM wd WHERE mean IS NOT NULL) AS d_ratio,
+             (SELECT max(lag) FILTER (WHERE lag < 100 AND abs(acf) > 0.2 AND NOT isnan(acf)) FROM ac) AS r)
+SELECT 1 AS rule_id, 'normalization' AS rule, cv AS metric, NULL::DOUBLE AS metric2, 0.3::DOUBLE AS threshold, coalesce(cv > 0.3, false) AS triggered FROM x
+UNION ALL SELECT 3, 'outlier_handling', outlier_pct, NULL, 2.0, coalesce(outlier_pct > 2, false) FROM x
+UNION ALL SELECT 4, 'feature_engineering', h_ratio, d_ratio, 0.2, coalesce(h_ratio > 0.2 OR d_ratio > 0.1, false) FROM x
+UNION ALL SELECT 5, 'lookback_window', CAST(coalesce(r, 10) AS DOUBLE), CAST(r AS DOUBLE), 0.2, true FROM x
+UNION ALL SELECT 6, 'temporal_split', NULL, NULL, 0.0, true FROM x""").replace(
+    "WITH s_e AS (SELECT epoch_us(ts) AS us FROM events WHERE ts IS NOT NULL)",
+    "WITH dd AS (SELECT DISTINCT * FROM events), s_e AS (SELECT epoch_us(ts) AS us FROM dd WHERE ts IS NOT NULL)")
+
+
+@query("recommendations", REC_SQL)
+def q_recommendations(spark, d):
+    """The rule table without the ADF rule."""
+    return PRR.recommendations(events(spark, d)).withColumn("rule_id", F.col("rule_id").cast("int"))
+
+
+@query("recommendations_full")
+def q_recommendations_full(spark, d):
+    """A11 with the ADF differencing rule (rows-only check)."""
+    return PRR.recommendations(events(spark, d), with_adf=True)

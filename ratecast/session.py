@@ -57,3 +57,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder: the data
+    is computed once, so later branches that read it see identical rows (needed after a
+    sampled range partitioning, whose bounds are not reproducible run to run), and a
+    lost executor does not force the upstream shuffle to be redone."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
