@@ -782,3 +782,373 @@ def q_recommendations(spark, d):
 def q_recommendations_full(spark, d):
     """A11 with the ADF differencing rule (rows-only check)."""
     return PRR.recommendations(events(spark, d), with_adf=True)
+
+
+# ================================================================ 2.I split / scale
+import uuid  # noqa: E402
+
+from ratecast.plans import experiments as XP  # noqa: E402
+from ratecast.session import checkpoint_dir  # noqa: E402
+from ratecast.sources import io as IO  # noqa: E402
+from ratecast.sources import timeparse as TP  # noqa: E402
+
+
+def scratch(spark, name: str) -> str:
+    """A fresh table folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/ratecast-tables/{name}-{uuid.uuid4().hex}"
+
+
+@query("split_features_target", w(f"""f AS (SELECT *, {CAL_SQL} FROM s), nn AS (SELECT count(*) AS n FROM s)
+SELECT CASE WHEN idx < floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split, idx, hour, day_of_week, is_weekend,
+       txn_count AS y FROM f, nn"""))
+def q_split_features_target(spark, d):
+    """M2: X = hour, day_of_week, is_weekend; y = count; by side."""
+    return PR.split_features_target(CA.add_time_features(minute_series(spark, d)))
+
+
+@query("tail_split", w("""nn AS (SELECT count(*) AS n FROM s)
+SELECT ts, idx - greatest(n - 300, 0) AS idx, txn_count FROM s, nn WHERE idx >= greatest(n - 300, 0)"""))
+def q_tail_split(spark, d):
+    """M3: the last 300 minutes, re-indexed."""
+    return PR.tail_split(minute_series(spark, d), 300)
+
+
+@query("validation_tail", w("""nn AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS nt FROM s),
+t AS (SELECT idx, idx - 60 AS row, CAST(txn_count AS DOUBLE) AS y FROM s, nn WHERE idx >= 60 AND idx < nt),
+m AS (SELECT max(row) + 1 AS m FROM t)
+SELECT idx, row, y, row >= floor(m * (1 - 0.1::DOUBLE)) AS is_validation FROM t, m"""))
+def q_validation_tail(spark, d):
+    """M4: last 10 % of the training windows (L=60) flagged for validation."""
+    s = PR.temporal_split(minute_series(spark, d), 0.8)
+    win = WI.lookback_windows(s, lookback=60, split_col="split").where(F.col("split") == "train")
+    return PR.validation_tail(win.select("idx", "row", "y"), 0.1)
+
+
+MM_SQL = "mm AS (SELECT CAST(min(txn_count) AS DOUBLE) AS lo, CAST(max(txn_count) AS DOUBLE) AS hi FROM s{where})"
+SCALE = "CASE WHEN hi = lo THEN txn_count - lo ELSE (txn_count - lo) / (hi - lo) END"
+
+
+@query("minmax_fit_transform", w(MM_SQL.format(where="") + f" SELECT ts, idx, {SCALE} AS txn_count FROM s, mm"))
+def q_minmax_fit_transform(spark, d):
+    """M5: counts scaled to [0, 1], fitted on all rows (reference parity)."""
+    return PR.minmax_fit_transform(minute_series(spark, d))
+
+
+@query("minmax_transform_fitted", w(SPLIT80 + ", " + MM_SQL.format(where=" WHERE idx < (SELECT floor(n * 0.8::DOUBLE) FROM nn)")
+                                    + f" SELECT ts, idx, {SCALE} AS txn_count FROM s, mm", S_HOUR))
+def q_minmax_transform_fitted(spark, d):
+    """M6: fit on the train side, apply the saved fit to every row."""
+    s = PR.temporal_split(hour_series(spark, d), 0.8)
+    sc = PR.minmax_fit(s, ["txn_count"], where=F.col("split") == "train")
+    return PR.minmax_apply(s.select("ts", "idx", "txn_count"), sc, ["txn_count"])
+
+
+GRID_FEATS_SQL = """f AS (SELECT ts, idx, CAST(txn_count AS DOUBLE) AS txn_count, sin(2 * pi() * hour(ts) / 24) AS hour_sin,
+       cos(2 * pi() * hour(ts) / 24) AS hour_cos,
+       avg(CAST(txn_count AS DOUBLE)) OVER (ORDER BY idx ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS txn_ma_5 FROM s)"""
+
+
+def _mm(c):
+    return f"CASE WHEN max({c}) OVER () = min({c}) OVER () THEN {c} - min({c}) OVER () ELSE ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END AS {c}"
+
+
+@query("minmax_all_numeric", w(GRID_FEATS_SQL + " SELECT ts, idx, " + ", ".join(_mm(c) for c in ("txn_count", "hour_sin", "hour_cos", "txn_ma_5")) + " FROM f"))
+def q_minmax_all_numeric(spark, d):
+    """M7: every numeric feature of the grid script scaled on its own (idx excluded)."""
+    return PR.minmax_all_numeric(q_time_features_cyclic(spark, d), exclude=["idx"])
+
+
+@query("minmax_inverse", w("SELECT ts, idx, CAST(txn_count AS DOUBLE) AS txn_count FROM s"))
+def q_minmax_inverse(spark, d):
+    """M8: scale, then back to counts (round trip)."""
+    s = minute_series(spark, d)
+    sc = PR.minmax_fit(s, ["txn_count"])
+    return PR.minmax_inverse(PR.minmax_apply(s, sc, ["txn_count"]), sc, ["txn_count"])
+
+
+# ================================================================ 2.J forecasts
+@query("forecast_naive_last", w("SELECT *, CAST(lag(txn_count) OVER (ORDER BY idx) AS DOUBLE) AS predicted FROM s"))
+def q_forecast_naive_last(spark, d):
+    """O2."""
+    return FC.forecast_naive_last(minute_series(spark, d))
+
+
+@query("forecast_ar1", w(SPLIT80 + """, l AS (SELECT *, CAST(lag(txn_count) OVER (ORDER BY idx) AS DOUBLE) AS ylag FROM sp),
+fit AS (SELECT regr_intercept(txn_count, ylag) AS a, regr_slope(txn_count, ylag) AS b FROM l WHERE split = 'train')
+SELECT ts, idx, txn_count, CAST(floor((SELECT n FROM nn) * 0.8::DOUBLE) AS BIGINT) AS n_train, split, a + b * ylag AS predicted FROM l, fit""", S_HOUR))
+def q_forecast_ar1(spark, d):
+    """O3: AR(1) fitted on the train side of the hourly series."""
+    return FC.forecast_ar1(PR.temporal_split(hour_series(spark, d), 0.8))
+
+
+@query("fit_predict_lagged")
+def q_fit_predict_lagged(spark, d):
+    """LinearRegression on L=60 lag windows (rows-only check)."""
+    pred, _ = XP.fit_predict_lagged(minute_series(spark, d), 60, "linear")
+    return pred
+
+
+@query("fit_predict_lagged_gbt")
+def q_fit_predict_lagged_gbt(spark, d):
+    """Gradient-boosted trees on L=24 windows of the hourly series (rows only)."""
+    pred, _ = XP.fit_predict_lagged(hour_series(spark, d), 24, "gbt")
+    return pred
+
+
+W10 = "ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING"
+
+
+@query("batch_score", w(f"""x AS (SELECT idx, CAST(txn_count AS DOUBLE) AS y, count(*) OVER (ORDER BY idx {W10}) AS c,
+                     avg(CAST(txn_count AS DOUBLE)) OVER (ORDER BY idx {W10}) AS predicted FROM s)
+SELECT idx, idx - 10 AS row, y, predicted FROM x WHERE c = 10"""))
+def q_batch_score(spark, d):
+    """A user model (mean of the window) applied in Arrow batches to L=10 windows."""
+    win = WI.lookback_windows(minute_series(spark, d), lookback=10)
+    return FC.batch_score(win, FC.mean_of_window_model, 10).select("idx", "row", "y", "predicted")
+
+
+@query("walk_forward_tail", w("""nn AS (SELECT count(*) AS n FROM s),
+t AS (SELECT ts, idx - greatest(n - 300, 0) AS idx, txn_count FROM s, nn WHERE idx >= greatest(n - 300, 0)),
+m AS (SELECT ts, idx, CAST(txn_count AS DOUBLE) AS actual, """ + Q.MA3 + " AS predicted FROM t " + Q.MA3_WINDOWS + """)
+SELECT ts, idx, actual, predicted, abs(predicted - actual) AS error FROM m WHERE idx >= 10"""))
+def q_walk_forward_tail(spark, d):
+    """Dashboard replay over the last 300 minutes, lookback 10."""
+    return FC.walk_forward_tail(minute_series(spark, d), 300, 10)
+
+
+@query("model_fallback", w(f"""x AS (SELECT idx, CAST(txn_count AS DOUBLE) AS actual,
+       CASE WHEN count(*) OVER (ORDER BY idx {W10}) = 10 THEN avg(CAST(txn_count AS DOUBLE)) OVER (ORDER BY idx {W10}) END AS model_pred,
+       """ + Q.MA3 + " AS baseline FROM s " + Q.MA3_WINDOWS + """)
+SELECT idx, actual, model_pred, baseline, coalesce(model_pred, actual) AS predicted FROM x"""))
+def q_model_fallback(spark, d):
+    """Model where its window is full, else the actual itself (console policy)."""
+    s = minute_series(spark, d)
+    win = WI.lookback_windows(s, lookback=10)
+    mp = FC.batch_score(win, FC.mean_of_window_model, 10, out="model_pred").select("idx", "model_pred")
+    base = FC.forecast_moving_avg(s, out="baseline")
+    j = base.join(mp, "idx", "left").select("idx", F.col("txn_count").cast("double").alias("actual"), "model_pred", "baseline")
+    return FC.model_fallback(j, policy="console")
+
+
+@query("experiment_grid", w(SPLIT80 + """, nt AS (SELECT CAST(floor(n * 0.8::DOUBLE) AS BIGINT) AS n_train FROM nn),
+l AS (SELECT *, CAST(lag(txn_count) OVER (ORDER BY idx) AS DOUBLE) AS ylag FROM sp),
+fit AS (SELECT regr_intercept(txn_count, ylag) AS a, regr_slope(txn_count, ylag) AS b FROM l WHERE split = 'train'),
+ma AS (SELECT idx, """ + Q.MA3 + """ AS p FROM s """ + Q.MA3_WINDOWS + """),
+p AS (SELECT 'moving_avg' AS model, 0 AS run_order, l.idx, CAST(l.txn_count AS DOUBLE) AS actual, ma.p AS predicted FROM l JOIN ma USING (idx)
+      UNION ALL SELECT 'naive', 1, idx, CAST(txn_count AS DOUBLE), ylag FROM l
+      UNION ALL SELECT 'ar1', 2, idx, CAST(txn_count AS DOUBLE), a + b * ylag FROM l, fit),
+cfg AS (SELECT * FROM (VALUES (10, 32), (10, 64), (30, 32), (30, 64), (60, 32), (60, 64)) t(lookback, batch_size))
+SELECT model, CAST(run_order AS INTEGER) AS run_order, CAST(lookback AS INTEGER) AS lookback, CAST(batch_size AS INTEGER) AS batch_size,
+       count(*) AS n, avg(abs(predicted - actual)) AS mae, sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse,
+       """ + Q.MAPE_EPS + """ AS mape
+FROM p, cfg, nt WHERE idx >= n_train + lookback GROUP BY ALL""", S_HOUR))
+def q_experiment_grid(spark, d):
+    """3 baselines x lookbacks 10/30/60 x batch 32/64 on the hourly series."""
+    return XP.experiment_grid(hour_series(spark, d))
+
+
+@query("experiment_grid_ml")
+def q_experiment_grid_ml(spark, d):
+    """O9 with Spark ML LinearRegression at minute grain (rows-only check)."""
+    return XP.ml_grid(minute_series(spark, d), ("linear",), (10, 30, 60))
+
+
+ALIGN_SQL = w(f"""nn AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS nt FROM s),
+t AS (SELECT idx - nt AS pos, ts, CAST(txn_count AS DOUBLE) AS actual,
+             avg(CAST(txn_count AS DOUBLE)) OVER (ORDER BY idx {W10}) AS predicted FROM s, nn WHERE idx >= nt)
+SELECT pos, ts, actual, predicted FROM t WHERE pos >= 10""")
+
+
+def _aligned(spark, d):
+    s = PR.temporal_split(minute_series(spark, d), 0.8)
+    test = s.where(F.col("split") == "test")
+    win = WI.lookback_windows(test, lookback=10)
+    preds = FC.batch_score(win, FC.mean_of_window_model, 10)
+    return FC.align_predictions(test, preds, 10)
+
+
+@query("align_predictions", ALIGN_SQL)
+def q_align_predictions(spark, d):
+    """Predictions paired with actuals by index (test windows L=10)."""
+    return _aligned(spark, d)
+
+
+@query("zoom_first_100", ALIGN_SQL.replace("WHERE pos >= 10", "WHERE pos >= 10 AND pos < 100"))
+def q_zoom_first_100(spark, d):
+    """The first 100 aligned positions."""
+    return FC.zoom_first(_aligned(spark, d), 100)
+
+
+# ================================================================ 2.K evaluation
+@query("evaluate_metrics", REPLAY_H + f"""
+SELECT model, count(*) AS n, avg(actual) AS avg_actual, avg(abs(predicted - actual)) AS mae,
+       sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse, {Q.MAPE_RAW} AS mape_raw, {Q.MAPE_EPS} AS mape_eps,
+       {Q.MAPE_NZ} AS mape_nonzero, {Q.WAPE} AS wape FROM pr GROUP BY model""")
+def q_evaluate_metrics(spark, d):
+    """E1-E5 on the hourly replay."""
+    return EV.evaluate(hour_replay(spark, d))
+
+
+@query("improvement_over_naive", REPLAY_H + """,
+nv AS (SELECT idx, CAST(lag(txn_count) OVER (ORDER BY idx) AS DOUBLE) AS naive FROM s),
+j AS (SELECT pr.actual, pr.predicted, nv.naive FROM pr JOIN nv USING (idx) WHERE nv.naive IS NOT NULL)
+SELECT avg(abs(predicted - actual)) AS mae, avg(abs(naive - actual)) AS mae_naive,
+       (avg(abs(naive - actual)) - avg(abs(predicted - actual))) / avg(abs(naive - actual)) * 100 AS improvement_pct FROM j""")
+def q_improvement_over_naive(spark, d):
+    """Moving average vs last value on the hourly replay."""
+    s = hour_series(spark, d)
+    ma = FC.walk_forward(s, "moving_avg")
+    nv = FC.walk_forward(s, "naive")
+    return EV.improvement_over_naive(ma, nv)
+
+
+LB_SQL = w(SPLIT80.replace("0.8::DOUBLE", "(1 - 0.1::DOUBLE)") + """,
+l AS (SELECT *, CAST(lag(txn_count) OVER (ORDER BY idx) AS DOUBLE) AS ylag FROM sp),
+fit AS (SELECT regr_intercept(txn_count, ylag) AS a, regr_slope(txn_count, ylag) AS b FROM l WHERE split = 'train'),
+ma AS (SELECT idx, """ + Q.MA3 + """ AS p FROM s """ + Q.MA3_WINDOWS + """),
+p AS (SELECT 'Baseline (Moving Avg)' AS model, 0 AS run_order, l.idx, l.split, CAST(l.txn_count AS DOUBLE) AS actual, ma.p AS predicted FROM l JOIN ma USING (idx)
+      UNION ALL SELECT 'Naive (last value)', 1, idx, split, CAST(txn_count AS DOUBLE), ylag FROM l
+      UNION ALL SELECT 'AR(1)', 2, idx, split, CAST(txn_count AS DOUBLE), a + b * ylag FROM l, fit),
+b AS (SELECT model, CAST(min(run_order) AS INTEGER) AS run_order, count(*) AS n, avg(actual) AS avg_actual, avg(abs(predicted - actual)) AS mae,
+       sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse, """ + Q.MAPE_RAW.replace("\n", " ") + """ AS mape_raw,
+       """ + Q.MAPE_EPS + " AS mape_eps, " + Q.MAPE_NZ + " AS mape_nonzero, " + Q.WAPE + """ AS wape
+      FROM p WHERE split = 'test' GROUP BY model)""", S_HOUR)
+
+
+def _board(spark, d):
+    s = hour_series(spark, d)
+    preds = None
+    for i, m in enumerate(("moving_avg", "naive", "ar1")):
+        p = FC.walk_forward(s, m).withColumn("run_order", F.lit(i))
+        preds = p if preds is None else preds.unionByName(p)
+    return EV.leaderboard(preds)
+
+
+@query("leaderboard", LB_SQL + " SELECT * FROM b")
+def q_leaderboard(spark, d):
+    """One metric row per model (hourly replay of 3 baselines)."""
+    return _board(spark, d)
+
+
+@query("best_model", LB_SQL + " SELECT arg_min(model, (mae, run_order)) AS best_model, min(mae) AS best_mae FROM b")
+def q_best_model(spark, d):
+    """Lowest MAE, first in run order on ties."""
+    return EV.best_model(_board(spark, d))
+
+
+@query("replay_progress", REPLAY_H + """
+SELECT *, idx - (SELECT min(idx) FROM pr) + 1 AS predictions_so_far,
+       (idx - (SELECT min(idx) FROM pr) + 1) * 100.0::DOUBLE / (SELECT count(*) FROM pr) AS progress_pct FROM pr""")
+def q_replay_progress(spark, d):
+    """E10."""
+    return EV.replay_progress(hour_replay(spark, d))
+
+
+# ================================================================ 2.A sources / sinks
+EV_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+@query("read_events_csv", f"SELECT {EV_COLS} FROM events")
+def q_read_events_csv(spark, d):
+    """Events written as CSV (header) by Spark, scanned back with a schema."""
+    ev = events(spark, d)
+    path = scratch(spark, "events-csv")
+    IO.write_table(ev, path, fmt="csv")
+    return IO.read_table(spark, path, fmt="csv", schema=ev.schema)
+
+
+@query("read_events_limit", "SELECT * FROM events ORDER BY event_id LIMIT 700000")
+def q_read_events_limit(spark, d):
+    """The first 700,000 events by id (the reference's read cap)."""
+    return IO.first_rows_by(events(spark, d), 700_000, "event_id")
+
+
+@query("read_events_limit_small", "SELECT * FROM events ORDER BY event_id LIMIT 1000")
+def q_read_events_limit_small(spark, d):
+    """S2 with a cap below the table size."""
+    return IO.first_rows_by(events(spark, d), 1000, "event_id")
+
+
+MIXED_TEXT = F.when(F.col("event_id") % 4 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")) \
+    .when(F.col("event_id") % 4 == 1, F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+02:00"))) \
+    .when(F.col("event_id") % 4 == 2, F.date_format("ts", "MM/dd/yyyy HH:mm:ss")) \
+    .otherwise(F.date_format("ts", "yyyy-MM-dd"))
+
+
+@query("parse_timestamp_mixed", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN ts
+       WHEN 2 THEN date_trunc('second', ts) ELSE CAST(date_trunc('day', ts) AS TIMESTAMP) END AS timestamp FROM events""")
+def q_parse_timestamp_mixed(spark, d):
+    """S3: four text layouts (ISO T/Z, offset, US date-time, date only) parsed per row."""
+    t = events(spark, d).select("event_id", MIXED_TEXT.alias("timestamp"))
+    return TP.parse_timestamp(t, "timestamp")
+
+
+@query("parse_timestamp_iso", "SELECT event_id, ts AS timestamp FROM events")
+def q_parse_timestamp_iso(spark, d):
+    """Strict ISO-8601 text parsed back."""
+    t = events(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
+    return TP.parse_timestamp_iso(t, "timestamp")
+
+
+@query("strip_timezone", "SELECT event_id, ts AS timestamp FROM events")
+def q_strip_timezone(spark, d):
+    """Offsets dropped, wall clock kept."""
+    off = F.when(F.col("event_id") % 2 == 0, F.lit("+02:00")).otherwise(F.lit("-05:30"))
+    t = events(spark, d).select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), off).alias("timestamp"))
+    return TP.parse_timestamp(t, "timestamp")
+
+
+@query("write_predictions", REPLAY_M + "\nSELECT ts AS timestamp, actual AS actual_tps, predicted AS predicted_tps, error FROM pr")
+def q_write_predictions(spark, d):
+    """The replay's prediction table written to Parquet and read back."""
+    p = minute_replay(spark, d).select(F.col("ts").alias("timestamp"), F.col("actual").alias("actual_tps"),
+                                        F.col("predicted").alias("predicted_tps"), "error")
+    return IO.write_and_read_back(p, scratch(spark, "predictions"))
+
+
+@query("write_processed_series", w(f"""r AS (SELECT ts AS timestamp, txn_count AS tps, CAST(hour(ts) AS INTEGER) AS hour,
+       CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week, dayname(ts) AS day_name, CAST(ts AS DATE) AS date,
+       isodow(ts) >= 6 AS is_weekend, {ROLL_SQL} FROM s {ROLL_W}) SELECT * FROM r"""))
+def q_write_processed_series(spark, d):
+    """The enriched series written partitioned by date, read back."""
+    s = minute_series(spark, d)
+    f = CA.add_time_features(s, ("hour", "day_of_week", "day_name", "date", "is_weekend_bool"))
+    r = WI.rolling_mean_std(f)
+    out = r.select(F.col("ts").alias("timestamp"), F.col("txn_count").alias("tps"), "hour", "day_of_week", "day_name",
+                   "date", "is_weekend", "rolling_mean", "rolling_std")
+    back = IO.write_and_read_back(out, scratch(spark, "processed"), partition_by=["date"])
+    return back.select(*out.columns)
+
+
+@query("write_profile_summary", PROFILE_SUMMARY_SQL)
+def q_write_profile_summary(spark, d):
+    """The summary row written as CSV and read back."""
+    s = PRR.profile_summary(events(spark, d))
+    return IO.write_and_read_back(s, scratch(spark, "summary"), fmt="csv")
+
+
+@query("run_log_append")
+def q_run_log_append(spark, d):
+    """Grid results appended to a run table (parent run + one child per config)."""
+    path = scratch(spark, "runs")
+    grid = XP.experiment_grid(hour_series(spark, d))
+    parent = IO.new_run_id()
+    recs = IO.run_records(spark, grid.withColumn("run_name", F.concat_ws("_", "model", "lookback", "batch_size")),
+                          "Transaction_Load_Forecasting", parent, f"{d}/events.parquet",
+                          ["model", "lookback", "batch_size"], ["mae", "rmse", "mape", "n"])
+    IO.append_runs(recs, path)
+    return IO.read_runs(spark, path)
+
+
+@query("model_save_load")
+def q_model_save_load(spark, d):
+    """Fit, save with its lookback, reload, and score the test windows."""
+    from pyspark.ml.functions import array_to_vector
+    s = minute_series(spark, d)
+    pred, model = XP.fit_predict_lagged(s, 10, "linear")
+    path = scratch(spark, "model")
+    IO.save_model(model, path, 10)
+    m2, lb, _ = IO.load_model(spark, path)
+    sp = PR.temporal_split(s, 0.8)
+    win = WI.lookback_windows(sp, lookback=lb, split_col="split").where(F.col("split") == "test")
+    return m2.transform(win.withColumn("features", array_to_vector("x"))).select("idx", "y", "predicted")

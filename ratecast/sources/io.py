@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 
 
 
+# Full-microsecond text layouts for timestamps in CSV files.
+CSV_TS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+          "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def read_table(spark: SparkSession, path: str, fmt: str | None = None,
                schema: T.StructType | str | None = None, header: bool = True) -> DataFrame:
     """CSV (header, explicit schema or inferred types) or Parquet by extension."""
@@ -19,7 +24,7 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
     if schema is not None:
         r = r.schema(schema)
     if fmt == "csv":
-        r = r.option("header", header)
+        r = r.option("header", header).options(**CSV_TS)
         if schema is None:
             r = r.option("inferSchema", True)
         return r.csv(path)
@@ -58,7 +63,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).options(**CSV_TS)
     w.format(fmt).save(path)
 
 
@@ -69,7 +74,7 @@ def write_and_read_back(df: DataFrame, path: str, fmt: str = "parquet",
     spark = df.sparkSession
     r = spark.read
     if fmt == "csv":
-        r = r.option("header", True).schema(df.schema)
+        r = r.option("header", True).options(**CSV_TS).schema(df.schema)
     return r.format(fmt).load(path)
 
 

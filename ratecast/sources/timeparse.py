@@ -22,7 +22,7 @@ def strip_timezone(c: Column) -> Column:
 
 
 def _parse(text: Column, formats: Sequence[str]) -> Column:
-    cands = [F.try_cast(text, "timestamp_ntz")]
+    cands = [text.try_cast("timestamp_ntz")]
     for f in formats:
         cands.append(F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz"))
     return F.coalesce(*cands)
@@ -48,5 +48,5 @@ def parse_timestamp_iso(df: DataFrame, col: str = "timestamp", out: str | None =
     """Strict ISO-8601; any other shape raises."""
     raw = F.col(col).cast("string")
     ok = F.trim(raw).rlike(ISO_SHAPE)
-    parsed = F.when(ok, F.try_cast(strip_timezone(raw), "timestamp_ntz"))
+    parsed = F.when(ok, strip_timezone(raw).try_cast("timestamp_ntz"))
     return df.withColumn(out or col, _checked(raw, parsed, "ISO-8601"))
