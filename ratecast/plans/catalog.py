@@ -1069,17 +1069,19 @@ def q_read_events_limit_small(spark, d):
     return IO.first_rows_by(events(spark, d), 1000, "event_id")
 
 
-MIXED_TEXT = F.when(F.col("event_id") % 4 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")) \
-    .when(F.col("event_id") % 4 == 1, F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+02:00"))) \
-    .when(F.col("event_id") % 4 == 2, F.date_format("ts", "MM/dd/yyyy HH:mm:ss")) \
-    .otherwise(F.date_format("ts", "yyyy-MM-dd"))
+def mixed_text():
+    """Four text layouts of the event time, chosen by id (every row is kept)."""
+    return F.when(F.col("event_id") % 4 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")) \
+        .when(F.col("event_id") % 4 == 1, F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+02:00"))) \
+        .when(F.col("event_id") % 4 == 2, F.date_format("ts", "MM/dd/yyyy HH:mm:ss")) \
+        .otherwise(F.date_format("ts", "yyyy-MM-dd"))
 
 
 @query("parse_timestamp_mixed", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN ts
        WHEN 2 THEN date_trunc('second', ts) ELSE CAST(date_trunc('day', ts) AS TIMESTAMP) END AS timestamp FROM events""")
 def q_parse_timestamp_mixed(spark, d):
     """S3: four text layouts (ISO T/Z, offset, US date-time, date only) parsed per row."""
-    t = events(spark, d).select("event_id", MIXED_TEXT.alias("timestamp"))
+    t = events(spark, d).select("event_id", mixed_text().alias("timestamp"))
     return TP.parse_timestamp(t, "timestamp")
 
 
@@ -1152,3 +1154,86 @@ def q_model_save_load(spark, d):
     sp = PR.temporal_split(s, 0.8)
     win = WI.lookback_windows(sp, lookback=lb, split_col="split").where(F.col("split") == "test")
     return m2.transform(win.withColumn("features", array_to_vector("x"))).select("idx", "y", "predicted")
+
+
+# ================================================================ 2.L streaming
+from ratecast.streaming import live as LV  # noqa: E402
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# the minute holding the last event stays open under the watermark; the forecaster fills
+# empty minutes when the next non-empty minute closes, so it stops at the last closed one
+LAST_MIN = "(SELECT max(date_trunc('minute', ts)) FROM events)"
+LAST_CLOSED = f"(SELECT max(date_trunc('minute', ts)) FROM events WHERE date_trunc('minute', ts) < {LAST_MIN})"
+CLOSED = f"WHERE ts <= {LAST_CLOSED}"
+STREAM_FC_SQL = w(f"""m AS (SELECT ts, CAST(txn_count AS DOUBLE) AS actual, {Q.MA3} AS predicted, idx FROM s {Q.MA3_WINDOWS}),
+c AS (SELECT * FROM m {CLOSED}),
+r AS (SELECT ts, actual, predicted, abs(predicted - actual) AS error, row_number() OVER o AS k,
+             avg(abs(predicted - actual)) OVER o AS a1, sqrt(avg((predicted - actual) * (predicted - actual)) OVER o) AS a2,
+             avg(CASE WHEN actual = 0 AND predicted - actual = 0 THEN 'NaN'::DOUBLE WHEN actual = 0 THEN 'Infinity'::DOUBLE
+                      ELSE abs((predicted - actual) / actual) END) OVER o * 100 AS a3
+      FROM c WINDOW o AS (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT ts, actual, predicted, error, CASE WHEN k > 1 THEN a1 END AS running_mae, CASE WHEN k > 1 THEN a2 END AS running_rmse,
+       CASE WHEN k > 1 THEN a3 END AS running_mape FROM r""")
+
+
+def _stream_events(spark, path, schema):
+    if path.endswith(".parquet"):  # one table file of the data folder
+        folder, name = path.rsplit("/", 1)
+        return LV.event_stream(spark, folder, schema, glob=name)
+    return LV.event_stream(spark, path, schema)
+
+
+def _forecast_stream(spark, src_path, schema):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return LV.stream_forecast(LV.stream_resample(_stream_events(spark, src_path, schema)))
+
+
+@query("stream_resample", f"SELECT date_trunc('minute', ts) AS ts, count(*) AS txn_count FROM events WHERE date_trunc('minute', ts) < {LAST_MIN} GROUP BY 1")
+def q_stream_resample(spark, d):
+    """L1: the events file as a live feed, closed minutes counted (watermark 0 s)."""
+    ev = events(spark, d)
+    out, ck = scratch(spark, "l1-out"), scratch(spark, "l1-ckpt")
+    LV.run_to_table(LV.stream_resample(_stream_events(spark, f"{d}/events.parquet", ev.schema)), out, ck)
+    return spark.read.parquet(out)
+
+
+@query("stream_forecast", STREAM_FC_SQL)
+def q_stream_forecast(spark, d):
+    """L2 + L3: stateful one-step forecaster with zero-filled minutes and running metrics."""
+    ev = events(spark, d)
+    out, ck = scratch(spark, "l2-out"), scratch(spark, "l2-ckpt")
+    LV.run_to_table(_forecast_stream(spark, f"{d}/events.parquet", ev.schema), out, ck)
+    return spark.read.parquet(out)
+
+
+@query("stream_resume", STREAM_FC_SQL)
+def q_stream_resume(spark, d):
+    """L4: the feed arrives in two parts; the second run restarts from the first run's
+    checkpoint and continues the same state (result equal to one uninterrupted run)."""
+    ev = events(spark, d)
+    mid = ev.agg(F.min("ts").alias("a"), F.max("ts").alias("b")) \
+        .select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("m"))
+    src, out, ck = scratch(spark, "l4-src"), scratch(spark, "l4-out"), scratch(spark, "l4-ckpt")
+    first = ev.crossJoin(mid).where(F.col("ts") < F.col("m")).drop("m")
+    second = ev.crossJoin(mid).where(F.col("ts") >= F.col("m")).drop("m")
+    first.write.mode("append").parquet(src)
+    LV.run_to_table(_forecast_stream(spark, src, ev.schema), out, ck)
+    second.write.mode("append").parquet(src)
+    LV.run_to_table(_forecast_stream(spark, src, ev.schema), out, ck)
+    return spark.read.parquet(out)
+
+
+@query("stream_late_data")
+def q_stream_late_data(spark, d):
+    """The second half of the feed arrives first, then the first half arrives late and
+    is dropped by the watermark; returns per-batch input and dropped row counts."""
+    ev = events(spark, d)
+    mid = ev.agg(F.min("ts").alias("a"), F.max("ts").alias("b")) \
+        .select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("m"))
+    src, out, ck = scratch(spark, "l5-src"), scratch(spark, "l5-out"), scratch(spark, "l5-ckpt")
+    ev.crossJoin(mid).where(F.col("ts") >= F.col("m")).drop("m").write.mode("append").parquet(src)
+    p1 = LV.run_to_table(LV.stream_resample(_stream_events(spark, src, ev.schema)), out, ck)
+    ev.crossJoin(mid).where(F.col("ts") < F.col("m")).drop("m").write.mode("append").parquet(src)
+    p2 = LV.run_to_table(LV.stream_resample(_stream_events(spark, src, ev.schema)), out, ck)
+    rows = [(i, *r) for i, r in enumerate(LV.dropped_by_watermark(p1) + LV.dropped_by_watermark(p2))]
+    return spark.createDataFrame(rows, "seq int, batch_id int, input_rows long, dropped_by_watermark long")
