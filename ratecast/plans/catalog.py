@@ -1237,3 +1237,73 @@ def q_stream_late_data(spark, d):
     p2 = LV.run_to_table(LV.stream_resample(_stream_events(spark, src, ev.schema)), out, ck)
     rows = [(i, *r) for i, r in enumerate(LV.dropped_by_watermark(p1) + LV.dropped_by_watermark(p2))]
     return spark.createDataFrame(rows, "seq int, batch_id int, input_rows long, dropped_by_watermark long")
+
+
+# ================================================================ single-operator names (2.F, 2.K, 2.L)
+def _with_col(name, col_fn):
+    def fn(spark, d):
+        s = minute_series(spark, d)
+        return s.withColumn(name, col_fn())
+    return fn
+
+
+for _name, _sqlexpr, _fn in [
+    ("feat_hour", "CAST(hour(ts) AS INTEGER)", lambda: CA.hour("ts")),
+    ("feat_day_of_week", "CAST(isodow(ts) - 1 AS INTEGER)", lambda: CA.day_of_week("ts")),
+    ("feat_is_weekend", "CAST(isodow(ts) >= 6 AS INTEGER)", lambda: CA.is_weekend("ts")),
+    ("feat_day_name", "dayname(ts)", lambda: CA.day_name("ts")),
+    ("feat_date", "CAST(ts AS DATE)", lambda: CA.calendar_date("ts")),
+]:
+    query(_name, w(f"SELECT *, {_sqlexpr} AS {_name[5:]} FROM s"))(_with_col(_name[5:], _fn))
+
+
+@query("feat_hour_cyclic", w("SELECT ts, idx, txn_count, sin(2 * pi() * hour(ts) / 24) AS hour_sin, cos(2 * pi() * hour(ts) / 24) AS hour_cos FROM s"))
+def q_feat_hour_cyclic(spark, d):
+    """C6."""
+    return CA.add_time_features(minute_series(spark, d), ("hour_sin", "hour_cos"))
+
+
+@query("abs_error", REPLAY_H + "\nSELECT idx, actual, predicted, abs(predicted - actual) AS abs_error FROM pr")
+def q_abs_error(spark, d):
+    """C7."""
+    return hour_replay(spark, d).select("idx", "actual", "predicted", MT.abs_error().alias("abs_error"))
+
+
+@query("ape_guarded", REPLAY_M + "\nSELECT idx, actual, predicted, CASE WHEN actual > 0 THEN abs(predicted - actual) / actual * 100 ELSE 0.0 END AS ape_guarded FROM pr")
+def q_ape_guarded(spark, d):
+    """C8 (minute grain: zero actuals give 0)."""
+    return minute_replay(spark, d).select("idx", "actual", "predicted", MT.ape_guarded().alias("ape_guarded"))
+
+
+@query("lag_label", """SELECT lag, CASE WHEN lag >= 1440 THEN CAST(lag // 1440 AS VARCHAR) || ' day' WHEN lag >= 60 THEN CAST(lag // 60 AS VARCHAR) || ' hr'
+       ELSE CAST(lag AS VARCHAR) || ' min' END AS lag_label
+FROM (SELECT CAST(date_diff('minute', (SELECT min(date_trunc('minute', ts)) FROM events), date_trunc('minute', ts)) AS BIGINT) AS lag FROM events)""")
+def q_lag_label(spark, d):
+    """Every event's minute offset from the first minute, as a lag label."""
+    ev = events(spark, d)
+    lo = ev.agg(F.min(F.date_trunc("minute", "ts")).alias("_lo"))
+    lag = ((F.unix_micros(F.date_trunc("minute", "ts")) - F.unix_micros("_lo")) / 60_000_000).cast("long")
+    return ev.crossJoin(F.broadcast(lo)).select(lag.alias("lag")).withColumn("lag_label", CA.lag_label("lag"))
+
+
+for _name, _sql, _fn in [
+    ("metric_mae", "avg(abs(predicted - actual))", MT.mae),
+    ("metric_rmse", "sqrt(avg((predicted - actual) * (predicted - actual)))", MT.rmse),
+    ("metric_mape_eps", Q.MAPE_EPS, MT.mape_eps),
+    ("metric_mape_raw", Q.MAPE_RAW, MT.mape_raw),
+    ("metric_wape", Q.WAPE, MT.wape),
+]:
+    query(_name, REPLAY_H + f"\nSELECT model, {_sql} AS {_name[7:]} FROM pr GROUP BY model")(
+        (lambda f, nm: lambda spark, d: hour_replay(spark, d).groupBy("model").agg(f().alias(nm)))(_fn, _name[7:]))
+
+
+@query("metric_mape_raw_minute", REPLAY_M + f"\nSELECT model, {Q.MAPE_RAW} AS mape_raw FROM pr GROUP BY model")
+def q_metric_mape_raw_minute(spark, d):
+    """E4 at minute grain: NaN (0/0 and x/0 both occur)."""
+    return minute_replay(spark, d).groupBy("model").agg(MT.mape_raw().alias("mape_raw"))
+
+
+@query("stream_running_metrics", STREAM_FC_SQL.replace("SELECT ts, actual, predicted, error, CASE", "SELECT ts, CASE"))
+def q_stream_running_metrics(spark, d):
+    """L3: the running metrics of the live forecaster."""
+    return q_stream_forecast(spark, d).select("ts", "running_mae", "running_rmse", "running_mape")
