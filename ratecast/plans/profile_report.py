@@ -10,6 +10,7 @@ from ratecast.operators import patterns as PT
 from ratecast.operators import stats as ST
 from ratecast.operators.profile import drop_duplicates
 from ratecast.operators.series import resample_count, series_stats, zero_bins
+from ratecast.session import materialize
 
 
 def _row(*dfs: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def profile_summary(events: DataFrame, freq: str = "1 minute", with_adf: bool =
     zero bins, IQR outlier %, peak and low hour, recommended lookback; plus the ADF
     p-value and verdict with ``with_adf``."""
     dedup = drop_duplicates(events)
-    series = resample_count(dedup, ts=ts, freq=freq).withColumnRenamed("txn_count", "tps")
+    series = materialize(resample_count(dedup, ts=ts, freq=freq).withColumnRenamed("txn_count", "tps"))
     feats = add_time_features(series, ("hour",))
     total = dedup.agg(F.count(F.lit(1)).alias("total_records"))
     st = series_stats(series, "tps").select(
@@ -46,7 +47,7 @@ def profile_summary(events: DataFrame, freq: str = "1 minute", with_adf: bool =
 def recommendations(events: DataFrame, freq: str = "1 minute", with_adf: bool = False,
                     ts: str = "ts") -> DataFrame:
     """The rule table ``(rule_id, rule, metric, metric2, threshold, triggered)``."""
-    series = resample_count(events.dropDuplicates(), ts=ts, freq=freq)
+    series = materialize(resample_count(events.dropDuplicates(), ts=ts, freq=freq))
     feats = add_time_features(series, ("hour",))
     st = series_stats(series).select(F.col("cv"))
     out = ST.iqr_outliers(series).select("outlier_pct")

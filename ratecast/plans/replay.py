@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from ratecast.operators.evaluate import metric_summary
 from ratecast.operators.forecast import walk_forward
 from ratecast.operators.series import resample_count
+from ratecast.session import materialize
 
 
 def replay_predictions(events: DataFrame, freq: str = "1 minute", test_frac: float = 0.1,
                        forecaster="moving_avg", keys: Sequence[str] = (), ts: str = "ts") -> DataFrame:
     """The prediction table: ``keys.., ts, idx, actual, predicted, error, model``."""
-    series = resample_count(events, ts=ts, freq=freq, keys=keys)
+    # the series is read by the split, the forecast and the filter: compute it once
+    series = materialize(resample_count(events, ts=ts, freq=freq, keys=keys))
     return walk_forward(series, forecaster, test_frac=test_frac, keys=keys)
 
 
