@@ -83,8 +83,15 @@ def resample_count(df: DataFrame, ts: str = "ts", freq: str | int = "1 minute",
     """
     keys = list(keys)
     step = freq_micros(freq)
-    counts = bin_events(df, ts, step, keys).groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    bounds = counts.groupBy(*keys).agg(F.min("_bin").alias("_lo"), F.max("_bin").alias("_hi"))
+    # the explicit not-null filter makes both uses of ``counts`` identical (the join would
+    # otherwise infer it on one side only), so the shuffle of the log is reused
+    binned = bin_events(df, ts, step, keys)
+    counts = binned.where(F.col("_bin").isNotNull()) \
+        .groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 0)
+    # referencing the count keeps the bounds on the aggregated counts (whose exchange is
+    # reused), instead of letting the optimizer re-derive them from a second log scan
+    nonempty = F.when(F.col("_c") > 0, F.col("_bin"))
+    bounds = counts.groupBy(*keys).agg(F.min(nonempty).alias("_lo"), F.max(nonempty).alias("_hi"))
     grid = dense_grid(bounds, step, keys)
     s = grid.join(counts, [*keys, "_bin"], "left")
     return s.select(*keys, from_micros(F.col("_bin")).alias("ts"), "idx",

@@ -64,3 +64,11 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 100
+
+
+def test_resample_scans_log_once(events):
+    s = resample_count(events)
+    s.collect()
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("+- == Initial Plan ==")[0]
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
