@@ -1283,9 +1283,11 @@ def q_ape_guarded(spark, d):
 FROM (SELECT CAST(date_diff('minute', (SELECT min(date_trunc('minute', ts)) FROM events), date_trunc('minute', ts)) AS BIGINT) AS lag FROM events)""")
 def q_lag_label(spark, d):
     """Every event's minute offset from the first minute, as a lag label."""
-    ev = events(spark, d)
-    lo = ev.agg(F.min(F.date_trunc("minute", "ts")).alias("_lo"))
-    lag = ((F.unix_micros(F.date_trunc("minute", "ts")) - F.unix_micros("_lo")) / 60_000_000).cast("long")
+    from ratecast.functions.timecols import to_micros
+    us = to_micros(F.col("ts"))
+    ev = events(spark, d).select((us - F.pmod(us, F.lit(60_000_000))).alias("_m"))
+    lo = ev.agg(F.min("_m").alias("_lo"))
+    lag = ((F.col("_m") - F.col("_lo")) / 60_000_000).cast("long")
     return ev.crossJoin(F.broadcast(lo)).select(lag.alias("lag")).withColumn("lag_label", CA.lag_label("lag"))
 
 
