@@ -72,3 +72,22 @@ def test_resample_scans_log_once(events):
     plan = s._jdf.queryExecution().executedPlan().toString()
     final = plan.split("+- == Initial Plan ==")[0]
     assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_first_rows_by_exact(spark, events):
+    from ratecast.sources.io import first_rows_by
+    got = sorted(r["event_id"] for r in first_rows_by(events, 777, "event_id").select("event_id").collect())
+    exp = sorted(r["event_id"] for r in events.orderBy("event_id").limit(777).select("event_id").collect())
+    assert got == exp
+    assert first_rows_by(events, 10**9, "event_id").count() == events.count()
+
+
+def test_describe_matches_pandas(spark):
+    from ratecast.operators.profile import describe_numeric
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    got = describe_numeric(orders).toPandas().set_index("column_name")
+    d = orders.select("o_orderkey", "o_custkey", "o_totalprice").toPandas().astype("float64").describe()
+    for c in ("o_orderkey", "o_custkey", "o_totalprice"):
+        for ours, theirs in (("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"),
+                             ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")):
+            assert abs(got.loc[c, ours] - d.loc[theirs, c]) <= 1e-9 * max(1.0, abs(d.loc[theirs, c]))
