@@ -1312,3 +1312,35 @@ def q_metric_mape_raw_minute(spark, d):
 def q_stream_running_metrics(spark, d):
     """L3: the running metrics of the live forecaster."""
     return q_stream_forecast(spark, d).select("ts", "running_mae", "running_rmse", "running_mape")
+
+
+# keyed live forecaster: the watermark is global, so each key stops at its last non-empty
+# minute before the minute that holds the last event of the whole feed
+STREAM_FC_KEYED_SQL = w(f"""m AS (SELECT event_type, ts, idx, CAST(txn_count AS DOUBLE) AS actual,
+       CASE WHEN count(txn_count) OVER k3 = 3 THEN avg(CAST(txn_count AS DOUBLE)) OVER k3
+            WHEN count(txn_count) OVER k3 > 0 THEN CAST(lag(txn_count) OVER ko AS DOUBLE) ELSE 0.0 END AS predicted
+       FROM s WINDOW ko AS (PARTITION BY event_type ORDER BY idx),
+                     k3 AS (PARTITION BY event_type ORDER BY idx ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)),
+cut AS (SELECT event_type, max(date_trunc('minute', ts)) AS last_closed FROM events
+        WHERE date_trunc('minute', ts) < {LAST_MIN} GROUP BY event_type),
+c AS (SELECT m.* FROM m JOIN cut USING (event_type) WHERE m.ts <= cut.last_closed),
+r AS (SELECT event_type, ts, actual, predicted, abs(predicted - actual) AS error, row_number() OVER o AS k,
+             CAST(avg(CAST(abs(predicted - actual) AS DECIMAL(38, 18))) OVER o AS DOUBLE) AS a1,
+             sqrt(CAST(avg(CAST((predicted - actual) * (predicted - actual) AS DECIMAL(38, 18))) OVER o AS DOUBLE)) AS a2,
+             avg(CASE WHEN actual = 0 AND predicted - actual = 0 THEN 'NaN'::DOUBLE WHEN actual = 0 THEN 'Infinity'::DOUBLE
+                      ELSE abs((predicted - actual) / actual) END) OVER o * 100 AS a3
+      FROM c WINDOW o AS (PARTITION BY event_type ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT event_type, ts, actual, predicted, error, CASE WHEN k > 1 THEN a1 END AS running_mae,
+       CASE WHEN k > 1 THEN a2 END AS running_rmse, CASE WHEN k > 1 THEN a3 END AS running_mape FROM r""",
+    Q.series_cte(keys=("event_type",)))
+
+
+@query("stream_forecast_by_type", STREAM_FC_KEYED_SQL)
+def q_stream_forecast_by_type(spark, d):
+    """L2 + L3 with keys: one forecaster state per event type (the stream scales out by key)."""
+    ev = events(spark, d)
+    out, ck = scratch(spark, "l2k-out"), scratch(spark, "l2k-ckpt")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    minutes = LV.stream_resample(_stream_events(spark, f"{d}/events.parquet", ev.schema), keys=["event_type"])
+    LV.run_to_table(LV.stream_forecast(minutes, keys=["event_type"]), out, ck)
+    return spark.read.parquet(out)

@@ -146,12 +146,33 @@ def stream_forecast(minutes: DataFrame, keys: Sequence[str] = (), freq: str = "1
     return out if keys else out.drop("_series")
 
 
-def run_to_table(sdf: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> list[dict]:
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions for a new stream: the session's shuffle partitions, but not more
+    than the cluster's task slots (each state partition is a store opened every batch)."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
+                      spark.sparkContext.defaultParallelism))
+
+
+def run_to_table(sdf: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
+                 partitions: int | None = None) -> list[dict]:
     """L4: run a stream to completion of the available input (``availableNow``) into a
     table; re-running with the same checkpoint resumes where it stopped. Returns the
-    progress reports (for L5's dropped-row counts)."""
-    q = (sdf.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    progress reports (for L5's dropped-row counts).
+
+    The number of state partitions is fixed when a checkpoint is first created (later
+    restarts read it from the checkpoint); ``partitions`` (default ``state_partitions``)
+    is applied only to the query being started: the stream runs on a clone of the
+    session's settings and the session value is restored right after ``start()``.
+    """
+    spark = sdf.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        q = (sdf.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     return [json.loads(p.json) for p in q.recentProgress]
 
