@@ -1,4 +1,4 @@
-"""Timestamp <-> microsecond arithmetic that does not depend on the session zone.
+"""Timestamp <-> microsecond arithmetic that does not depend on the session zone (DST gaps included).
 
 Series timestamps are kept as ``timestamp_ntz`` (wall clock, like naive pandas
 datetimes). An LTZ input is first converted to NTZ in the session zone.
@@ -54,8 +54,12 @@ def _epoch() -> Column:
 
 
 def to_micros(c: Column) -> Column:
-    """timestamp_ntz -> microseconds since 1970-01-01 (wall clock)."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), c)
+    """timestamp_ntz -> microseconds since 1970-01-01 (wall clock), from the calendar
+    fields alone, so no session zone (and no DST gap) is ever involved."""
+    days = F.unix_date(F.to_date(c)).cast("long")
+    secs = F.date_part(F.lit("SECOND"), c)  # seconds with the fraction, decimal(8,6)
+    return (days * F.lit(DAY_US) + F.hour(c).cast("long") * F.lit(3_600_000_000)
+            + F.minute(c).cast("long") * F.lit(60_000_000) + (secs * F.lit(1_000_000)).cast("long"))
 
 
 def from_micros(c: Column) -> Column:

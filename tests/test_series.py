@@ -67,3 +67,22 @@ def test_calendar_monday_zero(spark):
     assert [r["day_of_week"] for r in f] == [0, 5, 6]
     assert [r["is_weekend"] for r in f] == [0, 1, 1]
     assert f[0]["day_name"] == "Monday"
+
+
+def test_resample_independent_of_session_zone(spark):
+    from ratecast.functions.timecols import from_micros, to_micros
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamps = [dt.datetime(2024, 3, 10, 1, 59), dt.datetime(2024, 3, 10, 2, 30, 0, 123456),
+                  dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+        d = _ev(spark, stamps)
+        r = d.select("ts", to_micros(F.col("ts")).alias("us")).select(
+            "ts", "us", from_micros(F.col("us")).alias("back")).collect()
+        for x in r:
+            assert x.us == int((x.ts - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+            assert x.back == x.ts
+        s = resample_count(_ev(spark, stamps[:2])).orderBy("idx").collect()
+        assert len(s) == 32 and s[-1]["ts"] == dt.datetime(2024, 3, 10, 2, 30)  # wall clock kept in the DST gap
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
