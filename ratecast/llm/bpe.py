@@ -3,8 +3,10 @@
 1. Each task cuts its texts into words (runs without ASCII white space, which no token of this
    tokenizer crosses) and turns blocks of documents into a list of distinct words and the documents'
    word codes by position.
-2. The blocks' words are shuffled by word and sorted: every distinct word of the corpus
-   is encoded once, by the tokenizer itself. The ids go back to the blocks, packed.
+2. The blocks' words are shuffled by word part (a hash of the word), a part's words of a block packed into a row:
+   every distinct word of the corpus is encoded once, by the tokenizer itself. The ids go back to
+   the blocks, packed. A task holds the distinct words of one part at a time; there are
+   ``PARTS_PER_PARTITION`` parts for each shuffle partition.
 3. A block's codes meet its words' ids by position; a piece table with an entry for each
    id (bounded by the vocabulary) joins ids to pieces for decoding.
 
@@ -34,6 +36,7 @@ from .common import arrow_texts, kind_of
 
 BLOCK_WORDS = 3_000_000       # words of a block of documents, at most (a document is never split)
 BLOCK_DISTINCT = 400_000      # distinct words at which a block is closed
+PARTS_PER_PARTITION = 4
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -105,17 +108,25 @@ def _unpack(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(b), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
-def block_words(docs: DataFrame) -> DataFrame:
-    """(block, code, word)."""
+def word_parts(docs: DataFrame) -> int:
+    return PARTS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def block_words(docs: DataFrame, parts: int) -> DataFrame:
+    """(part, block, codes, words): of each block and word part the words, sorted and deflated, and their codes."""
     def run(batches):
         for name, _, _, _, words in _blocks(batches):
-            for a in range(0, len(words), 20_000):
-                part = words[a:a + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(part)), pa.array(np.arange(a, a + len(part), dtype=np.int32)),
-                     pa.array(part, pa.binary())], ["block", "code", "word"])
+            part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % parts
+            order = sorted(range(len(words)), key=words.__getitem__)
+            order = np.array(order, np.int64)[np.argsort(part[order], kind="stable")] if order else np.zeros(0, np.int64)
+            cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=parts))
+            rows = [(int(part[order[a]]), name, _pack(order[a:b]), zlib.compress(b"\n".join([words[k] for k in order[a:b].tolist()])))
+                    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.string(), pa.binary(), pa.binary()))],
+                ["part", "block", "codes", "words"])
 
-    return docs.mapInArrow(run, "block string, code int, word binary")
+    return docs.mapInArrow(run, "part int, block string, codes binary, words binary")
 
 
 def block_codes(docs: DataFrame) -> DataFrame:
@@ -129,36 +140,52 @@ def block_codes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "block string, doc_ids array<string>, counts binary, codes binary")
 
 
+class _Table:
+    """The distinct words of one part and their ids, in arrays that grow by doubling."""
+
+    def __init__(self, tok):
+        self.tok, self.code = tok, defaultdict()
+        self.code.default_factory = self.code.__len__
+        self.lens, self.ids, self.used = np.zeros(16, np.int64), np.zeros(64, np.int64), 0
+        self.starts = np.zeros(16, np.int64)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+    def look_up(self, words: list[bytes]):
+        """(lengths, ids one after another) of the words; those not met before are encoded."""
+        had = len(self.code)
+        at = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        new = [w.decode("utf-8", "replace") for w, k in zip(words, at.tolist()) if k >= had]
+        if new:
+            ids = [e.ids for e in self.tok.encode_batch(new, add_special_tokens=False)]
+            lens = np.array([len(x) for x in ids], np.int64)
+            total = self.used + int(lens.sum())
+            self.lens, self.starts = self._room(self.lens, had + len(new)), self._room(self.starts, had + len(new))
+            self.ids = self._room(self.ids, total)
+            self.lens[had:had + len(new)] = lens
+            self.starts[had:had + len(new)] = self.used + np.cumsum(lens) - lens
+            self.ids[self.used:total] = [y for x in ids for y in x]
+            self.used = total
+        return self.lens[at], self.ids[_spread(self.starts[at], self.lens[at])]
+
+
 def encode_words(words: DataFrame, tokenizer: str) -> DataFrame:
-    """(block, code, word) -> (block, packed codes, lengths, ids). Sorted by word, so each distinct word is
-    encoded once and its ids are copied to the blocks that have it."""
+    """(part, block, codes, words) -> (block, codes, lens, ids), packed. The rows of a part come one after another,
+    so each distinct word is encoded once and its ids are copied to the blocks that have it."""
     def run(batches):
-        tok = load(tokenizer)
-        last, last_ids = None, None
+        tok, part, known = load(tokenizer), None, None
         for pdf in batches:
-            w = pdf["word"].to_numpy()
-            which, distinct = pd.factorize(w)
-            ids: list = [None] * len(distinct)
-            first = 0
-            if len(distinct) and distinct[0] == last:
-                ids[0], first = last_ids, 1
-            todo = [bytes(x).decode("utf-8", "replace") for x in distinct[first:]]
-            for k, e in enumerate(tok.encode_batch(todo, add_special_tokens=False)):
-                ids[first + k] = e.ids
-            last, last_ids = distinct[-1], ids[-1]
-            lens = np.array([len(x) for x in ids], np.int64)
-            flat = np.fromiter((y for x in ids for y in x), np.int64, int(lens.sum()))
-            starts = np.cumsum(lens) - lens
-            blocks, names = pd.factorize(pdf["block"].to_numpy())
-            codes = pdf["code"].to_numpy()
             rows = []
-            for k, name in enumerate(names):
-                at = np.flatnonzero(blocks == k)
-                n = lens[which[at]]
-                rows.append((name, _pack(codes[at]), _pack(n), _pack(flat[_spread(starts[which[at]], n)])))
+            for r in pdf.itertuples(index=False):
+                if r.part != part:
+                    part, known = r.part, _Table(tok)
+                lens, ids = known.look_up(zlib.decompress(r.words).split(b"\n"))
+                rows.append((r.block, bytes(r.codes), _pack(lens), _pack(ids)))
             yield pd.DataFrame(rows, columns=["block", "codes", "lens", "ids"])
 
-    return words.repartition("word").sortWithinPartitions("word").mapInPandas(
+    return words.repartition("part").sortWithinPartitions("part").mapInPandas(
         run, "block string, codes binary, lens binary, ids binary")
 
 
@@ -174,7 +201,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
     for every row of ``docs``; ``with_ids`` adds ids array<int>."""
     kind = kind_of(docs, "doc_id")
     small = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    words = encode_words(block_words(small), tokenizer)
+    words = encode_words(block_words(small, word_parts(docs)), tokenizer)
 
     def join(key, left, right):
         pieces = _pieces(tokenizer)
