@@ -21,7 +21,6 @@ _UNITS = {
     "min": 60_000_000, "t": 60_000_000, "minute": 60_000_000, "minutes": 60_000_000,
     "h": 3_600_000_000, "hour": 3_600_000_000, "hours": 3_600_000_000,
     "d": DAY_US, "day": DAY_US, "days": DAY_US,
-    "w": 7 * DAY_US, "week": 7 * DAY_US, "weeks": 7 * DAY_US,
 }
 
 

@@ -25,9 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratecast.operators.keyjoin import join_keys
 from ratecast.session import materialize, shuffle_partitions
 
 MIN_BLOCK = 4096
+LARGEST = 1e30
 
 
 def block_size(halo: int, block: int | None = None) -> int:
@@ -85,23 +87,25 @@ def running_sums(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
     ordered by ``idx`` within ``keys``; equal to ``sum() OVER (ORDER BY idx ROWS
     UNBOUNDED PRECEDING)`` but never one task for the whole series.
 
-    Finite values are summed as DECIMAL(38,18), so the block order of the additions
-    cannot change the result; NaN / +inf / -inf are counted apart and restored with
-    IEEE rules (any NaN, or both infinities -> NaN; else the infinity).
+    Finite values are summed as exact decimals, whole parts and fractions apart, so the block
+    order of the additions cannot change the result and squares of large errors fit; NaN,
+    +inf and -inf (and what is beyond 1e30) are counted apart and restored with IEEE rules (any NaN, or both
+    infinities -> NaN; else the infinity).
     """
     b = block or MIN_BLOCK
     keys = list(keys)
-    dec = "decimal(38,18)"
     d = df.withColumn("_blk", F.floor(F.col(idx) / F.lit(b)).cast("long"))
     parts = {}
     for c in cols:
         x = F.col(c).cast("double")
-        bad = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+        bad = F.isnan(x) | (F.abs(x) >= F.lit(LARGEST))
+        x_int = F.when(bad, F.lit(0.0)).otherwise(x).cast("decimal(38,0)").cast("double")
         parts[c] = {
-            "fin": F.when(x.isNull() | bad, F.lit(0)).otherwise(x).cast(dec),
+            "int": F.when(x.isNull() | bad, F.lit(0.0)).otherwise(x).cast("decimal(38,0)"),
+            "frac": F.when(x.isNull() | bad, F.lit(0.0)).otherwise(x - x_int).cast("decimal(19,18)"),
             "nan": F.isnan(x).cast("long"),
-            "pinf": (x == F.lit(float("inf"))).cast("long"),
-            "ninf": (x == F.lit(float("-inf"))).cast("long"),
+            "pinf": ((x >= F.lit(LARGEST)) & ~F.isnan(x)).cast("long"),
+            "ninf": (x <= F.lit(-LARGEST)).cast("long"),
         }
     d = d.select("*", *[e.alias(f"_{k}_{c}") for c, ps in parts.items() for k, e in ps.items()])
     comps = [f"_{k}_{c}" for c, ps in parts.items() for k in ps]
@@ -117,14 +121,14 @@ def running_sums(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
                  *[F.sum(v).over(inblk).alias(f"_r{v}") for v in comps])
     # the block table is (#keys x n/B) rows; AQE broadcasts it when it is small and
     # falls back to a shuffle join otherwise
-    out = d.join(carry, [*keys, "_blk"])
+    out = join_keys(d, carry, keys, ["_blk"])
     out = out.withColumn(f"{prefix}n", F.col("_rn") + F.col("_cn"))
     for c in cols:
-        tot = {k: F.col(f"_r_{k}_{c}") + F.col(f"_c_{k}_{c}") for k in ("fin", "nan", "pinf", "ninf")}
+        tot = {k: F.col(f"_r_{k}_{c}") + F.col(f"_c_{k}_{c}") for k in ("int", "frac", "nan", "pinf", "ninf")}
         val = (F.when((tot["nan"] > 0) | ((tot["pinf"] > 0) & (tot["ninf"] > 0)), F.lit(float("nan")))
                .when(tot["pinf"] > 0, F.lit(float("inf")))
                .when(tot["ninf"] > 0, F.lit(float("-inf")))
-               .otherwise(tot["fin"].cast("double")))
+               .otherwise(tot["int"].cast("double") + tot["frac"].cast("double")))
         out = out.withColumn(f"{prefix}{c}", val)
     drop = ["_blk", "_rn", "_cn"] + comps + [f"_r{v}" for v in comps] + [f"_c{v}" for v in comps]
     return out.drop(*drop)
@@ -187,10 +191,11 @@ def range_scan(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
     keys, order, carry = list(keys), list(order), list(carry)
     spark = df.sparkSession
     p = partitions or shuffle_partitions(spark)
-    rp = df.repartitionByRange(p, *[F.col(c).asc_nulls_first() for c in keys + order])
+    by = [F.col(c).asc_nulls_first() for c in keys] + [F.col(c).asc_nulls_last() for c in order]
+    rp = df.repartitionByRange(p, *by)
     schema = T.StructType(list(df.schema.fields) + [T.StructField("_lpos", T.LongType())] + [
         T.StructField(f"_lprev_{c}", df.schema[c].dataType) for c in carry])
-    local = (rp.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys + order])
+    local = (rp.sortWithinPartitions(*by)
              .mapInPandas(_local_scan_fn(keys, carry), schema)
              .withColumn("_pid", F.spark_partition_id()))
     # range bounds are sampled per execution: compute the partitioned scan once
@@ -198,7 +203,7 @@ def range_scan(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
     # per (range partition, key): row count and last carry values -- at most p + #keys rows
     summ = (local.groupBy("_pid", *keys)
             .agg(F.count(F.lit(1)).alias("_cnt"),
-                 F.max(F.struct(*order, *[F.col(c).alias(f"_c_{c}") for c in carry])).alias("_last")))
+                 F.max(F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c))], *[F.col(c).alias(f"_c_{c}") for c in carry])).alias("_last")))
     prev_parts = Window.partitionBy(*keys).orderBy("_pid")
     carry_tbl = summ.select(
         "_pid", *keys,
@@ -209,11 +214,11 @@ def range_scan(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
         # at most p rows: a proven bound, so broadcast
         joined = local.join(F.broadcast(carry_tbl), ["_pid"])
     elif with_position:
-        joined = local.join(carry_tbl, ["_pid", *keys])
+        joined = join_keys(local, carry_tbl, keys, ["_pid"])
     else:
         # only the first row of each (partition, key) needs the carry: join that small
         # part and leave the rest of the log where it is
-        first = local.where(F.col("_lpos") == 0).join(carry_tbl, ["_pid", *keys])
+        first = join_keys(local.where(F.col("_lpos") == 0), carry_tbl, keys, ["_pid"])
         rest = local.where(F.col("_lpos") != 0)
         for c in carry:
             rest = rest.withColumn(f"_carry_{c}", F.lit(None).cast(df.schema[c].dataType))
@@ -232,12 +237,13 @@ def range_scan(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
 # ----------------------------------------------------------------------------------
 # exact quantiles / k-th values without a single-task merge of all distinct values
 # ----------------------------------------------------------------------------------
-def _value_ranks(df: DataFrame, col: str, keys: list[str], partitions: int | None):
-    """Value counts range-partitioned by value, and the per-partition rank offsets."""
+def _value_ranks(df: DataFrame, col: str, keys: list[str], partitions: int | None, kind: str | None = "double"):
+    """Value counts range-partitioned by value, and the per-partition rank offsets. ``kind`` None
+    keeps the column's own type (a large id does not fit a double)."""
     spark = df.sparkSession
     p_n = partitions or shuffle_partitions(spark)
     vc = (df.where(F.col(col).isNotNull())
-          .groupBy(*keys, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_w")))
+          .groupBy(*keys, (F.col(col).cast(kind) if kind else F.col(col)).alias("_v")).agg(F.count(F.lit(1)).alias("_w")))
     rp = materialize(vc.repartitionByRange(p_n, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
     part = rp.groupBy(*keys, "_pid").agg(F.sum("_w").alias("_pw"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
@@ -252,14 +258,14 @@ def _values_at(rp: DataFrame, part: DataFrame, ranks: DataFrame, keys: list[str]
     """``ranks`` (keys.., tags.., _r) -> same rows with ``_x``, the value at rank _r.
     Only the range partitions holding a target rank are sorted."""
     # both sides are tiny (target ranks x range partitions)
-    hit = (ranks.join(part, keys, "inner") if keys else ranks.crossJoin(F.broadcast(part))).where(
+    hit = (join_keys(ranks, part, keys) if keys else ranks.crossJoin(F.broadcast(part))).where(
         (F.col("_r") >= F.col("_poff")) & (F.col("_r") < F.col("_poff") + F.col("_pw")))
     pids = hit.select(*keys, "_pid").distinct()
-    sel = rp.join(F.broadcast(pids) if not keys else pids, [*keys, "_pid"])
+    sel = join_keys(rp, F.broadcast(pids) if not keys else pids, keys, ["_pid"])
     wv = Window.partitionBy(*keys, "_pid").orderBy("_v")
     sel = sel.withColumn("_cum", F.sum("_w").over(wv.rowsBetween(Window.unboundedPreceding, 0)))
     tags = [c for c in ranks.columns if c not in keys]
-    loc = sel.join(hit.select(*keys, "_pid", "_poff", *tags), [*keys, "_pid"]) \
+    loc = join_keys(sel, hit.select(*keys, "_pid", "_poff", *tags), keys, ["_pid"]) \
         .where((F.col("_r") >= F.col("_poff") + F.col("_cum") - F.col("_w"))
                & (F.col("_r") < F.col("_poff") + F.col("_cum")))
     return loc.select(*keys, *tags, F.col("_v").alias("_x"))
@@ -271,7 +277,7 @@ def rank_values(df: DataFrame, col: str, ranks: Sequence[int], keys: Sequence[st
     past the end give the maximum)."""
     keys = list(keys)
     spark = df.sparkSession
-    rp, part = _value_ranks(df, col, keys, partitions)
+    rp, part = _value_ranks(df, col, keys, partitions, kind=None)
     rk = spark.createDataFrame([(int(r),) for r in ranks], "rank long")
     t = part.select(*keys, "_n").distinct().crossJoin(F.broadcast(rk)) \
         .select(*keys, "rank", F.least(F.col("rank"), F.col("_n") - 1).alias("_r"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.functions import metrics as M
+from ratecast.operators.keyjoin import join_keys
 from ratecast.operators.blocks import bounded_window
 from ratecast.operators.prep import tail_split, temporal_split
 from ratecast.operators.series import attach
@@ -119,12 +120,12 @@ def align_predictions(test: DataFrame, preds: DataFrame, lookback: int, col: str
     t = attach(test, t0, keys).select(*keys, (F.col("idx") - F.col("_t0")).alias("_pos"), "ts",
                                       F.col(col).cast("double").alias("actual"))
     p = preds.select(*keys, (F.col("row") + lookback).alias("_pos"), "predicted")
-    return t.join(p, [*keys, "_pos"]).withColumnRenamed("_pos", "pos")
+    return join_keys(t, p, keys, ["_pos"]).withColumnRenamed("_pos", "pos")
 
 
-def zoom_first(pairs: DataFrame, n: int = 100, pos: str = "pos") -> DataFrame:
-    """The first ``min(n, len)`` pairs."""
-    return pairs.where(F.col(pos) < n)
+def zoom_first(pairs: DataFrame, n: int = 100, lookback: int = 0, pos: str = "pos") -> DataFrame:
+    """The first ``min(n, len)`` pairs; the first pair stands at position ``lookback``."""
+    return pairs.where(F.col(pos) < lookback + n)
 
 
 def batch_score(windows: DataFrame, make_predict_fn: Callable, lookback: int,

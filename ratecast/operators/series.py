@@ -13,22 +13,19 @@ from pyspark.sql import functions as F
 
 from ratecast.functions.timecols import DAY_US, as_ntz, freq_micros, from_micros, to_micros
 from ratecast.operators.blocks import exact_quantiles
+from ratecast.operators.keyjoin import join_keys
 from ratecast.session import shuffle_partitions
 
 GRID_CHUNK = 1440  # bins generated per grid task row
 
 
-def _one_row(df: DataFrame, keys: Sequence[str]) -> bool:
-    return not list(keys)
-
-
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Attach per-key statistics: a one-row table is broadcast (proven size), a keyed
     table is joined and left to AQE (broadcast when it is small at run time)."""
     keys = list(keys)
     if not keys:
         return df.crossJoin(F.broadcast(stats))
-    return df.join(stats, keys)
+    return join_keys(df, stats, keys)
 
 
 def bin_events(df: DataFrame, ts: str = "ts", freq: str | int = "1 minute",
@@ -93,7 +90,7 @@ def resample_count(df: DataFrame, ts: str = "ts", freq: str | int = "1 minute",
     nonempty = F.when(F.col("_c") > 0, F.col("_bin"))
     bounds = counts.groupBy(*keys).agg(F.min(nonempty).alias("_lo"), F.max(nonempty).alias("_hi"))
     grid = dense_grid(bounds, step, keys)
-    s = grid.join(counts, [*keys, "_bin"], "left")
+    s = join_keys(grid, counts, keys, ["_bin"], "left")
     return s.select(*keys, from_micros(F.col("_bin")).alias("ts"), "idx",
                     F.coalesce(F.col("_c"), F.lit(0)).cast("long").alias(count_col))
 
@@ -173,7 +170,7 @@ def series_percentiles(series: DataFrame, col: str = "txn_count", keys: Sequence
 
 
 def sort_by_time(df: DataFrame, ts: str = "ts", tiebreak: str | None = None) -> DataFrame:
-    """Global order by time, then a 0-based position ``row_index`` (reset_index).
+    """Global order by time (missing times last), then a 0-based position ``row_index`` (reset_index).
 
     The position comes from a range scan (per-partition counts + carried offsets), not
     from a single-partition ``row_number``.

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.functions.calendar import lag_label
+from ratecast.operators.keyjoin import join_keys
 from ratecast.operators.blocks import MIN_BLOCK, with_halo
 from ratecast.operators.series import attach, series_length
 
@@ -61,7 +62,7 @@ def acf(series: DataFrame, lags: Sequence[int] = tuple(range(101)), col: str = "
     parts = h.groupBy(*keys, "_blk").applyInPandas(_acf_block_fn(keys, lags), schema)
     sums = parts.groupBy(*keys, "lag").agg(F.sum("sxy").alias("sxy"))
     den = sums.where(F.col("lag") == 0).select(*keys, F.col("sxy").alias("_den"))
-    r = (sums.join(den, keys) if keys else sums.crossJoin(den))
+    r = (join_keys(sums, den, keys) if keys else sums.crossJoin(F.broadcast(den)))
     r = attach(r, mean.select(*keys, "_n"), keys).where(F.col("lag") < F.col("_n"))
     val = F.when(F.col("_den") == 0, F.lit(float("nan"))).otherwise(F.col("sxy") / F.col("_den"))
     return r.select(*keys, "lag", val.alias("acf"))
@@ -114,7 +115,7 @@ def iqr_outliers(series: DataFrame, col: str = "txn_count", keys: Sequence[str]
     out = (F.col(col) < F.col("lower_bound")) | (F.col(col) > F.col("upper_bound"))
     c = s.groupBy(*keys).agg(F.count_if(out).alias("n_outliers"), F.count(F.lit(1)).alias("_n"))
     c = c.withColumn("outlier_pct", F.col("n_outliers") * 100.0 / F.col("_n")).drop("_n")
-    return b.join(c, keys) if keys else b.crossJoin(c)
+    return join_keys(b, c, keys) if keys else b.crossJoin(F.broadcast(c))
 
 
 def iqr_outlier_stats(series: DataFrame, col: str = "txn_count", keys: Sequence[str] = (), k: float = 3.0) -> DataFrame:
@@ -278,11 +279,15 @@ def _autolag_fn(keys: list[str]):
         best = None
         for lag in range(maxlag + 1):
             k = 2 + lag
-            _, ssr, _ = _ols(g, k, nobs)
+            try:
+                _, ssr, _ = _ols(g, k, nobs)
+            except np.linalg.LinAlgError:      # a constant series: no regression, no statistic
+                continue
             llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs if ssr > 0 else 1e-300) + 1)
             aic = -2 * llf + 2 * k
             if best is None or aic < best[0]:
                 best = (aic, lag)
+        best = best or (float("nan"), 0)
         out = pd.DataFrame({"best_lag": [best[1]], "max_lag": [maxlag], "ic_best": [best[0]]})
         for c in keys:
             out[c] = pdf[c].iloc[0]
@@ -295,11 +300,13 @@ def _final_fn(keys: list[str]):
         g, nobs = _full(pdf)
         p = g.shape[0] - 3
         k = 2 + p
-        beta, ssr, xtx = _ols(g, k, nobs)
-        sigma2 = ssr / (nobs - k)
-        cov = sigma2 * np.linalg.inv(xtx)
-        t = float(beta[1] / math.sqrt(cov[1, 1])) if cov[1, 1] > 0 else float("nan")
-        pv = mackinnon_p(t)
+        try:
+            beta, ssr, xtx = _ols(g, k, nobs)
+            cov = ssr / (nobs - k) * np.linalg.inv(xtx) if nobs > k else np.zeros((2, 2))
+            t = float(beta[1] / math.sqrt(cov[1, 1])) if cov[1, 1] > 0 else float("nan")
+        except np.linalg.LinAlgError:          # a constant series has no statistic
+            t = float("nan")
+        pv = mackinnon_p(t) if not math.isnan(t) else float("nan")
         cv = mackinnon_crit(nobs)
         out = pd.DataFrame({"adf_statistic": [t], "p_value": [pv], "used_lag": [p], "nobs": [nobs],
                             "crit_1pct": [cv["1%"]], "crit_5pct": [cv["5%"]], "crit_10pct": [cv["10%"]],

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ratecast.functions import metrics as M
 from ratecast.functions.timecols import as_ntz, to_micros
+from ratecast.operators.keyjoin import join_keys
 from ratecast.operators.blocks import (bounded_window, drop_halo, exact_quantiles, halo_window,
                                        range_scan, running_sums, with_halo)
 from ratecast.operators.series import attach, series_length
@@ -45,7 +46,7 @@ def event_gap_stats(gaps: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         (F.min("gap_us") / 1e6).alias("min_gap_s"),
         (F.max("gap_us") / 1e6).alias("max_gap_s"))
     med = exact_quantiles(g, "gap_us", [0.5], keys).select(*keys, (F.col("value") / 1e6).alias("median_gap_s"))
-    return base.join(med, keys, "left") if keys else base.crossJoin(med)
+    return join_keys(base, med, keys, how="left") if keys else base.crossJoin(F.broadcast(med))
 
 
 # ----------------------------------------------------------------------------------
@@ -66,25 +67,33 @@ def rolling_mean_std(series: DataFrame, col: str = "txn_count", rows: int = 1440
     (default ``rows``) rows exist.
 
     O(n) per block instead of O(n*rows): inside a halo block the running sums S1, S2
-    are differenced ``rows`` apart (sums stay block-local, so no large cancellation).
+    of distances from the block's first value are differenced ``rows`` apart, so a high
+    level does not cancel the variance away and a constant series has exactly 0.
     """
     keys = list(keys)
     mp = rows if min_periods is None else min_periods
     h = with_halo(series, rows, block)
     w = halo_window(keys)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    x = F.col(col).cast("double")
+    h = h.withColumn("_level", F.first(F.col(col).cast("double")).over(run))
+    x = F.col(col).cast("double") - F.col("_level")
     h = h.withColumn("_s1", F.sum(x).over(run)).withColumn("_s2", F.sum(x * x).over(run)) \
         .withColumn("_rn", F.row_number().over(w))
     cnt = F.least(F.col("_rn"), F.lit(rows)).cast("double")
     s1 = F.col("_s1") - F.coalesce(F.lag("_s1", rows).over(w), F.lit(0.0))
     s2 = F.col("_s2") - F.coalesce(F.lag("_s2", rows).over(w), F.lit(0.0))
     h = h.withColumn("_cnt", cnt).withColumn("_w1", s1).withColumn("_w2", s2)
-    mean = F.col("_w1") / F.col("_cnt")
+    mean = F.col("_level") + F.col("_w1") / F.col("_cnt")
     var = F.greatest((F.col("_w2") - F.col("_w1") * F.col("_w1") / F.col("_cnt")) / (F.col("_cnt") - 1), F.lit(0.0))
     h = h.withColumn("rolling_mean", F.when(F.col("_cnt") >= mp, mean)) \
         .withColumn("rolling_std", F.when((F.col("_cnt") >= mp) & (F.col("_cnt") > 1), F.sqrt(var)))
-    return drop_halo(h).drop("_s1", "_s2", "_rn", "_cnt", "_w1", "_w2")
+    return drop_halo(h).drop("_level", "_s1", "_s2", "_rn", "_cnt", "_w1", "_w2")
+
+
+def _with_start(out: DataFrame, side_start: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """First index of each side. Without keys that is a row per split side: broadcast, so the windows
+    (each ``lookback`` times a row) are not shuffled on a two-valued column."""
+    return attach(out, side_start if keys else F.broadcast(side_start), parts)
 
 
 def lookback_windows(series: DataFrame, col: str = "txn_count", lookback: int = 60,
@@ -100,7 +109,7 @@ def lookback_windows(series: DataFrame, col: str = "txn_count", lookback: int =
     }, halo=lookback, keys=parts)
     out = out.where(F.size("x") == lookback)
     side_start = series.groupBy(*parts).agg(F.min("idx").alias("_start"))
-    out = attach(out, side_start, parts) if parts else out.crossJoin(F.broadcast(side_start))
+    out = _with_start(out, side_start, keys, parts)
     return out.select(*parts, "idx", (F.col("idx") - F.col("_start") - lookback).alias("row"),
                       "x", F.col(col).cast("double").alias("y"))
 
@@ -117,7 +126,7 @@ def lookback_windows_multi(features: DataFrame, cols: Sequence[str] = ("txn_coun
     }, halo=lookback, keys=parts)
     out = out.where(F.size("x") == lookback)
     side_start = features.groupBy(*parts).agg(F.min("idx").alias("_start"))
-    out = attach(out, side_start, parts) if parts else out.crossJoin(F.broadcast(side_start))
+    out = _with_start(out, side_start, keys, parts)
     return out.select(*parts, "idx", (F.col("idx") - F.col("_start") - lookback).alias("row"),
                       "x", F.col(target).cast("double").alias("y"))
 

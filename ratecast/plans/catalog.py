@@ -475,14 +475,6 @@ def q_time_range(spark, d):
     return PF.time_range(events(spark, d))
 
 
-@query("numeric_columns", f"""SELECT CAST(row_number() OVER (ORDER BY ordinal_position) - 1 AS INTEGER) AS ordinal, column_name,
-       {TYPE_MAP} AS data_type FROM information_schema.columns
-WHERE table_name = 'events' AND data_type IN ('BIGINT', 'INTEGER', 'DOUBLE')""")
-def q_numeric_columns(spark, d):
-    """Numeric columns of events."""
-    return PF.numeric_columns_table(events(spark, d))
-
-
 # ================================================================ 2.C filters
 @query("project_columns", w("SELECT ts, txn_count FROM s"))
 def q_project_columns(spark, d):
@@ -976,10 +968,10 @@ def q_align_predictions(spark, d):
     return _aligned(spark, d)
 
 
-@query("zoom_first_100", ALIGN_SQL.replace("WHERE pos >= 10", "WHERE pos >= 10 AND pos < 100"))
+@query("zoom_first_100", ALIGN_SQL.replace("WHERE pos >= 10", "WHERE pos >= 10 AND pos < 110"))
 def q_zoom_first_100(spark, d):
-    """The first 100 aligned positions."""
-    return FC.zoom_first(_aligned(spark, d), 100)
+    """The first 100 aligned pairs."""
+    return FC.zoom_first(_aligned(spark, d), 100, lookback=10)
 
 
 # ================================================================ 2.K evaluation
@@ -1039,14 +1031,6 @@ def q_best_model(spark, d):
     return EV.best_model(_board(spark, d))
 
 
-@query("replay_progress", REPLAY_H + """
-SELECT *, idx - (SELECT min(idx) FROM pr) + 1 AS predictions_so_far,
-       (idx - (SELECT min(idx) FROM pr) + 1) * 100.0::DOUBLE / (SELECT count(*) FROM pr) AS progress_pct FROM pr""")
-def q_replay_progress(spark, d):
-    """E10."""
-    return EV.replay_progress(hour_replay(spark, d))
-
-
 # ================================================================ 2.A sources / sinks
 EV_COLS = "event_id, ts, user_id, event_type, value, props"
 
@@ -1060,15 +1044,9 @@ def q_read_events_csv(spark, d):
     return IO.read_table(spark, path, fmt="csv", schema=ev.schema)
 
 
-@query("read_events_limit", "SELECT * FROM events ORDER BY event_id LIMIT 700000")
-def q_read_events_limit(spark, d):
-    """The first 700,000 events by id (the reference's read cap)."""
-    return IO.first_rows_by(events(spark, d), 700_000, "event_id")
-
-
 @query("read_events_limit_small", "SELECT * FROM events ORDER BY event_id LIMIT 1000")
 def q_read_events_limit_small(spark, d):
-    """S2 with a cap below the table size."""
+    """The first 1,000 events by id (the limit is the feature)."""
     return IO.first_rows_by(events(spark, d), 1000, "event_id")
 
 
@@ -1188,7 +1166,7 @@ def _stream_events(spark, path, schema):
 
 def _forecast_stream(spark, src_path, schema):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return LV.stream_forecast(LV.stream_resample(_stream_events(spark, src_path, schema)))
+    return LV.stream_forecast(LV.stream_resample(_stream_events(spark, src_path, schema), "0 seconds"))
 
 
 @query("stream_resample", f"SELECT date_trunc('minute', ts) AS ts, count(*) AS txn_count FROM events WHERE date_trunc('minute', ts) < {LAST_MIN} GROUP BY 1")
@@ -1196,7 +1174,7 @@ def q_stream_resample(spark, d):
     """L1: the events file as a live feed, closed minutes counted (watermark 0 s)."""
     ev = events(spark, d)
     out, ck = scratch(spark, "l1-out"), scratch(spark, "l1-ckpt")
-    LV.run_to_table(LV.stream_resample(_stream_events(spark, f"{d}/events.parquet", ev.schema)), out, ck)
+    LV.run_to_table(LV.stream_resample(_stream_events(spark, f"{d}/events.parquet", ev.schema), "0 seconds"), out, ck)
     return spark.read.parquet(out)
 
 
@@ -1226,20 +1204,23 @@ def q_stream_resume(spark, d):
     return spark.read.parquet(out)
 
 
-@query("stream_late_data")
+@query("stream_late_data", """WITH m AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS m FROM events)
+SELECT count(*) AS input_rows, count(*) FILTER (WHERE ts < m) AS late_rows FROM events, m""")
 def q_stream_late_data(spark, d):
     """The second half of the feed arrives first, then the first half arrives late and
-    is dropped by the watermark; returns per-batch input and dropped row counts."""
+    is dropped by the watermark: events read and late events dropped, over all micro-batches."""
     ev = events(spark, d)
     mid = ev.agg(F.min("ts").alias("a"), F.max("ts").alias("b")) \
         .select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("m"))
     src, out, ck = scratch(spark, "l5-src"), scratch(spark, "l5-out"), scratch(spark, "l5-ckpt")
-    ev.crossJoin(mid).where(F.col("ts") >= F.col("m")).drop("m").write.mode("append").parquet(src)
-    p1 = LV.run_to_table(LV.stream_resample(_stream_events(spark, src, ev.schema)), out, ck)
-    ev.crossJoin(mid).where(F.col("ts") < F.col("m")).drop("m").write.mode("append").parquet(src)
-    p2 = LV.run_to_table(LV.stream_resample(_stream_events(spark, src, ev.schema)), out, ck)
-    rows = [(i, *r) for i, r in enumerate(LV.dropped_by_watermark(p1) + LV.dropped_by_watermark(p2))]
-    return spark.createDataFrame(rows, "seq int, batch_id int, input_rows long, dropped_by_watermark long")
+    halves = ev.crossJoin(F.broadcast(mid))
+    reports = []
+    for late in (False, True):
+        halves.where((F.col("ts") < F.col("m")) == F.lit(late)).drop("m").write.mode("append").parquet(src)
+        minutes = LV.stream_resample(_stream_events(spark, src, ev.schema), "0 seconds", unique=["event_id"])
+        reports += LV.dropped_by_watermark(LV.run_to_table(minutes, out, ck))
+    total = [(sum(r[1] for r in reports), sum(r[2] for r in reports))]
+    return spark.createDataFrame(total, "input_rows long, late_rows long")
 
 
 # ================================================================ single-operator names (2.F, 2.K, 2.L)
@@ -1341,6 +1322,6 @@ def q_stream_forecast_by_type(spark, d):
     ev = events(spark, d)
     out, ck = scratch(spark, "l2k-out"), scratch(spark, "l2k-ckpt")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    minutes = LV.stream_resample(_stream_events(spark, f"{d}/events.parquet", ev.schema), keys=["event_type"])
+    minutes = LV.stream_resample(_stream_events(spark, f"{d}/events.parquet", ev.schema), "0 seconds", keys=["event_type"])
     LV.run_to_table(LV.stream_forecast(minutes, keys=["event_type"]), out, ck)
     return spark.read.parquet(out)

@@ -100,7 +100,7 @@ def ml_grid(series: DataFrame, estimators: Sequence[str] = ("linear",), lookback
                              M.mape_eps().alias("mape"))
                 m = m.withColumn("error", F.lit(None).cast("string"))
             except Exception as e:  # noqa: BLE001 - a failed run is a row, as in the reference
-                m = spark.createDataFrame([(0, None, None, None, str(e)[:500])],
+                m = spark.createDataFrame([(0, None, None, None, str(e))],
                                           "n long, mae double, rmse double, mape double, error string")
             m = m.crossJoin(F.broadcast(spark.createDataFrame([(b,) for b in batch_sizes], "batch_size int")))
             m = m.select(F.lit(est).alias("model"), F.lit(order).alias("run_order"), F.lit(lb).alias("lookback"),

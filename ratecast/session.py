@@ -1,7 +1,6 @@
 """Session helpers: conf defaults, shared checkpoint folder, partition sizing."""
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -24,11 +23,11 @@ def get_spark(app: str = "ratecast", master: str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster ``master`` is left to spark-submit; locally ``local[*]`` is used.
+    ``master`` is set only when the caller passes one; else spark-submit's stands.
     """
     b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or "local[*]")
+    if master:
+        b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -44,14 +43,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Read from ``spark.checkpoint.dir`` as the cluster configures it; only when it is
-    unset (local tests) a fresh private folder is created and registered.
+    unset in local mode a fresh private folder is created; on a cluster that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ratecast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

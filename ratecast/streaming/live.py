@@ -3,7 +3,7 @@
 L1  ``stream_resample``: event-time tumbling counts with a watermark (append mode).
 L2  ``stream_forecast`` / L3: a stateful processor per key (``transformWithStateInPandas``,
     RocksDB state) that fills empty minutes, predicts each minute from the previous
-    actuals (mean of the last 3, as the batch baseline) and keeps exact running error
+    actuals (mean of the last 3, as the batch baseline) and keeps compensated running error
     sums. One global series is one state key; keyed streams scale out by key, and L1
     has already reduced the feed to one row per closed minute.
 L4  ``run_to_table``: ``availableNow`` runs against a checkpoint folder: a restart with
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +39,18 @@ def event_stream(spark: SparkSession, path: str, schema: T.StructType, ts: str =
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def stream_resample(sdf: DataFrame, ts: str = "ts", freq: str = "1 minute", watermark: str = "0 seconds",
-                    keys: Sequence[str] = ()) -> DataFrame:
+def stream_resample(sdf: DataFrame, watermark: str, ts: str = "ts", freq: str = "1 minute",
+                    keys: Sequence[str] = (), unique: Sequence[str] = ()) -> DataFrame:
     """L1: per-bin counts of a live feed, emitted once the watermark closes the bin.
-    Output ``keys.., ts (timestamp_ntz bin start), txn_count``."""
-    g = sdf.withWatermark(ts, watermark).groupBy(*keys, F.window(ts, freq).alias("w")) \
+    Output ``keys.., ts (timestamp_ntz bin start), txn_count``.
+
+    ``watermark`` says how late an event may come; there is no default, as everything later is
+    dropped. With ``unique`` (an event id) events delivered twice count once; late events
+    then reach the first stateful operator one by one, so its dropped rows are events (L5)."""
+    src = sdf.withWatermark(ts, watermark)
+    if unique:
+        src = src.dropDuplicates([*unique, ts])
+    g = src.groupBy(*keys, F.window(ts, freq).alias("w")) \
         .agg(F.count(F.lit(1)).alias("txn_count"))
     return g.select(*keys, F.col("w.start").cast("timestamp_ntz").alias("ts"), "txn_count")
 
@@ -69,6 +75,13 @@ def _baseline(recent: list[float], k: int) -> float:
     return recent[-1] if recent else 0.0
 
 
+def _add(total: list[float], x: float) -> None:
+    """Add to a sum kept as [sum, lost low-order part] (Neumaier): a state of fixed size."""
+    s = total[0] + x
+    total[1] += (total[0] - s) + x if abs(total[0]) >= abs(x) else (x - s) + total[0]
+    total[0] = s
+
+
 def make_processor(key_names: Sequence[str], step_us: int = MINUTE_US, lookback: int = 10, k: int = 3):
     from pyspark.sql.streaming import StatefulProcessor
 
@@ -79,7 +92,7 @@ def make_processor(key_names: Sequence[str], step_us: int = MINUTE_US, lookback:
         def _load(self):
             if self.state.exists():
                 return json.loads(self.state.get()[0])
-            return {"last": None, "recent": [], "n": 0, "sae": "0", "sse": "0", "sape": "0",
+            return {"last": None, "recent": [], "n": 0, "sae": [0.0, 0.0], "sse": [0.0, 0.0], "sape": [0.0, 0.0],
                     "nan": 0, "inf": 0}
 
         def handleInputRows(self, key, rows, timerValues):
@@ -90,7 +103,7 @@ def make_processor(key_names: Sequence[str], step_us: int = MINUTE_US, lookback:
             pdf = pd.concat(parts).sort_values("ts")
             epoch = pd.Timestamp("1970-01-01")
             out = []
-            sae, sse, sape = Fraction(st["sae"]), Fraction(st["sse"]), Fraction(st["sape"])
+            sae, sse, sape = st["sae"], st["sse"], st["sape"]
             for ts, cnt in zip(pdf["ts"], pdf["txn_count"]):
                 us = (pd.Timestamp(ts) - epoch) // pd.Timedelta(microseconds=1)
                 if st["last"] is not None and us <= st["last"]:
@@ -101,26 +114,25 @@ def make_processor(key_names: Sequence[str], step_us: int = MINUTE_US, lookback:
                     pred = float(_baseline(st["recent"], k))
                     err = abs(pred - actual)
                     st["n"] += 1
-                    sae += Fraction(err)
-                    sse += Fraction(err) * Fraction(err)
+                    _add(sae, err)
+                    _add(sse, err * err)
                     if actual == 0:
                         if err == 0:
                             st["nan"] += 1
                         else:
                             st["inf"] += 1
                     else:
-                        sape += Fraction(err) / Fraction(actual)
+                        _add(sape, err / actual)
                     n = st["n"]
                     if n > 1:
-                        mae = float(sae / n)
-                        rmse = float(sse / n) ** 0.5
-                        mape = float("nan") if st["nan"] else (float("inf") if st["inf"] else float(sape / n) * 100)
+                        mae = sum(sae) / n
+                        rmse = (sum(sse) / n) ** 0.5
+                        mape = float("nan") if st["nan"] else (float("inf") if st["inf"] else sum(sape) / n * 100)
                     else:
                         mae = rmse = mape = None
                     out.append((*key, epoch + pd.Timedelta(microseconds=b), actual, pred, err, mae, rmse, mape))
-                    st["recent"] = (st["recent"] + [actual])[-lookback:]
+                    st["recent"] = (st["recent"] + [actual])[-max(lookback, k):]
                 st["last"] = us
-            st["sae"], st["sse"], st["sape"] = str(sae), str(sse), str(sape)
             self.state.update((json.dumps(st),))
             cols = [*key_names, "ts", "actual", "predicted", "error", "running_mae", "running_rmse", "running_mape"]
             yield pd.DataFrame(out, columns=cols)
@@ -146,35 +158,24 @@ def stream_forecast(minutes: DataFrame, keys: Sequence[str] = (), freq: str = "1
     return out if keys else out.drop("_series")
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """State partitions for a new stream: the session's shuffle partitions, but not more
-    than the cluster's task slots (each state partition is a store opened every batch)."""
-    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
-                      spark.sparkContext.defaultParallelism))
-
-
-def run_to_table(sdf: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                 partitions: int | None = None) -> list[dict]:
+def run_to_table(sdf: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> list[dict]:
     """L4: run a stream to completion of the available input (``availableNow``) into a
     table; re-running with the same checkpoint resumes where it stopped. Returns the
-    progress reports (for L5's dropped-row counts).
+    progress reports of all micro-batches (for L5's dropped-row counts); Spark keeps the last 100
+    only, so they are gathered while the stream runs.
 
-    The number of state partitions is fixed when a checkpoint is first created (later
-    restarts read it from the checkpoint); ``partitions`` (default ``state_partitions``)
-    is applied only to the query being started: the stream runs on a clone of the
-    session's settings and the session value is restored right after ``start()``.
+    The number of state partitions is the session's ``spark.sql.shuffle.partitions`` when the checkpoint is
+    first created, and stays so: set it for the size the stream will grow to.
     """
-    spark = sdf.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or state_partitions(spark)))
-    try:
-        q = (sdf.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, before)
-    q.awaitTermination()
-    return [json.loads(p.json) for p in q.recentProgress]
+    q = (sdf.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start())
+    reports: dict[int, dict] = {}
+    running = True
+    while running:
+        running = not q.awaitTermination(0.5)
+        for p in q.recentProgress:
+            reports[int(p.batchId)] = json.loads(p.json)
+    return [reports[k] for k in sorted(reports)]
 
 
 def dropped_by_watermark(progress: list[dict]) -> list[tuple[int, int, int]]:
