@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_texts, kind_of
+from .common import release, trimmed, arrow_texts, kind_of
 
 BLOCK_WORDS = 3_000_000       # words of a block of documents, at most (a document is never split)
 BLOCK_DISTINCT = 400_000      # distinct words at which a block is closed
@@ -66,7 +66,7 @@ def _codes(view, code_of) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
-def _blocks(batches):
+def _blocks(batches, block_words):
     """Blocks of documents: (name, doc_ids, words per document, codes, words)."""
     ids, counts, codes, seen, total = [], [], [], defaultdict(), 0
     seen.default_factory = seen.__len__
@@ -91,7 +91,7 @@ def _blocks(batches):
             c = _codes(view[off[i]:off[i + 1]], seen.__getitem__)
             ids.append(doc_id), counts.append(len(c)), codes.append(c)
             total += len(c)
-            if len(seen) >= BLOCK_DISTINCT or total >= BLOCK_WORDS:
+            if len(seen) >= BLOCK_DISTINCT or total >= block_words:
                 yield close()
                 ids.clear(), counts.clear(), codes.clear(), seen.clear()
                 total = 0
@@ -112,10 +112,10 @@ def word_parts(docs: DataFrame) -> int:
     return PARTS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def block_words(docs: DataFrame, parts: int) -> DataFrame:
+def block_words(docs: DataFrame, parts: int, most: int = BLOCK_WORDS) -> DataFrame:
     """(part, block, codes, words): of each block and word part the words, sorted and deflated, and their codes."""
     def run(batches):
-        for name, _, _, _, words in _blocks(batches):
+        for name, _, _, _, words in _blocks(batches, most):
             part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % parts
             order = sorted(range(len(words)), key=words.__getitem__)
             order = np.array(order, np.int64)[np.argsort(part[order], kind="stable")] if order else np.zeros(0, np.int64)
@@ -126,18 +126,18 @@ def block_words(docs: DataFrame, parts: int) -> DataFrame:
                 [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.string(), pa.binary(), pa.binary()))],
                 ["part", "block", "codes", "words"])
 
-    return docs.mapInArrow(run, "part int, block string, codes binary, words binary")
+    return docs.mapInArrow(trimmed(run), "part int, block string, codes binary, words binary")
 
 
-def block_codes(docs: DataFrame) -> DataFrame:
+def block_codes(docs: DataFrame, most: int = BLOCK_WORDS) -> DataFrame:
     """(block, doc_ids, counts, codes): the documents of a block and their words by position."""
     def run(batches):
-        for name, ids, counts, codes, _ in _blocks(batches):
+        for name, ids, counts, codes, _ in _blocks(batches, most):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([ids], pa.list_(pa.string())), pa.array([_pack(counts)]),
                  pa.array([_pack(codes)])], ["block", "doc_ids", "counts", "codes"])
 
-    return docs.mapInArrow(run, "block string, doc_ids array<string>, counts binary, codes binary")
+    return docs.mapInArrow(trimmed(run), "block string, doc_ids array<string>, counts binary, codes binary")
 
 
 class _Table:
@@ -186,7 +186,7 @@ def encode_words(words: DataFrame, tokenizer: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["block", "codes", "lens", "ids"])
 
     return words.repartition("part").sortWithinPartitions("part").mapInPandas(
-        run, "block string, codes binary, lens binary, ids binary")
+        trimmed(run), "block string, codes binary, lens binary, ids binary")
 
 
 def _spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -196,16 +196,18 @@ def _spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lens), lens)
 
 
-def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False, most: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 (of the decoded text)
-    for every row of ``docs``; ``with_ids`` adds ids array<int>."""
+    for every row of ``docs``; ``with_ids`` adds ids array<int>. ``most``: words of a block; a task holds one block,
+    so with ids the default is a third of the usual."""
+    most = most or (BLOCK_WORDS // 3 if with_ids else BLOCK_WORDS)
+    table = docs.sparkSession.sparkContext.broadcast(_pieces(tokenizer))      # bounded by the vocabulary
     kind = kind_of(docs, "doc_id")
     small = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    words = encode_words(block_words(small, word_parts(docs)), tokenizer)
+    words = encode_words(block_words(small, word_parts(docs), most), tokenizer)
 
     def join(key, left, right):
-        pieces = _pieces(tokenizer)
-        out = []
+        pieces, out = table.value, []
         codes = np.concatenate([_unpack(x) for x in right["codes"]]) if len(right) else np.zeros(0, np.int64)
         lens = np.zeros(len(codes), np.int64)
         lens[codes] = np.concatenate([_unpack(x) for x in right["lens"]]) if len(right) else 0
@@ -213,10 +215,9 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
         starts = np.cumsum(lens) - lens
         if len(right):
             flat[_spread(starts[codes], lens[codes])] = np.concatenate([_unpack(x) for x in right["ids"]])
-        listed = flat.tolist()
         number, spelled = [], []
         for a, n in zip(starts.tolist(), lens.tolist()):
-            part = listed[a:a + n]
+            part = flat[a:a + n].tolist()
             number.append(" ".join(map(str, part)))
             spelled.append(" ".join([pieces[x] for x in part]))
         for row in left.itertuples(index=False):
@@ -236,10 +237,11 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
                 if with_ids:
                     line.append(flat[_spread(starts[c], lens[c])].astype(np.int32))
                 out.append(line)
+        release()
         return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
 
     schema = "doc_id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    done = (block_codes(small).groupBy("block").cogroup(words.groupBy("block")).applyInPandas(join, schema))
+    done = (block_codes(small, most).groupBy("block").cogroup(words.groupBy("block")).applyInPandas(join, schema))
     return done.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 

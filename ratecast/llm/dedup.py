@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BITMAP_BITS, SPACES, broadcast_bitmap, marked_rows, scratch_table, sha_hex, text_or_empty
+from .common import trimmed, BITMAP_BITS, SPACES, broadcast_bitmap, marked_rows, scratch_table, sha_hex, text_or_empty
 
 FP_BITS = 48          # bits of a fingerprint that are exchanged
 ROWS_PER_OWNER = 1 << 20
@@ -69,7 +69,7 @@ def messages(fps: DataFrame, owners: int) -> DataFrame:
                     for o, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
             yield pd.DataFrame(rows, columns=["owner", "message"])
 
-    return fps.select("fp").mapInPandas(encode, "owner int, message binary")
+    return fps.select("fp").mapInPandas(trimmed(encode), "owner int, message binary")
 
 
 def duplicate_positions(sent: DataFrame, owners: int, bits: int = BITMAP_BITS) -> DataFrame:

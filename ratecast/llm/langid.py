@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_with, kind_of
+from .common import trimmed, batch_with, kind_of
 
 GRAM_BITS = 16
 SMOOTHING = 0.1
@@ -76,7 +76,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray] | None:
             yield pd.DataFrame({"lang": lang, "gram": at, "n": t[at]})
 
     sums = (docs.filter("lang is not null and text is not null").select("text", "lang")
-            .mapInPandas(count, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+            .mapInPandas(trimmed(count), "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # at most languages * 2**16 rows, whatever the corpus
     pdf = sums.toPandas()
     if not len(pdf):
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, model) -> DataFrame:
                              score=pa.array(scores, pa.float64()), languages=pa.array(mixes, pa.string()))
 
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
-        run, f"doc_id {kind_of(docs, 'doc_id')}, held_out boolean, lang_pred string, score double, languages string")
+        trimmed(run), f"doc_id {kind_of(docs, 'doc_id')}, held_out boolean, lang_pred string, score double, languages string")
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (BITMAP_BITS, arrow_texts, batch_with, broadcast_bitmap, kind_of, marked_rows, mix64, scratch_table,
+from .common import (trimmed, BITMAP_BITS, arrow_texts, batch_with, broadcast_bitmap, kind_of, marked_rows, mix64, scratch_table,
                      shingle_sets, text_or_empty, top_bits, word_hashes)
 from .components import connected_components
 
@@ -89,7 +89,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                              sig=pa.array([x.astype(">u4").tobytes() if k else None for x, k in zip(sig, n)], pa.binary()))
 
     return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("fp"), "text").mapInArrow(
-        run, f"doc_id {kind_of(docs, 'doc_id')}, fp bigint, d1 bigint, d2 bigint, n bigint, sig binary")
+        trimmed(run), f"doc_id {kind_of(docs, 'doc_id')}, fp bigint, d1 bigint, d2 bigint, n bigint, sig binary")
 
 
 def least_matches(threshold: Fraction = THRESHOLD, tolerance: float = TOLERANCE) -> dict[int, int]:
@@ -195,7 +195,7 @@ def _by_unit(dealt: DataFrame, work, schema: str) -> DataFrame:
             if x is not None and len(x):
                 yield x
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(trimmed(run), schema)
 
 
 def _matrix(column) -> np.ndarray:
@@ -330,7 +330,7 @@ def _with_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in batches:
             yield batch_with(b, ["nid"], shingles=pa.array([s.tobytes() for s in _sets(b.column("text"))], pa.binary()))
 
-    return texts.join(wanted, "fp").select("nid", "text").mapInArrow(cut, "nid bigint, shingles binary")
+    return texts.join(wanted, "fp").select("nid", "text").mapInArrow(trimmed(cut), "nid bigint, shingles binary")
 
 
 def _classes(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import trees
-from .common import arrow_texts, batch_with, kind_of, mix64, scratch_table, word_hashes
+from .common import trimmed, arrow_texts, batch_with, kind_of, mix64, scratch_table, word_hashes
 
 TRAIN_ROWS = 20_000
 MAX_LOSS = 0.001
@@ -108,7 +108,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             yield batch_with(b, ["doc_id"], **{c: base[:, k] for k, c in enumerate(BASE)},
                              **{c: stats[:, k] for k, c in enumerate(STATS)})
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), schema)
 
 
 def fit_model(stats: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict | None:
@@ -150,7 +150,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     schema = ("doc_id " + kind_of(docs, "doc_id") + ", "
               + ", ".join(f"{c} bigint" for c in BASE) + ", base_failed boolean, kept boolean, score double")
-    return stats.mapInArrow(run, schema)
+    return stats.mapInArrow(trimmed(run), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -163,4 +163,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             base, x = statistics(b.column(b.schema.get_field_index("text")))
             yield b.filter(pa.array(_accepts(model.value, base, x)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
