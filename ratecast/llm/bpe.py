@@ -37,6 +37,7 @@ from .common import release, trimmed, arrow_texts, kind_of
 BLOCK_WORDS = 3_000_000       # words of a block of documents, at most (a document is never split)
 BLOCK_DISTINCT = 400_000      # distinct words at which a block is closed
 PARTS_PER_PARTITION = 4
+DIGEST_IDS = 1 << 16          # ids of a document turned into text at a time
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -196,6 +197,16 @@ def _spread(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lens), lens)
 
 
+def _digests(ids: np.ndarray, number: list[str], pieces: list[str]) -> tuple[str, str]:
+    """SHA-256 of a document's decimal ids and of its pieces, each joined by a space, ``DIGEST_IDS`` at a time."""
+    by_id, by_piece = hashlib.sha256(), hashlib.sha256()
+    for a in range(0, len(ids), DIGEST_IDS):
+        some, lead = ids[a:a + DIGEST_IDS].tolist(), " " if a else ""
+        by_id.update((lead + " ".join(map(number.__getitem__, some))).encode())
+        by_piece.update((lead + " ".join(map(pieces.__getitem__, some))).encode())
+    return by_id.hexdigest(), by_piece.hexdigest()
+
+
 def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False, most: int | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 (of the decoded text)
     for every row of ``docs``; ``with_ids`` adds ids array<int>. ``most``: words of a block; a task holds one block,
@@ -206,42 +217,42 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False, most: int |
     small = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     words = encode_words(block_words(small, word_parts(docs), most), tokenizer)
 
-    def join(key, left, right):
-        pieces, out = table.value, []
-        codes = np.concatenate([_unpack(x) for x in right["codes"]]) if len(right) else np.zeros(0, np.int64)
+    def join(left, right):
+        pieces = table.value
+        number = list(map(str, range(len(pieces))))
+        codes, part_lens, part_ids = (np.concatenate([_unpack(x) for x in right.column(c).to_pylist()] or [np.zeros(0, np.int64)])
+                                      for c in ("codes", "lens", "ids"))
         lens = np.zeros(len(codes), np.int64)
-        lens[codes] = np.concatenate([_unpack(x) for x in right["lens"]]) if len(right) else 0
-        flat = np.zeros(int(lens.sum()), np.int64)
+        lens[codes] = part_lens
         starts = np.cumsum(lens) - lens
-        if len(right):
-            flat[_spread(starts[codes], lens[codes])] = np.concatenate([_unpack(x) for x in right["ids"]])
-        number, spelled = [], []
-        for a, n in zip(starts.tolist(), lens.tolist()):
-            part = flat[a:a + n].tolist()
-            number.append(" ".join(map(str, part)))
-            spelled.append(" ".join([pieces[x] for x in part]))
-        for row in left.itertuples(index=False):
-            by_position, counts = _unpack(row.codes), _unpack(row.counts)
+        flat = np.zeros(len(part_ids), np.int32)
+        flat[_spread(starts[codes], part_lens)] = part_ids
+        del codes, part_lens, part_ids
+        names, digests, found = [], [], []
+        for doc_ids, counts, packed in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "counts", "codes"))):
+            by_position, at = _unpack(packed), 0
             if len(by_position) and by_position.max() >= len(lens):
                 raise RuntimeError("a block of documents has no word ids: the input changed between two scans; write it to a table first")
-            at = 0
-            for doc_id, n in zip(row.doc_ids, counts.tolist()):
+            for n in _unpack(counts).tolist():
                 c = by_position[at:at + n]
                 at += n
-                c = c[lens[c] > 0]
-                some = c.tolist()
-                text = " ".join(map(number.__getitem__, some))
-                back = " ".join(map(spelled.__getitem__, some))
-                line = [doc_id, int(lens[c].sum()), hashlib.sha256(text.encode()).hexdigest(),
-                        hashlib.sha256(back.encode()).hexdigest()]
-                if with_ids:
-                    line.append(flat[_spread(starts[c], lens[c])].astype(np.int32))
-                out.append(line)
+                ids = flat[_spread(starts[c], lens[c])]
+                digests.append(_digests(ids, number, pieces))
+                found.append(ids if with_ids else len(ids))
+            names += doc_ids
+        sizes = np.array([len(x) for x in found] if with_ids else found, np.int64)
+        out = {"doc_id": pa.array(names, pa.string()), "n_tokens": pa.array(sizes, pa.int64()),
+               "ids_sha256": pa.array([x for x, _ in digests], pa.string()),
+               "decoded_sha256": pa.array([y for _, y in digests], pa.string())}
+        if with_ids:
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            out["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found or [flat[:0]]), pa.int32()))
+        del flat, starts, lens, found, digests
         release()
-        return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
+        return pa.table(out)
 
     schema = "doc_id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    done = (block_codes(small, most).groupBy("block").cogroup(words.groupBy("block")).applyInPandas(join, schema))
+    done = (block_codes(small, most).groupBy("block").cogroup(words.groupBy("block")).applyInArrow(join, schema))
     return done.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
