@@ -171,8 +171,8 @@ def _units(nodes: DataFrame, comp: DataFrame, weight: str) -> DataFrame:
 
 
 def _by_unit(dealt: DataFrame, work, schema: str) -> DataFrame:
-    """Run ``work(rows of one unit)`` over all units: rows are shuffled by unit and sorted, and each task
-    goes through its units one after another (most components are small, so a task holds many)."""
+    """Run ``work(rows of one unit)`` over all units: rows are shuffled by unit and sorted, by nid within it (so the
+    root of linked rows is their smallest nid, and spanning links are stars at once), and each task goes through its units one after another (most components are small, so a task holds many)."""
     keys = ["comp", "lo", "hi"]
 
     def run(batches):
@@ -195,7 +195,7 @@ def _by_unit(dealt: DataFrame, work, schema: str) -> DataFrame:
             if x is not None and len(x):
                 yield x
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(trimmed(run), schema)
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "nid").mapInPandas(trimmed(run), schema)
 
 
 def _matrix(column) -> np.ndarray:
