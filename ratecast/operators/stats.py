@@ -39,9 +39,10 @@ def _acf_block_fn(keys: list[str], lags: list[int]):
             start = max(h0, k)
             out.append((k, float(np.dot(x[start:], x[start - k:m - k])) if start < m else 0.0))
         res = pd.DataFrame(out, columns=["lag", "sxy"])
+        res["sxx"] = out[0][1]
         for c in keys:
             res[c] = pdf[c].iloc[0]
-        return res[[*keys, "lag", "sxy"]]
+        return res[[*keys, "lag", "sxy", "sxx"]]
     return fn
 
 
@@ -58,12 +59,11 @@ def acf(series: DataFrame, lags: Sequence[int] = tuple(range(101)), col: str = "
     b = max(8 * kmax, MIN_BLOCK)
     h = with_halo(x, kmax, b)
     schema = ", ".join([f"{c} {series.schema[c].dataType.simpleString()}" for c in keys] +
-                       ["lag int", "sxy double"])
+                       ["lag int", "sxy double", "sxx double"])
     parts = h.groupBy(*keys, "_blk").applyInPandas(_acf_block_fn(keys, lags), schema)
-    sums = parts.groupBy(*keys, "lag").agg(F.sum("sxy").alias("sxy"))
-    den = sums.where(F.col("lag") == 0).select(*keys, F.col("sxy").alias("_den"))
-    r = (join_keys(sums, den, keys) if keys else sums.crossJoin(F.broadcast(den)))
-    r = attach(r, mean.select(*keys, "_n"), keys).where(F.col("lag") < F.col("_n"))
+    # each row also carries its block's lag-0 product, so one pass gives the denominator too
+    sums = parts.groupBy(*keys, "lag").agg(F.sum("sxy").alias("sxy"), F.sum("sxx").alias("_den"))
+    r = attach(sums, mean.select(*keys, "_n"), keys).where(F.col("lag") < F.col("_n"))
     val = F.when(F.col("_den") == 0, F.lit(float("nan"))).otherwise(F.col("sxy") / F.col("_den"))
     return r.select(*keys, "lag", val.alias("acf"))
 

@@ -45,12 +45,14 @@ def experiment_grid(series: DataFrame, models: Sequence[str] = BASELINES,
     spark = series.sparkSession
     s = temporal_split(series, train_frac, col=col)
     preds = baseline_predictions(s, models, col)
-    cfg = spark.createDataFrame([(int(l), int(b)) for l in lookbacks for b in batch_sizes],
-                                "lookback int, batch_size int")
-    scored = preds.crossJoin(F.broadcast(cfg)).where(F.col("idx") >= F.col("n_train") + F.col("lookback"))
-    return scored.groupBy("model", "run_order", "lookback", "batch_size").agg(
+    starts = spark.createDataFrame([(int(l),) for l in lookbacks], "lookback int")
+    labels = spark.createDataFrame([(int(b),) for b in batch_sizes], "batch_size int")
+    scored = preds.crossJoin(F.broadcast(starts)).where(F.col("idx") >= F.col("n_train") + F.col("lookback"))
+    runs = scored.groupBy("model", "run_order", "lookback").agg(
         F.count(F.lit(1)).alias("n"), M.mae().alias("mae"), M.rmse().alias("rmse"),
         M.mape_eps().alias("mape"))
+    return runs.crossJoin(F.broadcast(labels)).select("model", "run_order", "lookback", "batch_size",
+                                                      "n", "mae", "rmse", "mape")
 
 
 def fit_predict_lagged(series: DataFrame, lookback: int = 60, estimator: str = "linear",
