@@ -1,12 +1,18 @@
 """Secret scans with a randomness test battery.
 
 Every text is scanned whole for three fixed kinds (assign, access, hex) and for candidate
-strings of 20 or more key characters. A candidate's encoding is inferred from its alphabet, and its symbols go
+strings of 16 or more key characters. A run of key characters is split at '=' (less trailing padding), so that
+a name and its value are apart; a part that fits one alphabet is a candidate as it is, and where it has '/', '+',
+'_' or '-' so are its longest strings within base64 and within base64url, less words at their ends, and those between
+the signs: a key at the end of a path is tested by itself. Of nested accepted candidates the longest is reported.
+
+A candidate's encoding is inferred from its alphabet, and its symbols go
 through three tests: chi-squared uniformity over that alphabet, a runs test on character
-classes (small letters, capitals, digits, signs) and lag-1 serial correlation of the symbols' places in the
+classes (small letters, capitals, digits, signs; vowels in one case of letters, halves in digits) and lag-1 serial correlation of the symbols' places in the
 alphabet. Each test gives a p-value under "random"; a candidate that any of them rejects (Bonferroni,
 ``REJECT``) is out. Chi-squared and runs also give a p-value under "language-like", whose symbol
-frequencies are uneven and whose classes change rarely; the longer a string, the farther the two lie apart.
+frequencies are uneven and whose classes change rarely
+(vowels: often; digits have the first of the two only); the longer a string, the farther the two lie apart.
 These are combined (Fisher) and go through the Benjamini-Hochberg procedure over the whole corpus,
 separately for each encoding and length class, at rate ``FDR``: a histogram of p-values per class is summed in
 Spark and gives one threshold each. Accepted candidates are added as kind ``random``, unless a base span covers them.
@@ -35,8 +41,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ["assign", "access", "hex", "random"]
 _KEYWORD = ("passw", "secret", "token", "apikey", "api_key")
 
-LEAST = 20
+LEAST = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+VALUE = re.compile(r"[^=]+")
+SIGNS = re.compile(r"[+/_-]")
+BETWEEN = re.compile(r"[A-Za-z0-9]+")
+WITHIN = [re.compile(r"[A-Za-z0-9+/]{%d,}" % LEAST), re.compile(r"[A-Za-z0-9_-]{%d,}" % LEAST)]
+WORD = re.compile(r"[a-z]+|[A-Z][a-z]+|[A-Z]+|[0-9]+")
 REJECT = 1e-3
 FDR = 0.05
 GRID = 20           # p-values are counted in steps of 10 ** (-1 / GRID)
@@ -44,8 +55,10 @@ TOP = 60 * GRID
 
 #: Encodings by alphabet, smallest first.
 ENCODINGS = {"decimal": "0123456789", "hex": "0123456789abcdef", "HEX": "0123456789ABCDEF",
+             "lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
              "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
              "lower36": "0123456789abcdefghijklmnopqrstuvwxyz",
+             "upper36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
              "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
              "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
              "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"}
@@ -54,6 +67,8 @@ _PLACE = {k: {c: i for i, c in enumerate(v)} for k, v in ENCODINGS.items()}
 #: Sum of squared symbol frequencies in language-like strings (letters of European texts), and how often
 #: the character class changes from one character to the next in joined words, numbers and identifiers.
 LANGUAGE_COINCIDENCE, LANGUAGE_CHANGE = 0.066, 0.25
+#: The same for vowels and other letters in words.
+VOWEL_CHANGE = 0.6
 
 
 def _phi(z: float) -> float:
@@ -69,15 +84,15 @@ def _kind(c: str) -> int:
     return 0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3
 
 
+#: The class of each symbol in the runs test.
+_CLASS = {k: {c: int(c in "aeiouAEIOU") if k in ("lower", "upper") else int(c >= "5") if k == "decimal" else _kind(c)
+              for c in v} for k, v in ENCODINGS.items()}
+
+
 def infer_encoding(s: str) -> str | None:
-    """The smallest alphabet that holds the string (less its padding); None for one kind of letters or digits only, or none."""
+    """The smallest alphabet that holds the string (less its padding), or none."""
     chars = set(s.rstrip("="))
-    if not chars or len({_kind(c) for c in chars}) == 1 and not (chars <= _SETS["hex"] or chars <= _SETS["HEX"]):
-        return None
-    for name, have in _SETS.items():
-        if name != "decimal" and chars <= have:
-            return name
-    return None
+    return next((name for name, have in _SETS.items() if chars <= have), None) if chars else None
 
 
 def battery(s: str, encoding: str) -> tuple[float, float]:
@@ -96,20 +111,26 @@ def battery(s: str, encoding: str) -> tuple[float, float]:
     coincidence = max(LANGUAGE_COINCIDENCE, 1.6 / size)
     far = n * (size * coincidence - 1)
     q_chi = _phi((chi - (df + far)) / math.sqrt(2 * (df + 2 * far)))
-    kinds = np.array([_kind(c) for c in s])
+    kinds = np.array([_CLASS[encoding][c] for c in s])
     change = int((kinds[1:] != kinds[:-1]).sum())
-    share = np.bincount([_kind(c) for c in ENCODINGS[encoding]], minlength=4) / size
+    share = np.bincount([_CLASS[encoding][c] for c in ENCODINGS[encoding]], minlength=4) / size
     rate = 1 - float((share**2).sum())
     m = n - 1
     sd = math.sqrt(m * rate * (1 - rate) * 1.2)
     p_runs = 2 * min(_phi((change + 0.5 - m * rate) / sd), _phi(-(change - 0.5 - m * rate) / sd))
-    r0 = LANGUAGE_CHANGE
-    q_runs = _phi(-(change - 0.5 - m * r0) / math.sqrt(1.5 * m * r0 * (1 - r0)))
+    if encoding in ("lower", "upper"):
+        r0 = VOWEL_CHANGE
+        q_runs = _phi((change + 0.5 - m * r0) / math.sqrt(1.5 * m * r0 * (1 - r0)))
+    else:
+        r0 = LANGUAGE_CHANGE
+        q_runs = _phi(-(change - 0.5 - m * r0) / math.sqrt(1.5 * m * r0 * (1 - r0)))
     d = v - v.mean()
     power = float((d * d).sum())
     r = float((d[1:] * d[:-1]).sum()) / power if power > 0 else 1.0
     p_serial = 2 * _phi(-abs(r + 1 / n) * math.sqrt(n))
     p_random = min(1.0, 3 * min(min(1.0, p_chi), min(1.0, p_runs), min(1.0, p_serial)))
+    if encoding == "decimal":
+        return p_random, q_chi
     x = -2 * (math.log(max(q_chi, 1e-300)) + math.log(max(q_runs, 1e-300)))
     return p_random, math.exp(-x / 2) * (1 + x / 2)        # Fisher: chi-squared with 4 degrees of freedom
 
@@ -124,17 +145,56 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def candidates(text: str, base) -> list[tuple[int, int, str, float]]:
+def _less_words(s: str, a: int, z: int) -> tuple[int, int]:
+    """s[a:z] less the words before its first sign and after its last."""
+    parts = [m.span() for m in BETWEEN.finditer(s, a, z)]
+    i, j = 0, len(parts)
+    while i < j and WORD.fullmatch(s, *parts[i]):
+        i += 1
+    while i < j and WORD.fullmatch(s, *parts[j - 1]):
+        j -= 1
+    if i == j:
+        return a, a
+    return a if i == 0 else parts[i][0], z if j == len(parts) else parts[j - 1][1]
+
+
+def pieces(run: str) -> set[tuple[int, int]]:
+    """(start, end) of the strings to test in a run of key characters."""
+    end = len(run.rstrip("="))
+    out = set()
+    for m in VALUE.finditer(run, 0, end):
+        a, z = m.span()
+        found = {(a, z)} if infer_encoding(m[0]) else set()
+        if SIGNS.search(run, a, z):
+            found.update(_less_words(run, *x.span()) for form in WITHIN for x in form.finditer(run, a, z))
+            found.update(x.span() for x in BETWEEN.finditer(run, a, z))
+        out |= {(x, len(run) if y == end else y) for x, y in found}     # the last one with its padding
+    return {(x, y) for x, y in out if y - x >= LEAST}
+
+
+def candidates(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, encoding, p under language-like) of the strings that pass as random. All candidates
     that the battery does not rule out as random are in, also those that a base span covers: the
     false-discovery procedure counts them too."""
     out = []
     for m in CANDIDATE.finditer(text):
-        encoding = infer_encoding(m[0])
-        if encoding is None:
-            continue
-        p_random, p_language = battery(m[0], encoding)
-        out.append((*m.span(), encoding, p_language if p_random >= REJECT else 1.0))
+        for a, z in sorted(pieces(m[0])):
+            piece = m[0][a:z]
+            encoding = infer_encoding(piece)
+            if encoding is None or len(piece.rstrip("=")) < 2:
+                continue
+            p_random, p_language = battery(piece, encoding)
+            out.append((m.start() + a, m.start() + z, encoding, p_language if p_random >= REJECT else 1.0))
+    return out
+
+
+def outermost(spans, own) -> list[tuple[str, int, int]]:
+    """Of spans (kind, start, end) those inside no other one and no span of ``own``."""
+    out, reach = [], -1
+    for k, a, z in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if z > reach and not any(x <= a and z <= y for _, x, y in own):
+            out.append((k, a, z))
+            reach = z
     return out
 
 
@@ -154,7 +214,7 @@ def scan(docs: DataFrame) -> DataFrame:
             for t in b.column("text"):
                 text = t.as_py() or ""
                 base = base_spans(text)
-                found = candidates(text, base)
+                found = candidates(text)
                 cols["base"].append(joined(base))
                 for k in KINDS[:3]:
                     cols["n_" + k].append(sum(x[0] == k for x in base))
@@ -173,7 +233,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def thresholds(scanned: DataFrame, rate: float = FDR) -> dict[str, int]:
     """Benjamini-Hochberg per class: the least step whose p-value is at most rate * rank / tests. At most
-    TOP + 1 counts a class, and a few dozen classes (8 encodings times twice the log of the length)."""
+    TOP + 1 counts a class, and a few dozen classes (11 encodings times twice the log of the length)."""
     tests = scanned.select(F.explode(F.arrays_zip("classes", "steps")).alias("x")).select("x.classes", "x.steps")
     hist = tests.groupBy("classes", "steps").agg(F.count(F.lit(1)).alias("n"))
     better = Window.partitionBy("classes").orderBy(F.col("steps").desc())
@@ -199,8 +259,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
             for base, starts, ends, classes, steps in zip(*(b.column(c).to_pylist() for c in (
                     "base", "starts", "ends", "classes", "steps"))):
                 own = _parse(base)
-                more = [("random", a, z) for a, z, c, s in zip(starts, ends, classes, steps)
-                        if s >= cut.value.get(c, TOP + 1) and not any(x <= a and z <= y for _, x, y in own)]
+                more = outermost([("random", a, z) for a, z, c, s in zip(starts, ends, classes, steps)
+                                  if s >= cut.value.get(c, TOP + 1)], own)
                 digests.append(hashlib.sha256(base.encode()).hexdigest())
                 spans.append(joined(own + more))
                 added.append(len(more))

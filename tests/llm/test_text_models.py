@@ -65,6 +65,38 @@ def test_random_strings_are_found_and_words_are_not(docs_of):
     assert sum(got[k] for k in range(60, len(rows))) <= 3
 
 
+def test_random_strings_inside_runs_and_of_one_class(docs_of):
+    rng = random.Random(11)
+
+    def keys(encoding, n, count=60):
+        return ["".join(rng.choice(secrets.ENCODINGS[encoding]) for _ in range(n)) for _ in range(count)]
+    forms = [("AWS_SECRET_ACCESS_KEY={}", "base64", 40), ("x?sig={}", "base62", 40), ("GH_PAT={}", "base62", 36),
+             ("/srv/my_app/{}", "base62", 40), ("/some-path/{}", "base62", 40), ("/some-path/to/{}", "base64url", 48),
+             ("{}", "lower", 64), ("{}", "upper", 64), ("{}", "upper36", 40), ("K={}==", "base62", 22)]
+    rows, at = [], []
+    for f, (form, encoding, n) in enumerate(forms):
+        for k in keys(encoding, n):
+            rows.append((len(rows), "see " + form.format(k) + " here"))
+            at.append((f, 4 + form.index("{"), 4 + form.index("{") + len(k) + 2 * form.endswith("==")))
+    n_keys = len(rows)
+    words = ["configuration", "manager", "path", "user", "index", "value", "hello", "world", "data", "source", "file", "the"]
+    for k in range(300):
+        rows.append((len(rows), "see " + "".join(rng.choice(words) for _ in range(7)) + " and NAME=/some-" + "/".join(
+            rng.choice(words) for _ in range(6)) + "_" + rng.choice(words) + " and 2024010112000" + str(k) + "0000000 here"))
+    got = {r.doc_id: r for r in secrets.find_secrets(docs_of(rows)).collect()}
+    found, exact = [0] * len(forms), [0] * len(forms)
+    for i, (f, a, z) in enumerate(at):
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i].spans.split(",") if x.startswith("random")]
+        found[f] += any(x <= a + 4 and y >= z - 4 for x, y in spans)
+        exact[f] += (a, z) in spans
+    assert min(found) >= 52 and min(exact) >= 50, str((found, exact))
+    assert sum(got[k].n_random for k in range(n_keys, len(rows))) <= 15
+    # digits are judged among digits, not as hex without letters (from 32 on a base span covers them)
+    assert all(secrets.infer_encoding(k) == "decimal" for k in keys("decimal", 30))
+    assert sum(x[3] < 1 for k in keys("decimal", 30) for x in secrets.candidates(k)) >= 57
+    assert secrets.find_secrets(docs_of([(1, "=" * 40), (2, "a=" * 40 + "/_" * 40), (3, "-" * 40 + "=")])).agg({"n_random": "sum"}).first()[0] == 0
+
+
 # ------------------------------------------------------------------ pii
 
 def brute_pii(text):
