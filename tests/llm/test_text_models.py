@@ -346,6 +346,39 @@ def test_extract_differencing(spark):
     assert pagediff.extract(df.limit(0)).collect() == []
 
 
+def test_extract_template_heavy_pages_and_copies(spark):
+    rng = random.Random(3)
+    words = ["amber", "birch", "cedar", "delta", "ember", "fjord", "grove", "heath", "inlet", "jetty"]
+
+    def page(host, story, note=""):
+        rng.seed(f"{host} {story}")
+        text = [f"{story}.{k} " + " ".join(rng.choice(words) for _ in range(8)) for k in range(5)]
+        menu = [f"{host} menu {k}" for k in range(40)]
+        return text, "".join(f"<div>{x}</div>" for x in menu[:30] + [note] + text + menu[30:])
+    rows, want = [], {}
+
+    def put(host, path, story, note=""):
+        text, html = page(host, story, note)
+        want[len(rows)] = "\n\n".join([note] * bool(note) + text)
+        rows.append((len(rows), f"http://{host}/{path}", html))
+    for k in range(6):
+        put("heavy.org", f"p{k}", f"s{k}")
+    for k in range(12):                         # copies, and copies with a changing line
+        put("copies.org", f"p{k:02d}", "s0" if 2 <= k < 6 else "s1" if 6 <= k < 10 else f"t{k}", f"as of {k}" if 6 <= k < 10 else "")
+    put("start.org", "p0", "a", "as of 0")
+    put("start.org", "p1", "a", "as of 1")
+    put("start.org", "p2", "a", "as of 2")
+    put("start.org", "p3", "b")
+    for k in range(600):                        # more copies than a range holds
+        put("hot.org", f"p{k:03d}", "same" if 5 <= k < 300 else "near" if 300 <= k < 590 else f"t{k}", f"as of {k}" if 300 <= k < 590 else "")
+    put("two.org", "a", "x")
+    put("two.org", "b", "y")
+    df = spark.createDataFrame(rows, PAGES).repartition(6)
+    got = {r.page_id: r.text for r in pagediff.extract(df).collect()}
+    wrong = [(rows[k][1], got[k][:60]) for k in want if got[k] != want[k]]
+    assert wrong == [], (len(wrong), wrong[:5])
+
+
 def test_extract_whole_table(spark, sf):
     got = rows_of(queries.op6_html_extraction(spark, sf).collect())
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
