@@ -296,6 +296,22 @@ def test_page_lines():
     assert pagediff.main_text(*pagediff.page_lines("<nav><a>menu<article><p>text &amp"), []) == "text &"
 
 
+@pytest.mark.parametrize("html, text, shared", [
+    ('<article class="post category-social"><p>x</p></article>', "x", "x"),
+    ('<article class="hentry tag-ad comments-open sidebar"><p>x</p></article>', "x", "x"),
+    ('<main class="content with-sidebar"><p>x</p></main>', "x", "x"),
+    ('<div role="main" class="social"><p>x</p></div>', "x", "x"),
+    ('<form class="has-sidebar"><p>x</p></form>', "x", ""),
+    ('<div class="has-sidebar"><p>x</p><div class="ad">buy</div></div>', "x", ""),
+    ('<article><p>a</p><div id="related-work"><p>x</p></div><p class="notice-period">y</p></article>', "a\n\nx\n\ny", "a\n\ny"),
+    ('<article><p>a</p><div class="big ad">buy</div><p>b <span class="social-x">c</span></p></article>', "a\n\nb c", "a\n\nb c"),
+])
+def test_class_words_do_not_drop_main_text(html, text, shared):
+    page = pagediff.page_lines(html)
+    assert pagediff.main_text(*page, []) == text
+    assert pagediff.main_text(*page, [["other", "x"]]) == shared
+
+
 def brute_lcs(a, b):
     t = np.zeros((len(a) + 1, len(b) + 1), int)
     for i in range(len(a)):
