@@ -13,10 +13,11 @@ of it fits).
 is given, at most 0.999999.
 
 The cut needs no sort of a whole source: ranks are put into about sqrt(documents) buckets,
-words are summed per bucket, and only the border bucket is put in order.
+words are summed per bucket, and only the border bucket is put in order, by rank, doc_id and size with words summed for
+each. Rows equal in these are cut row by row, by a hash of the whole row and a number, again from sums per key.
 
-Defined results: null text: size 0; null doc_id is hashed as an empty string; repeated rows
-have equal ranks and are taken or left together; a source without words has target 0; an empty table
+Defined results: null text: size 0; null doc_id is hashed as an empty string; rows of one doc_id
+have equal ranks and are cut by size, hash of the row and number; a source without words has target 0; an empty table
 gives an empty result; further columns are ignored (``mix`` keeps them).
 """
 from __future__ import annotations
@@ -65,6 +66,34 @@ def source_targets(sized: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5
     return src.withColumn("target", F.least(F.lit(level) * F.col("weight"), F.lit(most) * F.col("source_size")))
 
 
+def _border(rows: DataFrame, key: Column, words: str) -> DataFrame:
+    """source, cut, before, rows, need: of each source the first key by which ``need`` words are reached,
+    the words before it and the rows it has."""
+    order = Window.partitionBy("source").orderBy("key")
+    sums = (rows.withColumn("key", key).groupBy("source", "key")
+            .agg(F.sum(words).alias("words"), F.count(F.lit(1)).alias("rows"), F.first("need").alias("need"))
+            .withColumn("before", F.sum("words").over(order) - F.col("words")))
+    return (sums.filter(F.col("before") + F.col("words") >= F.col("need"))
+            .groupBy("source").agg(F.min(F.struct("key", "before", "rows", "need")).alias("b"))
+            .select("source", F.col("b.key").alias("cut"), F.col("b.before").alias("before"),
+                    F.col("b.rows").alias("rows"), F.col("b.need").alias("need")))
+
+
+def _pick_tied(rows: DataFrame, with_cut) -> DataFrame:
+    """``rows`` of one place in each source, of which ``fit`` are chosen: by a hash of the whole row, and equal rows by
+    number. Each step counts per key (top bits of the hash, hash, partition, number) and goes on in the border key."""
+    h = F.xxhash64(F.to_json("row"))
+    t = scratch_table(rows.drop("chosen").withColumn("hash", h).withColumn("number", F.monotonically_increasing_id())
+                      .withColumn("one", F.lit(1)), "tied")
+    t = t.withColumn("need", F.col("fit").cast("double")).withColumn("chosen", F.lit(None).cast("boolean"))
+    for key in (F.shiftright("hash", 48), F.col("hash"), F.shiftright("number", 33), F.col("number")):
+        cuts = scratch_table(_border(t.filter("chosen IS NULL"), key, "one").select("source", "cut", "before"), "tie")
+        t = (with_cut(t, cuts)
+             .withColumn("chosen", F.coalesce("chosen", F.when(key < F.col("cut"), True).when(key > F.col("cut"), False)))
+             .withColumn("need", F.col("need") - F.col("before")).drop("cut", "before"))
+    return t.withColumn("chosen", F.coalesce("chosen", F.lit(True)))
+
+
 def mix_plan(docs: DataFrame, seed: str = SEED, odds: str | None = None, **kw) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken; the row as ``row``."""
     keep = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -91,35 +120,35 @@ def mix_plan(docs: DataFrame, seed: str = SEED, odds: str | None = None, **kw) -
             "need", F.col("target") - F.col("whole") * F.col("source_size"))
         return joined.withColumn("bucket", F.floor(F.col("rank") * F.ceil(F.sqrt("n_docs"))))
 
+    def hint(df):
+        return F.broadcast(df) if few else df
+
+    def with_cut(df, cuts):
+        return df.alias("d").join(hint(cuts).alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")), "left").select(
+            "d.*", *[f"b.{c}" for c in cuts.columns if c != "source"])
+
+    place = F.struct("rank", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "size")
     ranked = with_rank(light)
-    order = Window.partitionBy("source").orderBy("bucket")
-    buckets = (ranked.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("need").alias("need"))
-               .withColumn("before", F.sum("words").over(order) - F.col("words")))
-    # the border bucket: the first in which the missing words are reached
-    border = (buckets.filter(F.col("before") + F.col("words") >= F.col("need"))
-              .groupBy("source").agg(F.min(F.struct("bucket", "before")).alias("b"))
-              .select("source", F.col("b.bucket").alias("cut"), F.col("b.before").alias("before")))
-    border = scratch_table(border, "borders")
-    border = F.broadcast(border) if few else border
-
-    def with_cut(df):
-        return df.alias("d").join(border.alias("b"), F.col("d.source").eqNullSafe(F.col("b.source")), "left").select(
-            "d.*", "cut", "before")
-
-    inside = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    at_border = (with_cut(ranked).filter("bucket = cut")
-                 .withColumn("upto", F.sum("size").over(inside) + F.col("before"))
-                 .filter(F.col("upto") - F.col("size") / 2 <= F.col("need"))
-                 .groupBy("source").agg(F.max("rank").alias("last_rank")))
-    last = scratch_table(at_border, "cuts")
-    last = F.broadcast(last) if few else last
-    full = with_cut(with_rank(sized))
-    full = full.alias("d").join(last.alias("l"), F.col("d.source").eqNullSafe(F.col("l.source")), "left").select(
-        "d.*", "last_rank")
-    chosen = (F.col("need") > 0) & (F.col("cut").isNull() | (F.col("bucket") < F.col("cut"))
-                                    | ((F.col("bucket") == F.col("cut")) & (F.col("rank") <= F.col("last_rank"))))
-    copies = (F.col("whole") + F.coalesce(chosen, F.lit(False)).cast("int")).cast("bigint")
+    first = scratch_table(_border(ranked, F.col("bucket"), "size"), "borders").select(
+        "source", F.col("cut").alias("bucket_cut"), F.col("before").alias("bucket_before"))
+    inside = with_cut(ranked, first).filter("bucket = bucket_cut").withColumn("need", F.col("need") - F.col("bucket_before"))
+    # rows of one place have one size: so many of them fit, the last if at least half of it does
+    one = F.col("cut.size")
+    fit = F.when(one > 0, F.floor((F.col("need") - F.col("before") - one / 2) / one) + 1).otherwise(F.col("rows"))
+    last = scratch_table(
+        _border(inside, place, "size").withColumn("fit", F.greatest(F.least(fit, F.col("rows")), F.lit(0)).cast("bigint"))
+        .select("source", F.col("cut").alias("last"), "rows", "fit"), "cuts")
+    full = with_cut(with_cut(with_rank(sized), first), last)
+    tied = (F.col("need") > 0) & (F.col("bucket") == F.col("bucket_cut")) & (place == F.col("last")) & (
+        F.col("fit") > 0) & (F.col("fit") < F.col("rows"))
+    chosen = (F.col("need") > 0) & (F.col("bucket_cut").isNull() | (F.col("bucket") < F.col("bucket_cut"))
+                                    | ((F.col("bucket") == F.col("bucket_cut")) & (
+                                        (place < F.col("last")) | ((place == F.col("last")) & (F.col("fit") == F.col("rows"))))))
+    full = full.withColumn("chosen", F.coalesce(chosen, F.lit(False)))
+    if last.filter("fit > 0 AND fit < rows").limit(1).count():
+        picked = _pick_tied(full.filter(tied), with_cut)
+        full = full.filter(~F.coalesce(tied, F.lit(False))).unionByName(picked.select(full.columns))
+    copies = (F.col("whole") + F.col("chosen").cast("int")).cast("bigint")
     return full.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
                        (copies * F.col("size")).alias("taken"), "row")
 

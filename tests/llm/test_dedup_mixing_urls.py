@@ -95,6 +95,21 @@ def test_mixing_edges(docs_of, oracle):
             == oracle(queries.ORACLES["op9_mixing"], documents=docs_of(unique)))
 
 
+def test_mixing_cuts_equal_ranks_row_by_row(docs_of, oracle):
+    rows = [(None, f"w{k} " * (3 + k % 4), None, "a") for k in range(400)]               # null as the hot key
+    rows += [(7, "w " * 4, None, "b")] * 300 + [(k, "w " * 5, None, "b") for k in range(1000, 1020)]     # equal rows
+    rows += [(None, f"v{k} v v", None, None) for k in range(101)] + [(k, "w w", None, "c") for k in range(2000, 2300)]
+    df = docs_of(rows).repartition(5)
+    plan = mixing.mix_plan(df)
+    cols = ["doc_id", "size", "source_size", "target", "taken"]
+    assert rows_of(plan.select(cols).collect()) == oracle(queries.ORACLES["op9_mixing"], documents=docs_of(rows))
+    by = plan.groupBy("source").agg({"taken": "sum", "target": "first", "size": "max"}).collect()
+    assert all(abs(r["sum(taken)"] - r["first(target)"]) <= r["max(size)"] / 2 for r in by)
+    one = [sorted((r.source or "", r.row.text) for r in mixing.mix_plan(docs_of(rows).repartition(n)).filter("copies > 1").collect())
+           for n in (2, 7)]
+    assert one[0] == one[1]
+
+
 def test_mixing_unequal_odds(docs_of):
     from pyspark.sql import functions as F
     df = docs_of([(k, "w " * 10, None, "s") for k in range(2000)] + [(5000 + k, "w " * 10, None, "t") for k in range(200)])
