@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, langid, mixing, nearjoin, pagediff, pii, quality, secrets, urlrules
+from . import bpe, dedup, langid, merkle, mixing, nearjoin, pagediff, pii, quality, secrets, urlrules
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,13 +54,35 @@ def op10_pii(spark, sf_dir):
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_url_filter, op4_quality_rules, op5_language_id,
-                                   op6_html_extraction, op7_jaccard_join, op8_exact_dedup, op9_mixing, op10_pii)}
+                                   op6_html_extraction, op7_jaccard_join, op8_exact_dedup, op9_mixing, op10_pii, op12_merkle_manifest)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urlrules.RULES)
 
+_CRC_TABLE = ("list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: "
+              "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string; the query has a table crc(t) of _CRC_TABLE."""
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
 ORACLES = {
     "op3_url_filter": rf"""
 WITH rules(verdict, rule_host, rule_path) AS (VALUES {_RULES}),
@@ -113,4 +135,41 @@ u AS (SELECT *, floor(rate) AS whole, target - floor(rate) * source_size AS need
 q AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u01, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM u)
 SELECT doc_id, size, source_size, target,
        ((whole + CASE WHEN need > 0 AND upto - size / 2.0 <= need THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM q""",
+
+    "op12_merkle_manifest": rf"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+d AS MATERIALIZED (SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, {_leaf("(n_chars::HUGEINT + 1)")} AS bad,
+      doc_id IS NOT NULL AND n_chars IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 7 = 0 AS hit, row_number() OVER () AS rid
+      FROM documents, crc),
+p AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+      row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos FROM d),
+up(tree, l, pos, h, n) AS (
+  SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM p
+  UNION ALL
+  SELECT tree, l + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM up WHERE n > 1 GROUP BY tree, l, pos // 2),
+nodes AS MATERIALIZED (SELECT * FROM up),
+sub AS MATERIALIZED (SELECT tree, l AS top, h FROM nodes WHERE n = 1),
+up2(l, pos, h, n) AS (
+  SELECT 0, tree - 1, h, count(*) OVER () FROM sub
+  UNION ALL
+  SELECT l + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM up2 WHERE n > 1 GROUP BY l, pos // 2),
+over AS MATERIALIZED (SELECT * FROM up2),
+way AS MATERIALIZED (
+  SELECT p.rid, g.l, s.h, s.pos < (p.pos >> g.l) AS on_left
+  FROM p JOIN sub USING (tree), unnest(range(sub.top)) AS g(l)
+  LEFT JOIN nodes s ON s.tree = p.tree AND s.l = g.l AND s.pos = xor(p.pos >> g.l, 1)
+  UNION ALL
+  SELECT p.rid, sub.top + g.l, s.h, s.pos < ((p.tree - 1) >> g.l)
+  FROM p JOIN sub USING (tree), unnest(range((SELECT max(l) FROM over))) AS g(l)
+  LEFT JOIN over s ON s.l = g.l AND s.pos = xor((p.tree - 1) >> g.l, 1)),
+proof AS (SELECT rid, sha256(coalesce(string_agg(h, '' ORDER BY l), '')) AS proof_sha256 FROM way GROUP BY rid),
+f(rid, l, node) AS (
+  SELECT rid, 0, CASE WHEN hit THEN bad ELSE leaf END FROM p
+  UNION ALL
+  SELECT f.rid, f.l + 1, sha256(CASE WHEN w.h IS NULL THEN node WHEN on_left THEN w.h || node ELSE node || w.h END)
+  FROM f JOIN way w ON w.rid = f.rid AND w.l = f.l),
+folded AS (SELECT rid, arg_max(node, l) AS folded_root FROM f GROUP BY rid)
+SELECT p.doc_id, p.leaf, sub.h AS subroot, o.h AS root, coalesce(proof.proof_sha256, sha256('')) AS proof_sha256,
+       folded_root, folded_root = o.h AS verified
+FROM p JOIN sub USING (tree) JOIN folded USING (rid) LEFT JOIN proof USING (rid) JOIN over o ON o.n = 1""",
 }
