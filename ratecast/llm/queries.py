@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, langid, merkle, mixing, nearjoin, pagediff, pii, quality, secrets, urlrules
+from . import bpe, dedup, langid, merkle, mixing, nearjoin, pagediff, pii, quality, secrets, turns, urlrules
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,12 +54,17 @@ def op10_pii(spark, sf_dir):
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return turns.repair(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_url_filter, op4_quality_rules, op5_language_id,
-                                   op6_html_extraction, op7_jaccard_join, op8_exact_dedup, op9_mixing, op10_pii, op12_merkle_manifest)}
+                                   op6_html_extraction, op7_jaccard_join, op8_exact_dedup, op9_mixing, op10_pii, op11_conversation_repair,
+                                   op12_merkle_manifest)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -83,6 +88,34 @@ def _leaf(n_chars: str) -> str:
     return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
 
 
+def _least(*ways: str) -> str:
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))[1]"
+
+
+def _edit(state: str, cost: str, initial: str, line: str = "''", when: str = "true") -> str:
+    """A state of the repair after one more edit: k has the cost in nine digits and the audit, t the repaired lines."""
+    return (f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'k': lpad((left({state}.k, 9)::INT + {cost})::VARCHAR, 9, '0') || "
+            f"substr({state}.k, 10) || '{initial}', 't': {state}.t || {line}}} END")
+
+
+def _inserted(s0: str, s1: str, s2: str, s3: str) -> str:
+    """The four states with rows inserted where that is cheaper."""
+    more = _least(s2, *(_edit(s, "2", "I", "'user:' || chr(10)") for s in (s0, s1, s3)))
+    return f"SELECT cid, i, {s0}, {s1}, c2, {_least(s3, _edit('c2', '2', 'I', "'assistant:' || chr(10)"))} FROM (SELECT *, {more} AS c2 FROM n)"
+
+
+def _row_edits() -> str:
+    stay = "e.fault IN ('k', 't')"
+    more = "(e.fault = 't')::INT"
+    line, user, assistant = ("role || ':' || text || chr(10)", "'user:' || text || chr(10)", "'assistant:' || text || chr(10)")
+    keep = lambda s, c: _edit(s, more, "K", line, f"{stay} AND left(role, 1) = '{c}'")
+    turn = lambda s, to: _edit(s, f"2 + {more}", "R", to, stay)
+    drop = lambda s: _edit(s, "3", "D")
+    return ", ".join((f"{drop('s0')} AS n0", f"{_least(drop('s1'), keep('s0', 's'))} AS n1",
+                      f"{_least(drop('s2'), *(keep(s, 'u') for s in ('s0', 's1', 's3')), *(turn(s, user) for s in ('s0', 's1', 's3')))} AS n2",
+                      f"{_least(drop('s3'), keep('s2', 'a'), turn('s2', assistant))} AS n3"))
+
+
 ORACLES = {
     "op3_url_filter": rf"""
 WITH rules(verdict, rule_host, rule_path) AS (VALUES {_RULES}),
@@ -172,4 +205,32 @@ folded AS (SELECT rid, arg_max(node, l) AS folded_root FROM f GROUP BY rid)
 SELECT p.doc_id, p.leaf, sub.h AS subroot, o.h AS root, coalesce(proof.proof_sha256, sha256('')) AS proof_sha256,
        folded_root, folded_root = o.h AS verified
 FROM p JOIN sub USING (tree) JOIN folded USING (rid) LEFT JOIN proof USING (rid) JOIN over o ON o.n = 1""",
+
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+x AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS cid,
+             coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+y AS (SELECT x.*, {_crc32("k")} % 20 AS code FROM x, crc),
+r AS (SELECT cid, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+             CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM y, unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
+o AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+             right(regexp_replace(text, '{_SPACE}\z', ''), 1) AS last FROM r),
+e AS MATERIALIZED (SELECT *, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 THEN 'd'
+                                  WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault,
+                          coalesce(lag(left(role, 1)) OVER (PARTITION BY cid ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal FROM o),
+dp(cid, i, s0, s1, s2, s3) AS (
+  SELECT cid, 0, {{'k': '000000000', 't': ''}}, NULL::STRUCT(k VARCHAR, t VARCHAR), {{'k': '000000002I', 't': 'user:' || chr(10)}},
+         {{'k': '000000004II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)}} FROM (SELECT DISTINCT cid FROM x)
+  UNION ALL
+  (WITH n AS (SELECT dp.cid, e.i, {_row_edits()} FROM dp JOIN e ON e.cid = dp.cid AND e.i = dp.i + 1)
+   {_inserted("n0", "n1", "n2", "n3")})),
+done AS (SELECT cid, arg_max({_least("s0", "s3")}, i) AS s FROM dp GROUP BY cid),
+n AS (SELECT cid, coalesce(max(turn)::HUGEINT - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+             count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+             count(*) FILTER (WHERE illegal) AS illegal FROM e GROUP BY cid)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, left(s.k, 9)::BIGINT AS cost, substr(s.k, 10) AS audit,
+       sha256(left(s.t, greatest(length(s.t) - 1, 0))) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, cid FROM x) c JOIN done USING (cid) LEFT JOIN n USING (cid)""",
 }
