@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, langid, merkle, mixing, nearjoin, pagediff, pii, quality, secrets, turns, urlrules
+from . import bpe, dedup, langid, merkle, mixing, nearjoin, pagediff, pii, quality, repeats, secrets, turns, urlrules
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -62,9 +62,13 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark, sf_dir):
+    return repeats.strip_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_url_filter, op4_quality_rules, op5_language_id,
                                    op6_html_extraction, op7_jaccard_join, op8_exact_dedup, op9_mixing, op10_pii, op11_conversation_repair,
-                                   op12_merkle_manifest)}
+                                   op12_merkle_manifest, op13_suffix_dedup)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
