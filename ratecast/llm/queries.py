@@ -237,4 +237,19 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, left(s.k, 9)::BIGINT AS cost, substr(s.k, 10) AS audit,
        sha256(left(s.t, greatest(length(s.t) - 1, 0))) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id, cid FROM x) c JOIN done USING (cid) LEFT JOIN n USING (cid)""",
+
+    "op13_suffix_dedup": f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+c AS MATERIALIZED (SELECT rid, j, substr(hx, 8192 * j + 1, 8192 + {2 * repeats.LENGTH - 2}) AS part FROM d, unnest(range((length(hx) + 8191) // 8192)) AS u(j)),
+w AS MATERIALIZED (SELECT rid, 4096 * j + i AS pos, md5(substr(part, 2 * i + 1, {2 * repeats.LENGTH})) AS h FROM c, unnest(range(greatest(0, least(4096, length(part) // 2 - {repeats.LENGTH - 1})))) AS u(i)),
+m AS (SELECT rid, pos FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+e AS (SELECT rid, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY rid ORDER BY pos) <= {repeats.LENGTH} THEN 0 ELSE 1 END AS fresh FROM m),
+g AS (SELECT rid, pos, sum(fresh) OVER (PARTITION BY rid ORDER BY pos) AS k FROM e),
+s AS (SELECT rid, k, min(pos) AS a, max(pos) + {repeats.LENGTH} AS b FROM g GROUP BY rid, k),
+t AS (SELECT rid, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last,
+             string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM (SELECT s.*, hx, lag(b, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS before FROM s JOIN d USING (rid)) GROUP BY rid)
+SELECT doc_id, length(hx) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (rid)""",
 }

@@ -124,7 +124,7 @@ def test_maximal_repeat_groups(seed):
     assert got == brute_maximal(segs, 5)
 
 
-def test_whole_table(spark, sf):
+def test_whole_table(spark, sf, oracle):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = queries.op13_suffix_dedup(spark, sf).collect()
     rows = [(r.doc_id, r.text) for r in docs.collect()]
@@ -140,3 +140,4 @@ def test_whole_table(spark, sf):
                      "kept_sha256": sha256(bytes(np.frombuffer(t, np.uint8)[~gone])).hexdigest()})
     assert rows_of(got) == rows_of(want)
     assert sum(r.n_removed > 0 for r in got) > 100
+    assert rows_of(got) == oracle(queries.ORACLES["op13_suffix_dedup"], documents=docs)
