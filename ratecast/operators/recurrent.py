@@ -152,9 +152,11 @@ class Adam:
 # ----------------------------------------------------------------------------------
 # packed blocks
 # ----------------------------------------------------------------------------------
-def pack_blocks(features: DataFrame, cols: Sequence[str], lookback: int, block: int | None = None) -> DataFrame:
+def pack_blocks(features: DataFrame, cols: Sequence[str], lookback: int, block: int | None = None,
+                least: int | None = None) -> DataFrame:
     """``features`` with ``idx, split, n_train`` -> one row for a block of one side: ``split, blk, idx`` (of the first row
-    kept), ``own`` (rows before the block's own ones), ``n_train`` and ``data`` (rows x columns, float64). The target is column 0."""
+    kept), ``own`` (rows before the block's own ones), ``n_train`` and ``data`` (rows x columns, float64). The target is column 0.
+    Blocks without a window of ``least`` rows (by default ``lookback``) are left out."""
     vec = F.array(*[F.col(c).cast("double") for c in cols])
     h = with_halo(features.select("idx", "split", "n_train", vec.alias("vec")), lookback, block)
 
@@ -168,7 +170,7 @@ def pack_blocks(features: DataFrame, cols: Sequence[str], lookback: int, block:
 
     out = h.groupBy("split", "_blk").applyInPandas(
         pack, "split string, blk bigint, idx bigint, own bigint, n_train bigint, data binary")
-    return out.where(F.octet_length("data") > 8 * len(cols) * F.greatest(F.lit(lookback), F.col("own")))
+    return out.where(F.octet_length("data") > 8 * len(cols) * F.greatest(F.lit(least or lookback), F.col("own")))
 
 
 def block_windows(r, lookback: int, features: int):

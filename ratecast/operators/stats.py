@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ratecast.functions.calendar import lag_label
 from ratecast.operators.keyjoin import join_keys
+from ratecast.operators import leastsq as LS
 from ratecast.operators.blocks import MIN_BLOCK, with_halo
 from ratecast.operators.series import attach, series_length
 
@@ -220,101 +221,17 @@ def mackinnon_crit(nobs: int) -> dict[str, float]:
     return {k: sum(ci / nobs ** i for i, ci in enumerate(c)) for k, c in CRIT.items()}
 
 
-def _gram_block_fn(keys: list[str], fixed_p: int | None):
-    """Partial Gram matrix of z_t = [1, y(t-1), dy(t-1..t-p), dy(t)] over the block's own
-    rows t with t >= p+1 (the common sample of every nested lag model)."""
+def _adf_final(keys: list[str], autolag: bool):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("idx")
-        p = int(pdf["_p"].iloc[0]) if fixed_p is None else fixed_p
-        y = pdf["_y"].to_numpy(dtype="float64")
-        idx = pdf["idx"].to_numpy()
-        own = pdf["_own"].to_numpy() == pdf["_blk"].to_numpy()
-        m = len(y)
-        dy = np.full(m, np.nan)
-        dy[1:] = y[1:] - y[:-1]
-        rows = np.nonzero(own & (idx >= p + 1))[0]
-        rows = rows[rows >= p + 1]  # the look-back must be inside this block
-        k = p + 3
-        if len(rows) == 0:
-            g = np.zeros((k, k))
-        else:
-            z = np.empty((len(rows), k))
-            z[:, 0] = 1.0
-            z[:, 1] = y[rows - 1]
-            for j in range(1, p + 1):
-                z[:, 1 + j] = dy[rows - j]
-            z[:, k - 1] = dy[rows]
-            g = z.T @ z
-        ii, jj = np.triu_indices(k)
-        res = pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "v": g[ii, jj],
-                            "cnt": np.full(len(ii), len(rows), dtype="int64")})
-        for c in keys:
-            res[c] = pdf[c].iloc[0]
-        return res[[*keys, "i", "j", "v", "cnt"]]
-    return fn
-
-
-def _full(pdf: pd.DataFrame) -> tuple[np.ndarray, int]:
-    k = int(max(pdf["i"].max(), pdf["j"].max())) + 1
-    g = np.zeros((k, k))
-    g[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["v"].to_numpy()
-    g = g + np.triu(g, 1).T
-    nobs = int(pdf.loc[(pdf["i"] == 0) & (pdf["j"] == 0), "v"].iloc[0])
-    return g, nobs
-
-
-def _ols(g: np.ndarray, ncols: int, nobs: int):
-    """OLS of the last column on the first ``ncols`` columns from the Gram matrix."""
-    xtx = g[:ncols, :ncols]
-    xty = g[:ncols, -1]
-    beta = np.linalg.solve(xtx, xty)
-    ssr = float(g[-1, -1] - beta @ xty)
-    return beta, max(ssr, 0.0), xtx
-
-
-def _autolag_fn(keys: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, nobs = _full(pdf)
-        maxlag = g.shape[0] - 3
-        best = None
-        for lag in range(maxlag + 1):
-            k = 2 + lag
-            try:
-                _, ssr, _ = _ols(g, k, nobs)
-            except np.linalg.LinAlgError:      # a constant series: no regression, no statistic
-                continue
-            llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs if ssr > 0 else 1e-300) + 1)
-            aic = -2 * llf + 2 * k
-            if best is None or aic < best[0]:
-                best = (aic, lag)
-        best = best or (float("nan"), 0)
-        out = pd.DataFrame({"best_lag": [best[1]], "max_lag": [maxlag], "ic_best": [best[0]]})
-        for c in keys:
-            out[c] = pdf[c].iloc[0]
-        return out[[*keys, "best_lag", "max_lag", "ic_best"]]
-    return fn
-
-
-def _final_fn(keys: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, nobs = _full(pdf)
-        p = g.shape[0] - 3
-        k = 2 + p
-        try:
-            beta, ssr, xtx = _ols(g, k, nobs)
-            cov = ssr / (nobs - k) * np.linalg.inv(xtx) if nobs > k else np.zeros((2, 2))
-            t = float(beta[1] / math.sqrt(cov[1, 1])) if cov[1, 1] > 0 else float("nan")
-        except np.linalg.LinAlgError:          # a constant series has no statistic
-            t = float("nan")
-        pv = mackinnon_p(t) if not math.isnan(t) else float("nan")
-        cv = mackinnon_crit(nobs)
-        out = pd.DataFrame({"adf_statistic": [t], "p_value": [pv], "used_lag": [p], "nobs": [nobs],
+        one = pdf.iloc[0]
+        r = LS._as_matrix(one["r"])
+        head = np.frombuffer(one["head"]) - one["level"]
+        t, lag, nobs = LS.adf_statistic(r, int(one["n"]), head, None if autolag else r.shape[0] - 3)
+        pv, cv = mackinnon_p(t), mackinnon_crit(max(nobs, 1))
+        out = pd.DataFrame({"adf_statistic": [t], "p_value": [pv], "used_lag": [lag], "nobs": [nobs],
                             "crit_1pct": [cv["1%"]], "crit_5pct": [cv["5%"]], "crit_10pct": [cv["10%"]],
                             "is_stationary": [bool(pv < 0.05)]})
-        for c in keys:
-            out[c] = pdf[c].iloc[0]
-        return out[[*keys, "adf_statistic", "p_value", "used_lag", "nobs", "crit_1pct", "crit_5pct",
-                    "crit_10pct", "is_stationary"]]
+        return pd.concat([pdf[keys].iloc[:1].reset_index(drop=True), out], axis=1) if keys else out
     return fn
 
 
@@ -323,9 +240,9 @@ def adf_test(series: DataFrame, col: str = "txn_count", keys: Sequence[str] = ()
     """A10: Augmented Dickey-Fuller with a constant; lag chosen by AIC over the common
     sample, then re-estimated on the longer sample of the chosen lag.
 
-    Two distributed passes over halo blocks build (p+3)^2 Gram matrices; the solves run
-    per key in ``applyInPandas``. One scalar action reads the longest series length to
-    size the halo.
+    One pass over halo blocks gives each block's R factor of the regression with the key's maximum lag; factors
+    are merged in a tree (``leastsq``). All nested models, and the chosen one's longer sample, come from the merged
+    factor and the first ``max_lag + 1`` values. One scalar action reads the longest series length to size the halo.
     """
     keys = list(keys)
     n_tbl = series_length(series, keys)
@@ -336,33 +253,23 @@ def adf_test(series: DataFrame, col: str = "txn_count", keys: Sequence[str] = ()
     if cap < 0:
         raise ValueError("sample size is too short to use selected regression component")
     halo = cap + 1
-    b = max(32 * halo, MIN_BLOCK)
-    mean = series.groupBy(*keys).agg(F.avg(F.col(col).cast("double")).alias("_mu"), (F.max("idx") + 1).alias("_n"))
-    # per key: its own maximum lag (statsmodels rule on its own length)
-    pk = F.least(F.lit(cap), F.floor(F.col("_n") / 2) - 2,
-                 F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25))) if max_lag is None else F.lit(cap)
-    y = attach(series, mean, keys).select(*keys, "idx", (F.col(col) - F.col("_mu")).alias("_y"),
-                                          pk.cast("int").alias("_p"))
-    h = with_halo(y, halo, b)
-    kt = [f"{c} {series.schema[c].dataType.simpleString()}" for c in keys]
-    gschema = ", ".join(kt + ["i int", "j int", "v double", "cnt long"])
-
-    def gram(frame):
-        parts = frame.groupBy(*keys, "_blk").applyInPandas(_gram_block_fn(keys, None), gschema)
-        return parts.groupBy(*keys, "i", "j").agg(F.sum("v").alias("v"))
-
-    if autolag:
-        g1 = gram(h)
-        lag_schema = ", ".join(kt + ["best_lag int", "max_lag int", "ic_best double"])
-        best = g1.groupBy(*keys).applyInPandas(_autolag_fn(keys), lag_schema)
-        h2 = attach(h.drop("_p"), best.select(*keys, F.col("best_lag").alias("_p")), keys)
+    b = LS.block_for(halo)
+    y = series.select(*keys, "idx", F.col(col).cast("double").alias("_y"))
+    if keys and max_lag is None:
+        # per key: its own maximum lag (statsmodels rule on its own length)
+        pk = F.greatest(F.lit(0), F.least(F.lit(cap), F.floor(F.col("n") / 2) - 2, F.ceil(12.0 * F.pow(F.col("n") / 100.0, 0.25))))
+        y = attach(y, n_tbl.select(*keys, pk.cast("int").alias("_p")), keys)
     else:
-        h2 = h
-    g2 = gram(h2)
+        y = y.withColumn("_p", F.lit(cap))
+    kt = [f"{c} {series.schema[c].dataType.simpleString()}" for c in keys]
+    factors = with_halo(y, halo, b).groupBy(*keys, "_blk").applyInPandas(LS.adf_block(keys), ", ".join([*kt, LS.FACTOR]))
+    # a copy of a block's last rows stands beyond the last block
+    merged = LS.merge_tree(factors, n_max // b + 2, "adf", keys)
     fschema = ", ".join(kt + ["adf_statistic double", "p_value double", "used_lag int", "nobs long",
                               "crit_1pct double", "crit_5pct double", "crit_10pct double",
                               "is_stationary boolean"])
-    return g2.groupBy(*keys).applyInPandas(_final_fn(keys), fschema)
+    groups = keys or [F.lit(0).alias("_all")]
+    return merged.groupBy(*groups).applyInPandas(_adf_final(keys, autolag), fschema)
 
 
 def adf_lag0(series: DataFrame, col: str = "txn_count", keys: Sequence[str] = ()) -> DataFrame:
