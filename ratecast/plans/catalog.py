@@ -352,7 +352,7 @@ def q_split_summary(spark, d):
     return SE.split_summary(PR.temporal_split(minute_series(spark, d), 0.8))
 
 
-PROFILE_SUMMARY_SQL = f"""WITH dd AS (SELECT DISTINCT * FROM events),
+PROFILE_SUMMARY_SQL = f"""WITH RECURSIVE dd AS (SELECT DISTINCT * FROM events),
 {Q.series_cte(src='dd', count_col='tps')},
 {IQR_SQL.replace('txn_count', 'tps')},
 hh AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, avg(tps) AS mean FROM s GROUP BY 1),
@@ -361,26 +361,28 @@ cx AS (SELECT idx, tps - m AS x FROM s, mu),
 den AS (SELECT sum(x * x) AS d FROM cx),
 lg AS (SELECT unnest(range(0, 100)) AS lag),
 ac AS (SELECT lag, sum(a.x * b.x) / (SELECT d FROM den) AS acf FROM lg JOIN cx a ON TRUE JOIN cx b ON b.idx = a.idx - lg.lag, mu
-       WHERE lg.lag < mu.n GROUP BY lag)
+       WHERE lg.lag < mu.n GROUP BY lag),
+{Q.adf_ctes(55, col='tps')}
 SELECT (SELECT count(*) FROM dd) AS total_records, count(*) AS total_minutes, avg(tps) AS mean_tps,
        stddev_samp(tps) AS std_tps, CAST(min(tps) AS DOUBLE) AS min_tps, CAST(max(tps) AS DOUBLE) AS max_tps,
        count(*) FILTER (WHERE tps = 0) AS zero_minutes,
        (SELECT count(*) FILTER (WHERE tps < lower_bound OR tps > upper_bound) * 100.0::DOUBLE / count(*) FROM s, bb) AS outliers_pct,
        (SELECT CAST(arg_max(hour, (mean, -hour)) AS INTEGER) FROM hh) AS peak_hour,
        (SELECT CAST(arg_min(hour, (mean, hour)) AS INTEGER) FROM hh) AS low_hour,
-       (SELECT CAST(coalesce(max(lag) FILTER (WHERE abs(acf) > 0.2 AND NOT isnan(acf)), 10) AS BIGINT) FROM ac) AS recommended_lookback
+       (SELECT CAST(coalesce(max(lag) FILTER (WHERE abs(acf) > 0.2 AND NOT isnan(acf)), 10) AS BIGINT) FROM ac) AS recommended_lookback,
+       (SELECT p_value FROM adf) AS adf_pvalue, (SELECT p_value < 0.05 FROM adf) AS is_stationary
 FROM s"""
 
 
 @query("profile_summary", PROFILE_SUMMARY_SQL)
 def q_profile_summary(spark, d):
-    """The 13-field summary row without the ADF fields."""
-    return PRR.profile_summary(events(spark, d))
+    """The 13-field summary row."""
+    return PRR.profile_summary(events(spark, d), with_adf=True)
 
 
-@query("profile_summary_full")
+@query("profile_summary_full", PROFILE_SUMMARY_SQL)
 def q_profile_summary_full(spark, d):
-    """T11 with the ADF p-value and verdict (rows-only check)."""
+    """T11, the name that it had before profile_summary got the ADF fields."""
     return PRR.profile_summary(events(spark, d), with_adf=True)
 
 
@@ -730,18 +732,42 @@ def q_normality_test_minute(spark, d):
     return ST.normality_test(minute_series(spark, d))
 
 
-@query("adf_test")
+def adf_sql(max_lag, step=S_HOUR, more="", src="s"):
+    """The ADF row in SQL; ``max_lag`` is 12 (n / 100)^(1/4) rounded up for the given 30 days of events."""
+    crit = ", ".join(f"({a}) + ({b}) / nobs + ({c}) / power(nobs, 2) + ({e}) / power(nobs, 3) AS crit_{k[:-1]}pct" for k, (a, b, c, e) in ST.CRIT.items())
+    return w(more + Q.adf_ctes(max_lag, src) + f"""
+SELECT adf_statistic, p_value, CAST(used_lag AS INTEGER) AS used_lag, nobs, {crit}, p_value < 0.05 AS is_stationary FROM adf""", step).replace("WITH", "WITH RECURSIVE", 1)
+
+
+ADF_HOUR, ADF_MINUTE = 20, 55
+
+
+@query("adf_test", adf_sql(ADF_HOUR))
 def q_adf_test(spark, d):
-    """A10: ADF with AIC lag choice on the hourly series (rows-only check)."""
+    """A10: ADF with AIC lag choice on the hourly series."""
     return ST.adf_test(hour_series(spark, d))
 
 
-@query("adf_test_minute")
+@query("adf_test_minute", adf_sql(ADF_MINUTE, Q.series_cte()))
 def q_adf_test_minute(spark, d):
-    """A10 on the minute series (rows-only check)."""
+    """A10 on the minute series."""
     return ST.adf_test(minute_series(spark, d))
 
 
+@query("adf_test_max_lag_3", adf_sql(3))
+def q_adf_test_max_lag_3(spark, d):
+    """A10 with at most 3 lags."""
+    return ST.adf_test(hour_series(spark, d), max_lag=3)
+
+
+@query("adf_test_cumulative", adf_sql(ADF_HOUR, more="u AS (SELECT idx, sum(txn_count) OVER (ORDER BY idx) - 14 * idx AS txn_count FROM s),\n", src="u"))
+def q_adf_test_cumulative(spark, d):
+    """A10 on a series that is not stationary: events so far, less 14 an hour."""
+    from ratecast.operators.blocks import running_sums
+    run = running_sums(hour_series(spark, d), ["txn_count"]).select("idx", (F.col("cum_txn_count") - 14 * F.col("idx")).alias("txn_count"))
+    return ST.adf_test(materialize(run))
+
+
 @query("adf_lag0", w("""l AS (SELECT CAST(txn_count AS DOUBLE) AS y, CAST(lag(txn_count) OVER (ORDER BY idx) AS DOUBLE) AS ylag FROM s),
 d AS (SELECT ylag, y - ylag AS dy FROM l WHERE ylag IS NOT NULL)
 SELECT regr_count(dy, ylag) AS nobs, regr_slope(dy, ylag) AS slope,
@@ -752,31 +778,32 @@ def q_adf_lag0(spark, d):
     return ST.adf_lag0(hour_series(spark, d))
 
 
-REC_SQL = w(IQR_SQL + "," + HOURLY_SQL + "," + WEEKDAY_SQL + "," + ACF_SQL.format(lags=ALL_LAGS_SQL) + """,
+REC_SQL = w(IQR_SQL + "," + HOURLY_SQL + "," + WEEKDAY_SQL + "," + ACF_SQL.format(lags=ALL_LAGS_SQL) + ",\n" + Q.adf_ctes(ADF_MINUTE) + """,
 x AS (SELECT (SELECT stddev_samp(txn_count) / avg(txn_count) FROM s) AS cv,
              (SELECT count(*) FILTER (WHERE txn_count < lower_bound OR txn_count > upper_bound) * 100.0::DOUBLE / count(*) FROM s, bb) AS outlier_pct,
              (SELECT (max(mean) - min(mean)) / avg(mean) FROM h) AS h_ratio,
              (SELECT (max(mean) - min(mean)) / avg(mean) FROM wd WHERE mean IS NOT NULL) AS d_ratio,
              (SELECT max(lag) FILTER (WHERE lag < 100 AND abs(acf) > 0.2 AND NOT isnan(acf)) FROM ac) AS r)
 SELECT 1 AS rule_id, 'normalization' AS rule, cv AS metric, NULL::DOUBLE AS metric2, 0.3::DOUBLE AS threshold, coalesce(cv > 0.3, false) AS triggered FROM x
+UNION ALL SELECT 2, 'differencing', p_value, NULL, 0.05, coalesce(p_value >= 0.05, false) FROM adf
 UNION ALL SELECT 3, 'outlier_handling', outlier_pct, NULL, 2.0, coalesce(outlier_pct > 2, false) FROM x
 UNION ALL SELECT 4, 'feature_engineering', h_ratio, d_ratio, 0.2, coalesce(h_ratio > 0.2 OR d_ratio > 0.1, false) FROM x
 UNION ALL SELECT 5, 'lookback_window', CAST(coalesce(r, 10) AS DOUBLE), CAST(r AS DOUBLE), 0.2, true FROM x
 UNION ALL SELECT 6, 'temporal_split', NULL, NULL, 0.0, true FROM x""").replace(
     "WITH s_e AS (SELECT epoch_us(ts) AS us FROM events WHERE ts IS NOT NULL)",
-    "WITH dd AS (SELECT DISTINCT * FROM events), s_e AS (SELECT epoch_us(ts) AS us FROM dd WHERE ts IS NOT NULL)")
+    "WITH RECURSIVE dd AS (SELECT DISTINCT * FROM events), s_e AS (SELECT epoch_us(ts) AS us FROM dd WHERE ts IS NOT NULL)")
 
 
 @query("recommendations", REC_SQL)
 def q_recommendations(spark, d):
-    """The rule table without the ADF rule."""
-    return PRR.recommendations(events(spark, d)).withColumn("rule_id", F.col("rule_id").cast("int"))
+    """The rule table, all six rules."""
+    return PRR.recommendations(events(spark, d), with_adf=True).withColumn("rule_id", F.col("rule_id").cast("int"))
 
 
-@query("recommendations_full")
+@query("recommendations_full", REC_SQL)
 def q_recommendations_full(spark, d):
-    """A11 with the ADF differencing rule (rows-only check)."""
-    return PRR.recommendations(events(spark, d), with_adf=True)
+    """A11, the name that it had before recommendations got the ADF rule."""
+    return q_recommendations(spark, d)
 
 
 # ================================================================ 2.I split / scale
@@ -1105,8 +1132,8 @@ def q_write_processed_series(spark, d):
 
 @query("write_profile_summary", PROFILE_SUMMARY_SQL)
 def q_write_profile_summary(spark, d):
-    """The summary row written as CSV and read back."""
-    s = PRR.profile_summary(events(spark, d))
+    """The summary row (all 13 fields) written as CSV and read back."""
+    s = PRR.profile_summary(events(spark, d), with_adf=True)
     return IO.write_and_read_back(s, scratch(spark, "summary"), fmt="csv")
 
 

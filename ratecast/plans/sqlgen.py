@@ -55,3 +55,49 @@ MAPE_RAW = """avg(CASE WHEN actual = 0 AND predicted - actual = 0 THEN 'NaN'::DO
 MAPE_NZ = "avg(CASE WHEN actual <> 0 THEN abs((predicted - actual) / actual) END) * 100"
 WAPE = "CASE WHEN avg(actual) > 0 THEN avg(abs(predicted - actual)) / avg(actual) * 100 ELSE 0.0 END"
 MAPE_EPS = "avg(abs(predicted - actual) / greatest(abs(actual), 2.220446049250313e-16)) * 100"
+
+
+def gram(cols: list[str], src: str, where: str = "true") -> str:
+    """A row (m, nobs): the matrix of sums of products of ``cols``."""
+    cell = lambda i, j: f"sum({cols[min(i, j)]} * {cols[max(i, j)]})::DOUBLE"
+    rows = ", ".join("[" + ", ".join(cell(i, j) for j in range(len(cols))) + "]" for i in range(len(cols)))
+    return f"SELECT [{rows}] AS m, count(*) AS nobs FROM {src} WHERE {where}"
+
+
+def pivots(size: int, src: str, count: str, every_row: bool = False, extra: str = "") -> str:
+    """Recursive term q, m: the matrix of ``src`` after q pivots (Gauss; Gauss-Jordan with ``every_row``)."""
+    stay = "i = q + 1" if every_row else "i <= q + 1"
+    return (f"SELECT q + 1, list_transform(range(1, {size + 1}), lambda i: CASE WHEN {stay} THEN m[i] ELSE list_transform(range(1, {size + 1}), "
+            f"lambda j: m[i][j] - m[i][q + 1] * m[q + 1][j] / m[q + 1][q + 1]) END){extra} FROM {src} WHERE q < {count}")
+
+
+def normal_cdf(z: str) -> str:
+    """Phi(z) by its power series (100 terms), 0 or 1 beyond 8."""
+    series = f"list_reduce(list_prepend({{'t': {z}, 's': {z}}}, list_transform(range(1, 100), lambda n: {{'t': n::DOUBLE, 's': 0.0::DOUBLE}})), " \
+             f"lambda a, n: {{'t': a.t * {z} * {z} / (2 * n.t + 1), 's': a.s + a.t * {z} * {z} / (2 * n.t + 1)}}).s"
+    return f"CASE WHEN {z} < -8 THEN 0.0 WHEN {z} > 8 THEN 1.0 ELSE 0.5 + exp(-{z} * {z} / 2) / sqrt(2 * pi()) * {series} END"
+
+
+def adf_ctes(max_lag: int, src: str = "s", col: str = "txn_count") -> str:
+    """CTEs (under WITH RECURSIVE) ending in ``adf(adf_statistic, p_value, used_lag, nobs)``: the augmented Dickey-Fuller test with a
+    constant by the normal equations. One elimination gives the squared errors of all lags; the chosen lag is fitted on its own rows."""
+    p = max_lag
+    lags = [f"d{k}" for k in range(1, p + 1)]
+    first = ["1::BIGINT", "y1", *lags, "d0"]
+    last = ["1::BIGINT", *lags, "y1", "d0"]
+    y, t = p + 2, p + 3
+    small = " + ".join(f"({c}) * power(adf_statistic, {i})" for i, c in enumerate((2.1659, 1.4412, 0.038269)))
+    large = " + ".join(f"({c}) * power(adf_statistic, {i})" for i, c in enumerate((1.7339, 0.93202, -0.12745, -0.010368)))
+    return f"""a_d AS (SELECT idx, {col}::BIGINT AS y, {col}::BIGINT - lag({col}) OVER (ORDER BY idx) AS d FROM {src}),
+a_l AS MATERIALIZED (SELECT idx, lag(y) OVER o AS y1, d AS d0, {", ".join(f"coalesce(lag(d, {k}) OVER o, 0) AS d{k}" for k in range(1, p + 1))}
+        FROM a_d WINDOW o AS (ORDER BY idx)),
+a_g AS MATERIALIZED ({gram(first, "a_l", f"idx > {p}")}),
+a_e(q, m) AS (SELECT 0, m FROM a_g UNION ALL {pivots(p + 3, "a_e", str(p + 2))}),
+a_k AS MATERIALIZED (SELECT arg_min(q - 2, nobs * (ln(2 * pi()) + ln(a_e.m[{t}][{t}] / nobs) + 1) + 2 * q) AS k FROM a_e, a_g WHERE q >= 2),
+a_h AS MATERIALIZED ({gram(last, "a_l, a_k", "idx > k")}),
+a_f(q, m, k) AS (SELECT 0, m, k FROM a_h, a_k UNION ALL {pivots(p + 3, "a_f", "k + 1", extra=", k")}),
+a_s AS (SELECT m[{y}][{t}] / m[{y}][{y}] / sqrt((m[{t}][{t}] - m[{y}][{t}] * m[{y}][{t}] / m[{y}][{y}])
+               / ((SELECT nobs FROM a_h) - k - 2) / m[{y}][{y}]) AS adf_statistic, k, (SELECT nobs FROM a_h) AS nobs FROM a_f WHERE q = k + 1),
+a_z AS (SELECT *, CASE WHEN adf_statistic <= -1.61 THEN {small} ELSE {large} END AS z FROM a_s),
+adf AS (SELECT adf_statistic, CASE WHEN adf_statistic > 2.74 THEN 1.0 WHEN adf_statistic < -18.83 THEN 0.0 ELSE {normal_cdf("z")} END AS p_value,
+               k AS used_lag, nobs FROM a_z)"""
