@@ -16,23 +16,40 @@ from ratecast.llm.queries import tokenizer_path
 
 ORACLE_SQL = None
 
+#: Rows of an Arrow batch between Spark and a Python worker. Whole texts travel, and what a batch needs is kept by
+#: allocators on both sides for as long as an executor lives, over all stages.
+BATCH_ROWS = "2000"
 
+
+def small_batches(stage):
+    """``stage`` in a session that sends small batches; the plan it returns runs later, so the setting stays."""
+    def run(spark, docs, sf_dir):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+    return run
+
+
+@small_batches
 def quality_rules(spark, docs, sf_dir):
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+@small_batches
 def exact_dedup(spark, docs, sf_dir):
     return dedup.exact_dedup(docs)
 
 
+@small_batches
 def near_dedup(spark, docs, sf_dir):
     return nearjoin.keep_one(docs)
 
 
+@small_batches
 def mix_sources(spark, docs, sf_dir):
     return mixing.mix(docs)
 
 
+@small_batches
 def encode_bpe(spark, docs, sf_dir):
     return bpe.encode(docs, tokenizer_path(), with_ids=True)
 
