@@ -215,7 +215,7 @@ def epoch_sums(blocks: DataFrame, cell: str, flat: np.ndarray, units: int, lookb
     if not one:
         raise ValueError(f"no train window of {lookback} rows")
     s = np.frombuffer(one[0].sums)
-    return s[0], s[1], s[4:], s[2], s[3]
+    return float(s[0]), float(s[1]), s[4:], float(s[2]), float(s[3])
 
 
 @dataclass

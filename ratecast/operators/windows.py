@@ -66,28 +66,37 @@ def rolling_mean_std(series: DataFrame, col: str = "txn_count", rows: int = 1440
     """Trailing mean and sample std over ``rows`` rows, null until ``min_periods``
     (default ``rows``) rows exist.
 
-    O(n) per block instead of O(n*rows): inside a halo block the running sums S1, S2
-    of distances from the block's first value are differenced ``rows`` apart, so a high
-    level does not cancel the variance away and a constant series has exactly 0.
+    O(n) a block, and no differences of running sums, so a spike leaves nothing behind when it leaves the
+    window. The index is cut every ``rows`` rows; a window is the last rows of one cut and the first of the next. The running
+    (count, mean, sum of squared deviations) of every cut, from its start and from its end, are aggregates that
+    grow by one row; two of them merge into the window's by the pairwise update of Chan et al. They are of distances from the
+    block's least value, so a high level costs no digits.
     """
     keys = list(keys)
     mp = rows if min_periods is None else min_periods
-    h = with_halo(series, rows, block)
-    w = halo_window(keys)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("_level", F.first(F.col(col).cast("double")).over(run))
+    h = with_halo(series, rows, block).withColumn("_cut", F.floor(F.col("idx") / F.lit(rows)))
+    h = h.withColumn("_level", F.min(F.col(col).cast("double")).over(Window.partitionBy(*keys, "_blk")))
     x = F.col(col).cast("double") - F.col("_level")
-    h = h.withColumn("_s1", F.sum(x).over(run)).withColumn("_s2", F.sum(x * x).over(run)) \
-        .withColumn("_rn", F.row_number().over(w))
-    cnt = F.least(F.col("_rn"), F.lit(rows)).cast("double")
-    s1 = F.col("_s1") - F.coalesce(F.lag("_s1", rows).over(w), F.lit(0.0))
-    s2 = F.col("_s2") - F.coalesce(F.lag("_s2", rows).over(w), F.lit(0.0))
-    h = h.withColumn("_cnt", cnt).withColumn("_w1", s1).withColumn("_w2", s2)
-    mean = F.col("_level") + F.col("_w1") / F.col("_cnt")
-    var = F.greatest((F.col("_w2") - F.col("_w1") * F.col("_w1") / F.col("_cnt")) / (F.col("_cnt") - 1), F.lit(0.0))
-    h = h.withColumn("rolling_mean", F.when(F.col("_cnt") >= mp, mean)) \
-        .withColumn("rolling_std", F.when((F.col("_cnt") >= mp) & (F.col("_cnt") > 1), F.sqrt(var)))
-    return drop_halo(h).drop("_level", "_s1", "_s2", "_rn", "_cnt", "_w1", "_w2")
+    cut = Window.partitionBy(*keys, "_blk", "_cut")
+    grown = (Window.unboundedPreceding, 0)
+    ahead, back = (cut.orderBy(o).rowsBetween(*grown) for o in (F.col("idx"), F.col("idx").desc()))
+    state = lambda w: F.struct(F.count(x).over(w).alias("n"), F.avg(x).over(w).alias("m"),
+                               (F.var_pop(x).over(w) * F.count(x).over(w)).alias("s"))
+    h = h.withColumn("_a", state(ahead)).withColumn("_z", F.struct("_cut", state(back).alias("s")))
+    w = halo_window(keys)
+    # the end of the cut before, from the window's first row on; in the first cut there may be fewer rows
+    begin = F.coalesce(F.lag("_z", rows - 1).over(w), F.first("_z").over(w.rowsBetween(*grown))) if rows > 1 else F.col("_z")
+    h = h.withColumn("_z", begin)
+    old = F.col("_z._cut") == F.col("_cut") - 1
+    a, z = (lambda f: F.col(f"_a.{f}")), (lambda f: F.when(old, F.col(f"_z.s.{f}")).otherwise(F.lit(0)))
+    n, by = a("n") + z("n"), F.coalesce(z("m"), F.lit(0.0)) - F.coalesce(a("m"), F.lit(0.0))
+    share = F.try_divide(z("n").cast("double"), n)
+    h = h.select("*", n.alias("_n"), (F.coalesce(a("m"), F.lit(0.0)) + by * share).alias("_m"),
+                 (F.coalesce(a("s"), F.lit(0.0)) + F.coalesce(z("s"), F.lit(0.0)) + by * by * share * a("n")).alias("_s"))
+    full = F.col("_n") >= mp
+    h = h.withColumn("rolling_mean", F.when(full & (F.col("_n") > 0), F.col("_level") + F.col("_m"))) \
+        .withColumn("rolling_std", F.when(full & (F.col("_n") > 1), F.sqrt(F.col("_s") / (F.col("_n") - 1))))
+    return drop_halo(h).drop("_cut", "_level", "_a", "_z", "_n", "_m", "_s")
 
 
 def _with_start(out: DataFrame, side_start: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:

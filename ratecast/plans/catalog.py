@@ -809,6 +809,8 @@ def q_recommendations_full(spark, d):
 # ================================================================ 2.I split / scale
 import uuid  # noqa: E402
 
+from ratecast.operators import leastsq as LS  # noqa: E402
+from ratecast.operators import recurrent as RC  # noqa: E402
 from ratecast.plans import experiments as XP  # noqa: E402
 from ratecast.session import checkpoint_dir  # noqa: E402
 from ratecast.sources import io as IO  # noqa: E402
@@ -903,11 +905,38 @@ def q_forecast_ar1(spark, d):
     return FC.forecast_ar1(PR.temporal_split(hour_series(spark, d), 0.8))
 
 
-@query("fit_predict_lagged")
+@query("fit_predict_lagged", w(Q.linear_ctes(60) + "\nSELECT idx, row, actual, predicted FROM pred60").replace("WITH", "WITH RECURSIVE", 1))
 def q_fit_predict_lagged(spark, d):
-    """LinearRegression on L=60 lag windows (rows-only check)."""
-    pred, _ = XP.fit_predict_lagged(minute_series(spark, d), 60, "linear")
-    return pred
+    """Least squares on L=60 lag windows of the train minutes, predictions of the test windows."""
+    blocks, fits = XP.lagged_linear(minute_series(spark, d), (60,))
+    return LS.lagged_predictions(blocks, fits).drop("lookback")
+
+
+LOOKBACKS = (10, 30, 60)
+
+
+@query("fit_lagged_linear", w(",\n".join(Q.linear_ctes(k) for k in LOOKBACKS) + "\n" + " UNION ALL ".join(
+    f"SELECT CAST({k} AS INTEGER) AS lookback, CAST(unnest(range(0, {k + 1})) AS INTEGER) AS lag, unnest(c) AS coef FROM fit{k}"
+    for k in LOOKBACKS), S_HOUR).replace("WITH", "WITH RECURSIVE", 1))
+def q_fit_lagged_linear(spark, d):
+    """Coefficients (lag 0: intercept) of the least-squares fits for lookbacks 10, 30 and 60 from one merged factor."""
+    fits = XP.lagged_linear(hour_series(spark, d), LOOKBACKS)[1]
+    return fits.select("lookback", F.posexplode(F.concat(F.array("intercept"), "coefs")).alias("lag", "coef"))
+
+
+GRID_LINEAR = " UNION ALL ".join(
+    f"SELECT {i} AS o, {k} AS lookback, * FROM pred{k}" for i, k in enumerate(LOOKBACKS))
+
+
+@query("experiment_grid_linear", w(",\n".join(Q.linear_ctes(k) for k in LOOKBACKS) + f""",
+p AS ({GRID_LINEAR})
+SELECT 'linear' AS model, CAST(o AS INTEGER) AS run_order, CAST(lookback AS INTEGER) AS lookback, CAST(batch_size AS INTEGER) AS batch_size, count(*) AS n,
+       avg(abs(predicted - actual)) AS mae, sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse, {Q.MAPE_EPS} AS mape,
+       'linear_lb' || lookback || '_b' || batch_size AS run_name
+FROM p, (VALUES (32), (64)) b(batch_size) GROUP BY ALL""", S_HOUR).replace("WITH", "WITH RECURSIVE", 1))
+def q_experiment_grid_linear(spark, d):
+    """The linear model x lookbacks 10/30/60 x batch 32/64 on the hourly series, all fits from one pass."""
+    return XP.ml_grid(hour_series(spark, d), ("linear",), LOOKBACKS).drop("error", "seconds")
 
 
 @query("fit_predict_lagged_gbt")
@@ -969,10 +998,15 @@ def q_experiment_grid(spark, d):
     return XP.experiment_grid(hour_series(spark, d))
 
 
-@query("experiment_grid_ml")
+@query("experiment_grid_ml", w(",\n".join(Q.linear_ctes(k) for k in LOOKBACKS) + f""",
+p AS ({GRID_LINEAR})
+SELECT 'linear' AS model, CAST(o AS INTEGER) AS run_order, CAST(lookback AS INTEGER) AS lookback, CAST(batch_size AS INTEGER) AS batch_size, count(*) AS n,
+       avg(abs(predicted - actual)) AS mae, sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse,
+       'linear_lb' || lookback || '_b' || batch_size AS run_name
+FROM p, (VALUES (32), (64)) b(batch_size) GROUP BY ALL""").replace("WITH", "WITH RECURSIVE", 1))
 def q_experiment_grid_ml(spark, d):
-    """O9 with Spark ML LinearRegression at minute grain (rows-only check)."""
-    return XP.ml_grid(minute_series(spark, d), ("linear",), (10, 30, 60))
+    """O9 at minute grain (without mape, which zero actuals blow up to 1e15, and the run's seconds)."""
+    return XP.ml_grid(minute_series(spark, d), ("linear",), LOOKBACKS).drop("error", "seconds", "mape")
 
 
 ALIGN_SQL = w(f"""nn AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS nt FROM s),
@@ -1150,18 +1184,49 @@ def q_run_log_append(spark, d):
     return IO.read_runs(spark, path)
 
 
-@query("model_save_load")
+@query("model_save_load", w(Q.linear_ctes(10) + """
+SELECT idx, actual AS y, predicted, true AS same_as_before FROM pred10""").replace("WITH", "WITH RECURSIVE", 1))
 def q_model_save_load(spark, d):
-    """Fit, save with its lookback, reload, and score the test windows."""
-    from pyspark.ml.functions import array_to_vector
-    s = minute_series(spark, d)
-    pred, model = XP.fit_predict_lagged(s, 10, "linear")
+    """Fit, save with its lookbacks, reload, score the test windows, and compare with the scores before."""
+    blocks, fits = XP.lagged_linear(minute_series(spark, d), (10,))
     path = scratch(spark, "model")
-    IO.save_model(model, path, 10)
-    m2, lb, _ = IO.load_model(spark, path)
-    sp = PR.temporal_split(s, 0.8)
-    win = WI.lookback_windows(sp, lookback=lb, split_col="split").where(F.col("split") == "test")
-    return m2.transform(win.withColumn("features", array_to_vector("x"))).select("idx", "y", "predicted")
+    IO.save_fits(fits, path)
+    before = LS.lagged_predictions(blocks, fits).select("idx", F.col("predicted").alias("before"))
+    after = LS.lagged_predictions(blocks, IO.load_fits(spark, path))
+    return after.join(before, "idx").select("idx", F.col("actual").alias("y"), "predicted",
+                                            (F.col("predicted") == F.col("before")).alias("same_as_before"))
+
+
+@query("network_save_load")
+def q_network_save_load(spark, d):
+    """S10 for a recurrent network: saved with cell, lookback, columns and scaler, reloaded, test windows scored (no SQL: the
+    equality with the scores before saving is a test)."""
+    model, blocks = _network(spark, d)
+    path = scratch(spark, "network")
+    IO.save_network(spark, model, path)
+    return RC.predict_recurrent(IO.load_network(spark, path), blocks)
+
+
+NETWORK_COLS = ("txn_count", "hour_sin", "hour_cos", "txn_ma_5")
+
+
+def _network(spark, d, cell="gru", epochs=3):
+    s = CA.add_time_features(SE.rename_cast(minute_series(spark, d)), ("hour_sin", "hour_cos"))
+    return RC.fit_recurrent(WI.moving_average(s, "txn_count", 5), NETWORK_COLS, lookback=30, cell=cell, units=8, epochs=epochs, rate=0.02)
+
+
+@query("fit_predict_recurrent")
+def q_fit_predict_recurrent(spark, d):
+    """GRU on four scaled columns, L=30, trained data-parallel on all train windows of the minute series, with a validation tail;
+    predictions of all test windows (no SQL; compared with one process in the tests)."""
+    model, blocks = _network(spark, d)
+    return RC.predict_recurrent(model, blocks)
+
+
+@query("fit_recurrent_history")
+def q_fit_recurrent_history(spark, d):
+    """Loss, validation loss and step size of each epoch of an LSTM (no SQL)."""
+    return RC.history_table(spark, _network(spark, d, "lstm")[0])
 
 
 # ================================================================ 2.L streaming

@@ -101,3 +101,17 @@ a_s AS (SELECT m[{y}][{t}] / m[{y}][{y}] / sqrt((m[{t}][{t}] - m[{y}][{t}] * m[{
 a_z AS (SELECT *, CASE WHEN adf_statistic <= -1.61 THEN {small} ELSE {large} END AS z FROM a_s),
 adf AS (SELECT adf_statistic, CASE WHEN adf_statistic > 2.74 THEN 1.0 WHEN adf_statistic < -18.83 THEN 0.0 ELSE {normal_cdf("z")} END AS p_value,
                k AS used_lag, nobs FROM a_z)"""
+
+
+def linear_ctes(lookback: int, src: str = "s", col: str = "txn_count", train: str = "0.8::DOUBLE") -> str:
+    """CTEs (under WITH RECURSIVE) ending in ``fit<L>(c)``, the coefficients (intercept, lag 1 ..) of least squares on the train side by
+    Gauss-Jordan, and ``pred<L>(idx, row, actual, predicted)`` for the windows of the test side."""
+    k = lookback
+    lags = [f"l{i}" for i in range(1, k + 1)]
+    guess = " + ".join(["c[1]", *(f"c[{i + 1}] * l{i}" for i in range(1, k + 1))])
+    return f"""n{k} AS (SELECT CAST(floor(count(*) * {train}) AS BIGINT) AS nt FROM {src}),
+x{k} AS MATERIALIZED (SELECT idx, CAST({col} AS DOUBLE) AS y, {", ".join(f"CAST(lag({col}, {i}) OVER (ORDER BY idx) AS DOUBLE) AS l{i}" for i in range(1, k + 1))} FROM {src}),
+g{k} AS MATERIALIZED ({gram(["1.0::DOUBLE", *lags, "y"], f"x{k}, n{k}", f"idx >= {k} AND idx < nt")}),
+e{k}(q, m) AS (SELECT 0, m FROM g{k} UNION ALL {pivots(k + 2, f"e{k}", str(k + 1), every_row=True)}),
+fit{k} AS MATERIALIZED (SELECT list_transform(range(1, {k + 2}), lambda i: m[i][{k + 2}] / m[i][i]) AS c FROM e{k} WHERE q = {k + 1}),
+pred{k} AS (SELECT idx, idx - nt - {k} AS row, y AS actual, {guess} AS predicted FROM x{k}, n{k}, fit{k} WHERE idx >= nt + {k})"""

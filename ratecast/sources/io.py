@@ -5,6 +5,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,3 +145,27 @@ def load_model(spark: SparkSession, path: str):
     except Exception:  # noqa: BLE001 - no scaler saved
         scaler = None
     return model, lookback, scaler
+
+
+def save_fits(fits: DataFrame, path: str) -> None:
+    """The fits of ``leastsq.lagged_fit``, a row for each lookback."""
+    fits.write.mode("overwrite").parquet(path)
+
+
+def load_fits(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("lookback int, n bigint, intercept double, coefs array<double>").parquet(path)
+
+
+NETWORK = "cell string, units int, lookback int, cols array<string>, weights array<double>, low double, high double, saved_at double"
+
+
+def save_network(spark: SparkSession, model, path: str) -> None:
+    """A trained recurrent network with all that scoring needs: its shape, its columns and the target's scaler."""
+    row = (model.cell, model.units, model.lookback, list(model.cols), [float(x) for x in model.weights], model.low, model.high, time.time())
+    spark.createDataFrame([row], NETWORK).write.mode("overwrite").parquet(path)
+
+
+def load_network(spark: SparkSession, path: str):
+    from ratecast.operators.recurrent import RecurrentModel
+    r = spark.read.schema(NETWORK).parquet(path).first()
+    return RecurrentModel(r.cell, r.units, r.lookback, tuple(r.cols), np.array(r.weights), r.low, r.high)

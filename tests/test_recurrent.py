@@ -97,3 +97,12 @@ def test_training_learns(spark):
 def test_too_short_series(spark):
     with pytest.raises(ValueError, match="no train window"):
         RC.fit_recurrent(features(spark, 20), COLS, lookback=30, cell="rnn", units=2, epochs=1)
+
+
+def test_network_survives_a_save(spark, tmp_path):
+    from ratecast.sources import io as IO
+    model, blocks = RC.fit_recurrent(features(spark, 200), COLS, lookback=6, cell="gru", units=3, epochs=1, block=64)
+    IO.save_network(spark, model, str(tmp_path / "net"))
+    again = IO.load_network(spark, str(tmp_path / "net"))
+    want = RC.predict_recurrent(model, blocks).orderBy("idx").collect()
+    assert RC.predict_recurrent(again, blocks).orderBy("idx").collect() == want and len(want) == 40 - 6
