@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratecast.operators import evaluate as EV
 from ratecast.operators import forecast as FC
+from ratecast.operators import normality as NO
 from ratecast.operators import prep as PR
 from ratecast.operators import series as SE
 from ratecast.operators import windows as WI
@@ -732,6 +733,25 @@ def q_normality_test_minute(spark, d):
     return ST.normality_test(minute_series(spark, d))
 
 
+SF_SQL = f"""i AS (SELECT CAST(txn_count AS DOUBLE) AS x, row_number() OVER (ORDER BY txn_count) AS i, count(*) OVER () AS n, avg(txn_count) OVER () AS mu FROM s),
+m AS (SELECT x - mu AS x, n, {NO.normal_quantile_sql("(i - 0.375) / (n + 0.25)")} AS m FROM i),
+t AS (SELECT any_value(n) AS n, power(sum(m * x), 2) / (sum(m * m) * sum(x * x)) AS w_statistic FROM m),
+z AS (SELECT *, -(ln(1 - w_statistic) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))) AS z FROM t)
+SELECT n, w_statistic, {Q.normal_cdf("z")} AS p_value, {Q.normal_cdf("z")} > 0.05 AS is_normal FROM z"""
+
+
+@query("normality_shapiro_francia", w(SF_SQL, S_HOUR))
+def q_normality_shapiro_francia(spark, d):
+    """A9, order statistics: Shapiro-Francia on the whole hourly series."""
+    return NO.shapiro_francia(hour_series(spark, d))
+
+
+@query("normality_shapiro_francia_minute", w(SF_SQL))
+def q_normality_shapiro_francia_minute(spark, d):
+    """A9, order statistics, at minute grain (mostly ties)."""
+    return NO.shapiro_francia(minute_series(spark, d))
+
+
 def adf_sql(max_lag, step=S_HOUR, more="", src="s"):
     """The ADF row in SQL; ``max_lag`` is 12 (n / 100)^(1/4) rounded up for the given 30 days of events."""
     crit = ", ".join(f"({a}) + ({b}) / nobs + ({c}) / power(nobs, 2) + ({e}) / power(nobs, 3) AS crit_{k[:-1]}pct" for k, (a, b, c, e) in ST.CRIT.items())

@@ -73,8 +73,8 @@ def pivots(size: int, src: str, count: str, every_row: bool = False, extra: str
 
 def normal_cdf(z: str) -> str:
     """Phi(z) by its power series (100 terms), 0 or 1 beyond 8."""
-    series = f"list_reduce(list_prepend({{'t': {z}, 's': {z}}}, list_transform(range(1, 100), lambda n: {{'t': n::DOUBLE, 's': 0.0::DOUBLE}})), " \
-             f"lambda a, n: {{'t': a.t * {z} * {z} / (2 * n.t + 1), 's': a.s + a.t * {z} * {z} / (2 * n.t + 1)}}).s"
+    series = f"list_reduce(list_prepend({{'t': {z}, 's': {z}}}, list_transform(range(1, 100), lambda k_: {{'t': k_::DOUBLE, 's': 0.0::DOUBLE}})), " \
+             f"lambda a_, k_: {{'t': a_.t * {z} * {z} / (2 * k_.t + 1), 's': a_.s + a_.t * {z} * {z} / (2 * k_.t + 1)}}).s"
     return f"CASE WHEN {z} < -8 THEN 0.0 WHEN {z} > 8 THEN 1.0 ELSE 0.5 + exp(-{z} * {z} / 2) / sqrt(2 * pi()) * {series} END"
 
 
