@@ -81,8 +81,12 @@ def bounded_window(df: DataFrame, cols: dict[str, callable], halo: int,
 # ----------------------------------------------------------------------------------
 # block carry: running (unbounded preceding) sums on a dense series
 # ----------------------------------------------------------------------------------
+#: an exact sum in fixed size: whole and fractional parts of finite values, and how many values were NaN, +inf, -inf
+EXACT_SUM = "struct<int:decimal(38,0),frac:decimal(38,18),nan:bigint,pinf:bigint,ninf:bigint>"
+
+
 def running_sums(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
-                 idx: str = "idx", block: int | None = None, prefix: str = "cum_") -> DataFrame:
+                 idx: str = "idx", block: int | None = None, prefix: str = "cum_", start: dict[str, str] | None = None) -> DataFrame:
     """Inclusive running sum of each column (and ``cum_n``, the running row count),
     ordered by ``idx`` within ``keys``; equal to ``sum() OVER (ORDER BY idx ROWS
     UNBOUNDED PRECEDING)`` but never one task for the whole series.
@@ -91,6 +95,9 @@ def running_sums(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
     order of the additions cannot change the result and squares of large errors fit; NaN,
     +inf and -inf (and what is beyond 1e30) are counted apart and restored with IEEE rules (any NaN, or both
     infinities -> NaN; else the infinity).
+
+    ``start`` names for each column the column of an ``EXACT_SUM`` that its sums go on from (the end of an earlier batch); the
+    sums so far are then returned as ``<prefix><col>_exact`` too.
     """
     b = block or MIN_BLOCK
     keys = list(keys)
@@ -125,6 +132,9 @@ def running_sums(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
     out = out.withColumn(f"{prefix}n", F.col("_rn") + F.col("_cn"))
     for c in cols:
         tot = {k: F.col(f"_r_{k}_{c}") + F.col(f"_c_{k}_{c}") for k in ("int", "frac", "nan", "pinf", "ninf")}
+        if start:
+            tot = {k: v + F.col(f"{start[c]}.{k}") for k, v in tot.items()}
+            out = out.withColumn(f"{prefix}{c}_exact", F.struct(*[v.alias(k) for k, v in tot.items()]).cast(EXACT_SUM))
         val = (F.when((tot["nan"] > 0) | ((tot["pinf"] > 0) & (tot["ninf"] > 0)), F.lit(float("nan")))
                .when(tot["pinf"] > 0, F.lit(float("inf")))
                .when(tot["ninf"] > 0, F.lit(float("-inf")))

@@ -2,7 +2,7 @@
 
 Every micro-batch is one version of five tables below ``path``: ``bins`` (closed bins, zero-filled, with their one-step forecast and the
 running errors), ``late`` (events that came after their bin was closed, whole rows), ``open`` (counts of bins still open), ``carry`` (of each
-series: its first bin, the next bin to close, the last ``k`` values, number and sums of the errors) and ``meta`` (watermark), written last.
+series: its first bin, the next bin to close, the last ``k`` values, number and exact sums of the errors) and ``meta`` (watermark), written last.
 A version counts once its ``meta`` is there. A batch reads the version before it and overwrites its own folders, so
 a batch that is run again, after a failure or in a replay, changes nothing, and every late row is written exactly once.
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ratecast.functions import metrics as M
 from ratecast.functions.timecols import DAY_US, as_ntz, freq_micros, from_micros, to_micros
-from ratecast.operators.blocks import running_sums
+from ratecast.operators.blocks import EXACT_SUM, running_sums
 from ratecast.operators.forecast import forecast_moving_avg
 from ratecast.operators.keyjoin import join_keys
 from ratecast.operators.series import dense_grid
@@ -118,7 +118,7 @@ def advance(events: DataFrame, batch_id: int, feed: Feed) -> None:
     ready = counts.where(F.lit(False) if limit is None else F.col("_bin") < limit)
     _write(counts.where(F.lit(True) if limit is None else F.col("_bin") >= limit), feed, "open", batch_id)
     schema = ", ".join([*(f"`{c}` {events.schema[c].dataType.simpleString()}" for c in keys),
-                        "first bigint, next bigint, recent array<double>, n bigint, ae double, se double, ape double"])
+                        "first bigint, next bigint, recent array<double>, n bigint", *(f"{c} {EXACT_SUM}" for c in SUMS[1:])])
     if before is not None:
         carry = spark.read.schema(schema).parquet(f"{feed.path}/carry/v={before}")
     else:
@@ -135,7 +135,7 @@ def advance(events: DataFrame, batch_id: int, feed: Feed) -> None:
 def _known_and_new(carry: DataFrame, starts: DataFrame, keys: Sequence[str], schema: str) -> DataFrame:
     """The carry rows of all series: those carried so far, and series whose first bin closes now."""
     new = join_keys(starts, carry.select(*keys), keys, how="left_anti") if keys else starts.join(carry, F.lit(True), "left_anti")
-    zero = F.lit(0.0)
+    zero = F.struct(*[F.lit(0).alias(k) for k in ("int", "frac", "nan", "pinf", "ninf")]).cast(EXACT_SUM)
     return carry.unionByName(new.select(*keys, F.col("_start").alias("first"), F.col("_start").alias("next"), F.array().cast("array<double>").alias("recent"),
                                         F.lit(0).cast("bigint").alias("n"), zero.alias("ae"), zero.alias("se"), zero.alias("ape")))
 
@@ -155,15 +155,13 @@ def _closed_bins(series: DataFrame, ready: DataFrame, limit: int | None, feed: F
     told = forecast_moving_avg(both, "actual", feed.k, keys).where("_new")
     told = told.withColumn("_ae", M.abs_error("actual", "predicted")).withColumn("_se", F.col("_ae") * F.col("_ae")) \
         .withColumn("_ape", M.ape_raw("actual", "predicted"))
-    r = running_sums(told, ["_ae", "_se", "_ape"], keys)
-    r = r.withColumn("sum_n", F.col("_old_n") + F.col("cum_n"))
-    for c in SUMS[1:]:
-        r = r.withColumn(f"sum_{c}", F.col(f"_old_{c}") + F.col(f"cum__{c}"))
+    r = running_sums(told, ["_ae", "_se", "_ape"], keys, start={f"_{c}": f"_old_{c}" for c in SUMS[1:]})
+    r = r.withColumn("sum_n", F.col("_old_n") + F.col("cum_n")).withColumns({f"sum_{c}": F.col(f"cum__{c}_exact") for c in SUMS[1:]})
     some = F.col("sum_n") > 1
     return r.select(*keys, from_micros(F.col("_bin")).alias("ts"), "idx", "actual", "predicted", F.col("_ae").alias("error"),
-                    F.when(some, F.col("sum_ae") / F.col("sum_n")).alias("running_mae"),
-                    F.when(some, F.sqrt(F.col("sum_se") / F.col("sum_n"))).alias("running_rmse"),
-                    F.when(some, F.col("sum_ape") / F.col("sum_n") * 100).alias("running_mape"), *[f"sum_{c}" for c in SUMS])
+                    F.when(some, F.col("cum__ae") / F.col("sum_n")).alias("running_mae"),
+                    F.when(some, F.sqrt(F.col("cum__se") / F.col("sum_n"))).alias("running_rmse"),
+                    F.when(some, F.col("cum__ape") / F.col("sum_n") * 100).alias("running_mape"), *[f"sum_{c}" for c in SUMS])
 
 
 def _carried(series: DataFrame, bins: DataFrame, limit: int | None, feed: Feed) -> DataFrame:
@@ -192,13 +190,3 @@ def run_feed(events: DataFrame, feed: Feed, checkpoint: str) -> None:
     q = (events.writeStream.foreachBatch(lambda df, batch_id: advance(df, batch_id, feed))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-
-
-def end_mark(schema_of: DataFrame, ts, mark: dict) -> DataFrame:
-    """One row of the feed's schema that says the feed is complete up to ``ts`` (a column of a one-row frame ``schema_of`` may be used):
-    all other columns are null but those in ``mark``."""
-    cols = []
-    for f in schema_of.schema.fields:
-        v = ts if f.name == "ts" else F.lit(mark.get(f.name))
-        cols.append(v.cast(f.dataType).alias(f.name))
-    return schema_of.select(*cols)

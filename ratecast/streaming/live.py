@@ -1,30 +1,17 @@
-"""Live forecasting with Structured Streaming.
+"""Streams on Spark's own event-time aggregates: counts by bin (L1), runs that stop and resume (L4) and
+the number of events that the watermark drops (L5). Forecasts (L2, L3) and the late rows themselves are in ``ledger``.
 
-L1  ``stream_resample``: event-time tumbling counts with a watermark (append mode).
-L2  ``stream_forecast`` / L3: a stateful processor per key (``transformWithStateInPandas``,
-    RocksDB state) that fills empty minutes, predicts each minute from the previous
-    actuals (mean of the last 3, as the batch baseline) and keeps compensated running error
-    sums. One global series is one state key; keyed streams scale out by key, and L1
-    has already reduced the feed to one row per closed minute.
-L4  ``run_to_table``: ``availableNow`` runs against a checkpoint folder: a restart with
-    the same checkpoint resumes, a new folder resets.
-L5  late data: events older than the watermark are dropped by Spark; the count comes
-    from the query progress (``numRowsDroppedByWatermark``).
+A bin comes out when the watermark passes its end; a finite feed ends with a mark row whose time passes the watermark over its last bin.
 """
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratecast.functions.timecols import freq_micros
-
-MINUTE_US = 60_000_000
-
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts",
                  max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
@@ -55,109 +42,6 @@ def stream_resample(sdf: DataFrame, watermark: str, ts: str = "ts", freq: str =
     return g.select(*keys, F.col("w.start").cast("timestamp_ntz").alias("ts"), "txn_count")
 
 
-# ----------------------------------------------------------------------------------
-# L2 / L3: stateful one-step forecaster
-# ----------------------------------------------------------------------------------
-STATE_SCHEMA = T.StructType([T.StructField("blob", T.StringType())])
-
-
-def forecast_output_schema(keys: Sequence[T.StructField] = ()) -> T.StructType:
-    return T.StructType(list(keys) + [
-        T.StructField("ts", T.TimestampNTZType()), T.StructField("actual", T.DoubleType()),
-        T.StructField("predicted", T.DoubleType()), T.StructField("error", T.DoubleType()),
-        T.StructField("running_mae", T.DoubleType()), T.StructField("running_rmse", T.DoubleType()),
-        T.StructField("running_mape", T.DoubleType())])
-
-
-def _baseline(recent: list[float], k: int) -> float:
-    if len(recent) >= k:
-        return sum(recent[-k:]) / k
-    return recent[-1] if recent else 0.0
-
-
-def _add(total: list[float], x: float) -> None:
-    """Add to a sum kept as [sum, lost low-order part] (Neumaier): a state of fixed size."""
-    s = total[0] + x
-    total[1] += (total[0] - s) + x if abs(total[0]) >= abs(x) else (x - s) + total[0]
-    total[0] = s
-
-
-def make_processor(key_names: Sequence[str], step_us: int = MINUTE_US, lookback: int = 10, k: int = 3):
-    from pyspark.sql.streaming import StatefulProcessor
-
-    class OneStepForecaster(StatefulProcessor):
-        def init(self, handle) -> None:
-            self.state = handle.getValueState("forecaster", STATE_SCHEMA)
-
-        def _load(self):
-            if self.state.exists():
-                return json.loads(self.state.get()[0])
-            return {"last": None, "recent": [], "n": 0, "sae": [0.0, 0.0], "sse": [0.0, 0.0], "sape": [0.0, 0.0],
-                    "nan": 0, "inf": 0}
-
-        def handleInputRows(self, key, rows, timerValues):
-            st = self._load()
-            parts = [p for p in rows]
-            if not parts:
-                return
-            pdf = pd.concat(parts).sort_values("ts")
-            epoch = pd.Timestamp("1970-01-01")
-            out = []
-            sae, sse, sape = st["sae"], st["sse"], st["sape"]
-            for ts, cnt in zip(pdf["ts"], pdf["txn_count"]):
-                us = (pd.Timestamp(ts) - epoch) // pd.Timedelta(microseconds=1)
-                if st["last"] is not None and us <= st["last"]:
-                    continue  # a bin already emitted (at-least-once replay): ignore
-                start = us if st["last"] is None else st["last"] + step_us
-                for b in range(start, us + 1, step_us):  # fill empty bins with 0
-                    actual = float(cnt) if b == us else 0.0
-                    pred = float(_baseline(st["recent"], k))
-                    err = abs(pred - actual)
-                    st["n"] += 1
-                    _add(sae, err)
-                    _add(sse, err * err)
-                    if actual == 0:
-                        if err == 0:
-                            st["nan"] += 1
-                        else:
-                            st["inf"] += 1
-                    else:
-                        _add(sape, err / actual)
-                    n = st["n"]
-                    if n > 1:
-                        mae = sum(sae) / n
-                        rmse = (sum(sse) / n) ** 0.5
-                        mape = float("nan") if st["nan"] else (float("inf") if st["inf"] else sum(sape) / n * 100)
-                    else:
-                        mae = rmse = mape = None
-                    out.append((*key, epoch + pd.Timedelta(microseconds=b), actual, pred, err, mae, rmse, mape))
-                    st["recent"] = (st["recent"] + [actual])[-max(lookback, k):]
-                st["last"] = us
-            self.state.update((json.dumps(st),))
-            cols = [*key_names, "ts", "actual", "predicted", "error", "running_mae", "running_rmse", "running_mape"]
-            yield pd.DataFrame(out, columns=cols)
-
-        def close(self) -> None:
-            pass
-
-    return OneStepForecaster()
-
-
-def stream_forecast(minutes: DataFrame, keys: Sequence[str] = (), freq: str = "1 minute",
-                    lookback: int = 10, k: int = 3) -> DataFrame:
-    """L2 + L3 over the output of ``stream_resample``. Without keys the whole feed is one
-    state key (inherent to a single series)."""
-    keys = list(keys)
-    src = minutes if keys else minutes.withColumn("_series", F.lit("all"))
-    gkeys = keys or ["_series"]
-    kfields = [src.schema[c] for c in gkeys]
-    schema = forecast_output_schema(kfields)
-    out = src.groupBy(*gkeys).transformWithStateInPandas(
-        statefulProcessor=make_processor(gkeys, freq_micros(freq), lookback, k),
-        outputStructType=schema, outputMode="Append", timeMode="None")
-    return out if keys else out.drop("_series")
-
-
 def run_to_table(sdf: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> list[dict]:
     """L4: run a stream to completion of the available input (``availableNow``) into a
     table; re-running with the same checkpoint resumes where it stopped. Returns the
