@@ -39,22 +39,24 @@ def get_spark(app: str = "ratecast", master: str | None = None,
     return spark
 
 
+#: folders made where ``spark.checkpoint.dir`` is unset, by application (the setting of a running session cannot be changed)
+_MADE: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Read from ``spark.checkpoint.dir`` as the cluster configures it; only when it is
     unset in local mode a fresh private folder is created; on a cluster that is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        d = tempfile.mkdtemp(prefix="ratecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        d = _MADE.get(sc.applicationId) or _MADE.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="ratecast-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
