@@ -247,13 +247,14 @@ def range_scan(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
 # ----------------------------------------------------------------------------------
 # exact quantiles / k-th values without a single-task merge of all distinct values
 # ----------------------------------------------------------------------------------
-def _value_ranks(df: DataFrame, col: str, keys: list[str], partitions: int | None, kind: str | None = "double"):
+def _value_ranks(df: DataFrame, col: str, keys: list[str], partitions: int | None, kind: str | None = "double",
+                 weight: str | None = None):
     """Value counts range-partitioned by value, and the per-partition rank offsets. ``kind`` None
-    keeps the column's own type (a large id does not fit a double)."""
+    keeps the column's own type (a large id does not fit a double); ``weight`` is a column of counts."""
     spark = df.sparkSession
     p_n = partitions or shuffle_partitions(spark)
     vc = (df.where(F.col(col).isNotNull())
-          .groupBy(*keys, (F.col(col).cast(kind) if kind else F.col(col)).alias("_v")).agg(F.count(F.lit(1)).alias("_w")))
+          .groupBy(*keys, (F.col(col).cast(kind) if kind else F.col(col)).alias("_v")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_w")))
     rp = materialize(vc.repartitionByRange(p_n, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
     part = rp.groupBy(*keys, "_pid").agg(F.sum("_w").alias("_pw"))
     wk = Window.partitionBy(*keys).orderBy("_pid")
@@ -279,42 +280,3 @@ def _values_at(rp: DataFrame, part: DataFrame, ranks: DataFrame, keys: list[str]
         .where((F.col("_r") >= F.col("_poff") + F.col("_cum") - F.col("_w"))
                & (F.col("_r") < F.col("_poff") + F.col("_cum")))
     return loc.select(*keys, *tags, F.col("_v").alias("_x"))
-
-
-def rank_values(df: DataFrame, col: str, ranks: Sequence[int], keys: Sequence[str] = (),
-                partitions: int | None = None) -> DataFrame:
-    """``keys.., rank, value``: the value at each 0-based rank in ascending order (ranks
-    past the end give the maximum)."""
-    keys = list(keys)
-    spark = df.sparkSession
-    rp, part = _value_ranks(df, col, keys, partitions, kind=None)
-    rk = spark.createDataFrame([(int(r),) for r in ranks], "rank long")
-    t = part.select(*keys, "_n").distinct().crossJoin(F.broadcast(rk)) \
-        .select(*keys, "rank", F.least(F.col("rank"), F.col("_n") - 1).alias("_r"))
-    return _values_at(rp, part, t, keys).select(*keys, "rank", F.col("_x").alias("value"))
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    keys: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """Linear-interpolation quantiles (pandas / ``percentile`` / ``quantile_cont``),
-    exact, for a column with any number of distinct values.
-
-    Value counts are pre-aggregated (a hot value collapses map-side), range-partitioned
-    by value, and only the partitions that hold a target rank are sorted. Returns
-    ``keys.., p, value``.
-    """
-    keys = list(keys)
-    spark = df.sparkSession
-    rp, part = _value_ranks(df, col, keys, partitions)
-    probs_df = spark.createDataFrame([(float(q),) for q in probs], "p double")
-    tg = part.select(*keys, "_n").distinct().crossJoin(F.broadcast(probs_df))
-    tg = tg.withColumn("_h", (F.col("_n") - 1) * F.col("p")).withColumn("_r0", F.floor("_h").cast("long"))
-    ranks = tg.select(*keys, "p", "_h", "_r0",
-                      F.explode(F.array_distinct(F.array(
-                          F.col("_r0"), F.least(F.col("_r0") + 1, F.col("_n") - 1)))).alias("_r"))
-    loc = _values_at(rp, part, ranks, keys)
-    agg = loc.groupBy(*keys, "p").agg(
-        F.first("_h").alias("_h"), F.first("_r0").alias("_r0"),
-        F.min_by("_x", "_r").alias("_x0"), F.max_by("_x", "_r").alias("_x1"))
-    value = F.col("_x0") + (F.col("_h") - F.col("_r0")) * (F.col("_x1") - F.col("_x0"))
-    return agg.select(*keys, "p", value.alias("value"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratecast.operators.blocks import exact_quantiles
+from ratecast.operators.quantiles import exact_quantiles
 from ratecast.operators.prep import numeric_columns
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecast.functions.timecols import DAY_US, as_ntz, freq_micros, from_micros, to_micros
-from ratecast.operators.blocks import exact_quantiles
 from ratecast.operators.keyjoin import join_keys
 from ratecast.session import shuffle_partitions
 
@@ -160,6 +159,7 @@ def series_percentiles(series: DataFrame, col: str = "txn_count", keys: Sequence
     """
     keys = list(keys)
     if exact_many_values:
+        from ratecast.operators.quantiles import exact_quantiles   # which needs this module
         q = exact_quantiles(series, col, [p / 100 for p in percentiles], keys)
         return q.select(*keys, F.round(F.col("p") * 100).cast("int").alias("percentile"), "value")
     arr = F.percentile(F.col(col), F.array(*[F.lit(p / 100) for p in percentiles]))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ratecast.functions import metrics as M
 from ratecast.functions.timecols import as_ntz, to_micros
 from ratecast.operators.keyjoin import join_keys
-from ratecast.operators.blocks import (bounded_window, drop_halo, exact_quantiles, halo_window,
+from ratecast.operators.quantiles import exact_quantiles
+from ratecast.operators.blocks import (bounded_window, drop_halo, halo_window,
                                        range_scan, running_sums, with_halo)
 from ratecast.operators.series import attach, series_length
 

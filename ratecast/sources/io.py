@@ -52,7 +52,7 @@ def first_rows_by(df: DataFrame, n: int, order: str = "event_id") -> DataFrame:
 
 def _kth_smallest(df: DataFrame, col: str, k: int) -> DataFrame:
     """One-row ``_thr``: the k-th smallest (0-based) non-null value, or the maximum."""
-    from ratecast.operators.blocks import rank_values
+    from ratecast.operators.quantiles import rank_values
     return rank_values(df, col, [k]).select(F.col("value").alias("_thr"))
 
 

@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ratecast.operators.blocks import bounded_window, exact_quantiles, range_scan, rank_values, running_sums
+from ratecast.operators.blocks import bounded_window, range_scan, running_sums
+from ratecast.operators.quantiles import exact_quantiles, rank_values
 
 
 def _series(spark, n, seed=0, keys=None):
