@@ -1,9 +1,10 @@
 """Forecast evaluation: one aggregation per model / key, no collects."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecast.functions import metrics as M
@@ -63,6 +64,27 @@ def leaderboard(pred: DataFrame, by: Sequence[str] = ("model",), order: str | No
     return board
 
 
+def timed_leaderboard(runs: Sequence[tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
+    """E8 with ``seconds``: every ``(name, make)`` of ``runs`` is fitted, predicted and scored by itself, one after another, and timed.
+    A model that fails is a row with its ``error`` and no metrics, and the others go on."""
+    boards, spark = [], None
+    for order, (name, make) in enumerate(runs):
+        t0 = time.perf_counter()
+        try:
+            pred = make()
+            spark = pred.sparkSession
+            row, error = evaluate(pred, ("model",)).first(), None
+        except Exception as e:  # noqa: BLE001 - a failed run is a row
+            row, error = None, str(e)[:500]
+        boards.append((row.model if row else name, order, *((row[c] for c in METRICS) if row else [None] * len(METRICS)),
+                       time.perf_counter() - t0, error))
+    schema = "model string, run_order int, n bigint, " + ", ".join(f"{c} double" for c in METRICS[1:]) + ", seconds double, error string"
+    return (spark or SparkSession.getActiveSession()).createDataFrame(boards, schema)
+
+
+METRICS = ("n", "avg_actual", "mae", "rmse", "mape_raw", "mape_eps", "mape_nonzero", "wape")
+
+
 def best_model(board: DataFrame, metric: str = "mae", order: str = "run_order",
                keys: Sequence[str] = ()) -> DataFrame:
     """Arg-min of ``metric``; the first model in run order wins a tie."""

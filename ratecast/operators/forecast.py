@@ -15,16 +15,21 @@ from ratecast.operators.prep import tail_split, temporal_split
 from ratecast.operators.series import attach
 
 
-def forecast_moving_avg(series: DataFrame, col: str = "txn_count", k: int = 3,
-                        keys: Sequence[str] = (), out: str = "predicted") -> DataFrame:
-    """O1: mean of the last ``k`` actuals; with fewer, the last actual; with none, 0."""
+def moving_avg_of(col: str, k: int):
+    """Window function of O1: mean of the last ``k`` values; with fewer, the last one; with none, 0."""
     def pred(w):
         frame = w.rowsBetween(-k, -1)
         x = F.col(col).cast("double")
         return (F.when(F.count(x).over(frame) == k, F.avg(x).over(frame))
                 .when(F.count(x).over(frame) > 0, F.lag(x, 1).over(w))
                 .otherwise(F.lit(0.0)))
-    return bounded_window(series, {out: pred}, halo=k, keys=keys)
+    return pred
+
+
+def forecast_moving_avg(series: DataFrame, col: str = "txn_count", k: int = 3,
+                        keys: Sequence[str] = (), out: str = "predicted") -> DataFrame:
+    """O1: mean of the last ``k`` actuals; with fewer, the last actual; with none, 0."""
+    return bounded_window(series, {out: moving_avg_of(col, k)}, halo=k, keys=keys)
 
 
 def forecast_naive_last(series: DataFrame, col: str = "txn_count", keys: Sequence[str] = (),
@@ -157,3 +162,13 @@ def mean_of_window_model():
     def predict(a):
         return np.asarray(a, dtype="float64").mean(axis=1)
     return predict
+
+
+def linear_model(intercept: float, coefs: Sequence[float]):
+    """A fitted linear model (``leastsq.lagged_fit``; lag 1 first) as a user model for O5."""
+    import numpy as np
+    weights = np.asarray(coefs, dtype="float64")[::-1].copy()          # windows are oldest first
+
+    def predict(a):
+        return np.asarray(a, dtype="float64") @ weights + intercept
+    return predict

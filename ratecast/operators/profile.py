@@ -38,8 +38,8 @@ def last_rows(df: DataFrame, n: int = 10, order: Sequence[str] = ("ts", "event_i
 
 
 def random_rows(df: DataFrame, n: int = 10, seed: int = 42, id_col: str = "event_id") -> DataFrame:
-    """Exactly n pseudo-random rows, repeatable for a seed (hash order of the id)."""
-    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(n)
+    """Exactly n pseudo-random rows, repeatable for a seed (order of the id's MD5 with the seed)."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))), id_col).limit(n)
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -70,12 +70,50 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> DataFrame:
-    """Distinct non-null values per column in one pass (HyperLogLog++ with
-    ``approx``)."""
-    cols = df.columns
-    agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else (lambda c: F.count_distinct(c))
-    wide = df.agg(*[agg(c).alias(c) for c in cols])
-    return _stack(wide, cols, value="n_distinct")
+    """Distinct non-null values per column. Each column is counted by itself: a scan of that column alone, its
+    distinct values combined before they are shuffled by value. (``count_distinct`` of several columns at once would
+    copy every row for every column.) HyperLogLog++ in one pass with ``approx``."""
+    if approx:
+        return _stack(df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in df.columns]), df.columns, value="n_distinct")
+    out = None
+    for c in df.columns:
+        one = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
+        one = one.select(F.lit(c).alias("column_name"), "n_distinct")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# ----------------------------------------------------------------------------------
+# P1 / P5 / P6 / P7 kept up to date day by day
+# ----------------------------------------------------------------------------------
+def daily_profile(df: DataFrame, cols: Sequence[str] | None = None, ts: str = "ts") -> DataFrame:
+    """A row for each day and numeric column: rows, nulls, and what merges exactly (sum, mean and squared deviations, min, max) or as a
+    sketch (distinct values: HyperLogLog, order: KLL). Kept as a table, a new day is one append and the log is
+    not read again; see ``unite_profile``."""
+    cols = list(cols) if cols is not None else numeric_columns(df)
+    long = df.select(F.to_date(ts).alias("day"), *[F.col(c).cast("double").alias(c) for c in cols]).unpivot("day", cols, "column_name", "value")
+    v = F.col("value")
+    return long.groupBy("day", "column_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.hll_sketch_agg(F.hash(v), F.lit(14)).alias("distinct_sketch"),
+        F.kll_sketch_agg_double(v, F.lit(1024)).alias("order_sketch"))
+
+
+def unite_profile(daily: DataFrame) -> DataFrame:
+    """The profile of all days of ``daily_profile``: ``column_name, n_rows, null_count, mean, std, min, max`` as one pass over the log would
+    give them, ``approx_distinct`` and ``approx_median``."""
+    total = F.sum("n")
+    mean = F.sum(F.col("n") * F.col("mean")) / total
+    by = daily.groupBy("column_name").agg(F.sum("n_rows").alias("n_rows"), total.alias("n"), mean.alias("mean"), F.min("min").alias("min"),
+                                          F.max("max").alias("max"), F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("approx_distinct"),
+                                          F.kll_merge_agg_double("order_sketch").alias("_o"))
+    # squared deviations of a day about the common mean
+    around = daily.join(by.select("column_name", F.col("mean").alias("_mu")), "column_name").groupBy("column_name").agg(
+        F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mu")) * (F.col("mean") - F.col("_mu"))).alias("_m2"))
+    median = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("_o", F.lit(0.5)))
+    return by.join(around, "column_name").select(
+        "column_name", "n_rows", (F.col("n_rows") - F.col("n")).alias("null_count"), "mean",
+        F.when(F.col("n") > 1, F.sqrt(F.col("_m2") / (F.col("n") - 1))).alias("std"), "min", "max", "approx_distinct", median.alias("approx_median"))
 
 
 def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ratecast.functions import metrics as M
 from ratecast.operators import forecast as FC
 from ratecast.operators import leastsq as LS
+from ratecast.operators.blocks import bounded_window
 from ratecast.operators.prep import temporal_split
 from ratecast.operators.windows import lookback_windows
 from ratecast.session import materialize
@@ -21,21 +22,19 @@ BASELINES = ("moving_avg", "naive", "ar1")
 def baseline_predictions(split_series: DataFrame, models: Sequence[str] = BASELINES,
                          col: str = "txn_count") -> DataFrame:
     """Long table ``idx, n_train, model, run_order, actual, predicted`` for the
-    baseline forecasters over the whole series."""
-    out = None
-    for i, m in enumerate(models):
-        if m == "moving_avg":
-            p = FC.forecast_moving_avg(split_series, col)
-        elif m == "naive":
-            p = FC.forecast_naive_last(split_series, col)
-        elif m == "ar1":
-            p = FC.forecast_ar1(split_series, col)
-        else:
-            raise ValueError(m)
-        p = p.select("idx", "n_train", F.lit(m).alias("model"), F.lit(i).alias("run_order"),
-                     F.col(col).cast("double").alias("actual"), "predicted")
-        out = p if out is None else out.unionByName(p)
-    return out
+    baseline forecasters over the whole series: one halo window for all of them, stacked."""
+    unknown = set(models) - set(BASELINES)
+    if unknown:
+        raise ValueError(f"unknown models {sorted(unknown)}")
+    y = F.col(col).cast("double")
+    w = bounded_window(split_series.select("idx", "n_train", "split", y.alias("actual")), {
+        "moving_avg": FC.moving_avg_of("actual", 3), "naive": lambda w: F.lag("actual", 1).over(w)}, halo=3)
+    if "ar1" in models:
+        fit = w.where("split = 'train'").agg(F.regr_intercept("actual", "naive").alias("_a"), F.regr_slope("actual", "naive").alias("_b"))
+        w = w.crossJoin(F.broadcast(fit)).withColumn("ar1", F.col("_a") + F.col("_b") * F.col("naive"))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(i).alias("run_order"), F.col(m).alias("predicted"))
+                               for i, m in enumerate(models)]))
+    return w.select("idx", "n_train", "actual", each.alias("_p")).select("idx", "n_train", "_p.model", "_p.run_order", "actual", "_p.predicted")
 
 
 def experiment_grid(series: DataFrame, models: Sequence[str] = BASELINES,

@@ -6,10 +6,12 @@ import uuid
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratecast.functions.timecols import as_ntz, to_micros
+from ratecast.session import materialize
 
 
 # Full-microsecond text layouts for timestamps in CSV files.
@@ -92,33 +94,64 @@ RUN_SCHEMA = T.StructType([
 ])
 
 
-def new_run_id() -> str:
-    return uuid.uuid4().hex
+def input_key(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """One row ``input_key``: rows, first and last event of the log, so that ids follow the data and not where they lie."""
+    us = to_micros(as_ntz(df, ts))
+    return df.agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.min(us).cast("string"), F.max(us).cast("string")).alias("input_key"))
 
 
-def run_records(spark: SparkSession, board: DataFrame, experiment: str, parent_run_id: str | None,
-                input_path: str, param_cols: Sequence[str], metric_cols: Sequence[str]) -> DataFrame:
-    """Turn a metric table (one row per run) into run records without collecting it:
-    params and metrics become maps, ids are generated per row."""
+def _id(*parts) -> Column:
+    return F.substring(F.sha2(F.concat_ws("|", *parts).cast("binary"), 256), 1, 32)
+
+
+def run_records(board: DataFrame, inputs: DataFrame, experiment: str, input_path: str,
+                param_cols: Sequence[str], metric_cols: Sequence[str]) -> DataFrame:
+    """A metric table (one row per run) as run records, and one record of their parent.
+
+    Ids are digests: the parent's of the experiment and the input, a run's of its parent and its parameters in the order of
+    ``param_cols``. The same experiment on the same data has the same ids, whoever computes them and however often."""
     params = F.create_map(*[x for c in param_cols for x in (F.lit(c), F.col(c).cast("string"))])
     mets = F.create_map(*[x for c in metric_cols for x in (F.lit(c), F.col(c).cast("double"))])
-    name = F.col("run_name") if "run_name" in board.columns else F.lit(None).cast("string")
     secs = F.col("seconds").cast("double") if "seconds" in board.columns else F.lit(None).cast("double")
     err = F.col("error") if "error" in board.columns else F.lit(None).cast("string")
-    return board.select(
-        F.expr("uuid()").alias("run_id"), F.lit(parent_run_id).cast("string").alias("parent_run_id"),
-        name.alias("run_name"), F.lit(experiment).alias("experiment"), params.alias("params"),
-        mets.alias("metrics"), F.lit(input_path).alias("input_path"), secs.alias("seconds"),
-        err.alias("error"), F.current_timestamp().alias("logged_at"))
-
-
-def append_runs(records: DataFrame, path: str) -> None:
-    """Append run records to the run table."""
-    records.select([f.name for f in RUN_SCHEMA.fields]).write.mode("append").parquet(path)
+    name = F.col("run_name") if "run_name" in board.columns else F.concat_ws("_", *[F.col(c).cast("string") for c in param_cols])
+    parent = _id(F.lit(experiment), F.col("input_key"))
+    rows = board.crossJoin(F.broadcast(inputs)).select(
+        _id(parent, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in param_cols]).alias("run_id"), parent.alias("parent_run_id"),
+        name.alias("run_name"), F.lit(experiment).alias("experiment"), params.alias("params"), mets.alias("metrics"),
+        F.lit(input_path).alias("input_path"), secs.alias("seconds"), err.alias("error"), F.current_timestamp().alias("logged_at"))
+    top = rows.groupBy("experiment", "input_path", "parent_run_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("seconds").alias("seconds"), F.max("logged_at").alias("logged_at"))
+    head = top.crossJoin(F.broadcast(inputs)).select(
+        F.col("parent_run_id").alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"), F.col("experiment").alias("run_name"), "experiment",
+        F.create_map(F.lit("input_key"), F.col("input_key")).alias("params"), F.create_map(F.lit("runs"), F.col("n").cast("double")).alias("metrics"),
+        "input_path", "seconds", F.lit(None).cast("string").alias("error"), "logged_at")
+    return head.unionByName(rows)
+
+
+def append_runs(records: DataFrame, path: str) -> str:
+    """Add one parent's records to the run table, once. They are written to a staging folder first and renamed in one step to the
+    folder named by the parent's id; if that is there already (an earlier run, or a retry that got further), nothing is added.
+    Returns the parent's id."""
+    spark = records.sparkSession
+    records = materialize(records.select([f.name for f in RUN_SCHEMA.fields]))
+    parents = [r.run_id for r in records.where("parent_run_id is null").select("run_id").limit(2).collect()]
+    if len(parents) != 1:
+        raise ValueError(f"records of one parent are logged at a time, these are of {len(parents)}")
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    staged, final = f"{path}/_staging/{uuid.uuid4().hex}", to_path(f"{path}/parent={parents[0]}")
+    fs = final.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(final):
+        records.coalesce(1).write.parquet(staged)
+        # a rename onto a folder that came meanwhile would move into it: the marker file decides
+        if fs.exists(final) or not fs.rename(to_path(staged), final):
+            fs.delete(to_path(staged), True)
+    return parents[0]
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+    """All records of the run table (parents have a null ``parent_run_id``)."""
+    return spark.read.schema(RUN_SCHEMA).parquet(path).select([f.name for f in RUN_SCHEMA.fields])
 
 
 # ----------------------------------------------------------------------------------
