@@ -9,8 +9,10 @@ probability, and taken in that order until the source's missing words are reache
 (the sample's size is fixed in words; the document at the border goes in if at least half
 of it fits).
 
-``p`` is the missing share of the source, times the document's ``odds`` column over its mean if one
-is given, at most 0.999999.
+``p`` is proportional to the document's odds: by default the number of binary digits of its size, from 4 to 13, so a long
+document is drawn up to 3.25 times as often as a short one; an ``odds`` column of positive numbers may be given instead. The factor is that at
+which the expected words are the missing ones; where it would push a document's p over 1, that document is certain and the
+rest is shared anew among the others (by sums per source and odds, a few rounds).
 
 The cut needs no sort of a whole source: ranks are put into about sqrt(documents) buckets,
 words are summed per bucket, and only the border bucket is put in order, by rank, doc_id and size with words summed for
@@ -94,26 +96,56 @@ def _pick_tied(rows: DataFrame, with_cut) -> DataFrame:
     return t.withColumn("chosen", F.coalesce("chosen", F.lit(True)))
 
 
+def size_odds(size: str = "size") -> Column:
+    """Default odds of a document: binary digits of its size, 4 to 13 (whole numbers, the same in any engine)."""
+    return F.least(F.greatest(F.length(F.bin(F.col(size))), F.lit(4)), F.lit(13)).cast("double")
+
+
+def inclusion_factors(light: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, factor): p = factor * odds, at most 1, adds up to the words that a source misses after its whole copies."""
+    need = F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")
+    wanted = targets.filter("source_size > 0").select("source", need.alias("need")).filter("need > 0")
+    cells = light.filter("odds > 0").groupBy("source", "odds").agg(F.sum("size").alias("words"))
+    cells = scratch_table(cells.alias("c").join(wanted.alias("w"), F.col("c.source").eqNullSafe(F.col("w.source")))
+                          .select("c.*", "need", F.lit(0.0).alias("factor")), "odds")
+    sure = -1
+    while True:
+        over = F.col("factor") * F.col("odds") > 1
+        per = cells.groupBy("source").agg(F.max("need").alias("need"), F.sum(F.when(over, F.col("words")).otherwise(0)).alias("certain"),
+                                          F.sum(F.when(over, 0.0).otherwise(F.col("odds") * F.col("words"))).alias("rest"),
+                                          F.sum(over.cast("int")).alias("sure"), F.max("factor").alias("old"))
+        # all certain, or nothing but empty texts left: the factor stays
+        per = scratch_table(per.withColumn("factor", F.when(F.col("rest") > 0, (F.col("need") - F.col("certain")) / F.col("rest")).otherwise(F.col("old"))),
+                            "factors")
+        now = per.agg(F.sum("sure")).first()[0]
+        if now is None or now == sure:
+            return per.select("source", "factor")
+        sure = now
+        cells = scratch_table(cells.drop("factor").alias("c").join(per.alias("p"), F.col("c.source").eqNullSafe(F.col("p.source")))
+                              .select("c.*", "p.factor"), "odds")
+
+
 def mix_plan(docs: DataFrame, seed: str = SEED, odds: str | None = None, **kw) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken; the row as ``row``."""
     keep = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     sized = docs.select("doc_id", "source", size_of().alias("size"),
-                        (F.col(odds) if odds else F.lit(1.0)).cast("double").alias("odds"), keep.alias("row"))
+                        (F.col(odds) if odds else F.lit(None)).cast("double").alias("odds"), keep.alias("row"))
+    if not odds:
+        sized = sized.withColumn("odds", size_odds())
     light = scratch_table(sized.select("doc_id", "source", "size", "odds"), "sizes")
     targets = source_targets(light, **kw)
-    mean = light.groupBy("source").agg(F.avg("odds").alias("mean_odds"))
     targets = scratch_table(
-        targets.alias("t").join(mean.alias("m"), F.col("t.source").eqNullSafe(F.col("m.source")))
-        .select("t.*", "mean_odds"), "targets")
+        targets.alias("t").join(inclusion_factors(light, targets).alias("f"), F.col("t.source").eqNullSafe(F.col("f.source")), "left")
+        .select("t.*", F.coalesce("factor", F.lit(0.0)).alias("factor")), "targets")
     few = targets.count() <= BROADCAST_SOURCES
     small = F.broadcast(targets) if few else targets
 
     def with_rank(df: DataFrame) -> DataFrame:
         rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
         joined = df.alias("d").join(small.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")), "inner").select(
-            "d.*", "source_size", "n_docs", "target", "mean_odds")
-        joined = joined.withColumn("whole", F.floor(rate)).withColumn("part", rate - F.floor(rate))
-        p = F.least(F.greatest(F.col("part") * F.col("odds") / F.col("mean_odds"), F.lit(1e-12)), F.lit(0.999999))
+            "d.*", "source_size", "n_docs", "target", "factor")
+        joined = joined.withColumn("whole", F.floor(rate))
+        p = F.least(F.greatest(F.col("factor") * F.coalesce(F.col("odds"), F.lit(0.0)), F.lit(1e-12)), F.lit(0.999999999))
         u = hashed_uniform(seed)
         q = (u / (1 - u)) / (p / (1 - p))
         joined = joined.withColumn("rank", q / (1 + q)).withColumn(

@@ -166,10 +166,15 @@ lvl(i, level, capped) AS (
 t AS (SELECT s.*, least((SELECT max(level) FROM lvl) * w, 2.0 * source_size) AS target FROM s),
 r AS (SELECT d.*, t.source_size, t.target, t.n, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-u AS (SELECT *, floor(rate) AS whole, target - floor(rate) * source_size AS need,
+u AS (SELECT *, floor(rate) AS whole, target - floor(rate) * source_size AS need, least(greatest(length(bin(size)), 4), 13)::DOUBLE AS odds,
              (('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u01
       FROM r),
-q AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u01, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM u)
+o AS (SELECT source, odds, sum(size)::DOUBLE AS words, any_value(need) AS need FROM u WHERE need > 0 GROUP BY source, odds),
+f AS (SELECT source, odds, (need - coalesce(sum(words) OVER (PARTITION BY source ORDER BY odds DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / nullif(sum(odds * words) OVER (PARTITION BY source ORDER BY odds ROWS UNBOUNDED PRECEDING), 0) AS factor FROM o),
+w AS (SELECT source, arg_max(factor, odds) FILTER (WHERE factor * odds <= 1) AS factor FROM f GROUP BY source),
+k AS (SELECT u.*, least(greatest(coalesce(w.factor, 0) * odds, 1e-12), 0.999999999) AS p FROM u LEFT JOIN w ON u.source IS NOT DISTINCT FROM w.source),
+q AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY (u01 / (1 - u01)) / (p / (1 - p)), doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM k)
 SELECT doc_id, size, source_size, target,
        ((whole + CASE WHEN need > 0 AND upto - size / 2.0 <= need THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM q""",
 

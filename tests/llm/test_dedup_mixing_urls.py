@@ -120,6 +120,29 @@ def test_mixing_unequal_odds(docs_of):
     assert abs(even + odd - plan["target"].iloc[0]) <= 5
 
 
+def test_mixing_inclusion_by_size(docs_of):
+    # sizes of 5, 40 and 700 words have odds 4, 6 and 10; half of the words are to be drawn
+    rows = [(k, "w " * (5, 40, 700)[k % 3], None, "s") for k in range(6000)]
+    plan = mixing.mix_plan(docs_of(rows), share=0.5, weights=(1.0,)).toPandas()
+    size = np.array([5, 40, 700])
+    odds = np.array([4, 6, 10])
+    factor = 0.5 * size.sum() / (odds * size).sum()
+    for n, p in zip(size, factor * odds):
+        drawn = plan[plan["size"] == n]["taken"] > 0
+        assert abs(drawn.mean() - p) < 0.04
+    assert abs(plan["taken"].sum() - 0.5 * plan["size"].sum()) <= 350
+
+
+def test_mixing_certain_documents(docs_of):
+    # at 95 % of the words the long documents' p would be over 1: all of them are taken, the rest is shared anew
+    rows = [(k, "w " * (2 if k % 2 else 600), None, "s") for k in range(400)] + [(1000 + k, "w " * 60, None, "s") for k in range(900)]
+    plan = mixing.mix_plan(docs_of(rows), share=0.95, weights=(1.0,)).toPandas()
+    assert (plan[plan["size"] == 600]["taken"] == 600).mean() > 0.99
+    need = 0.95 * plan["size"].sum() - 200 * 600
+    p60 = need / (400 / 2 * 2 * 4 + 900 * 60 * 6) * 6
+    assert abs((plan[plan["size"] == 60]["taken"] > 0).mean() - p60) < 0.04
+
+
 def brute_rule(url):
     m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]) if m else ""
