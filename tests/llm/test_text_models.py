@@ -395,6 +395,42 @@ def test_extract_template_heavy_pages_and_copies(spark):
     assert wrong == [], (len(wrong), wrong[:5])
 
 
+def test_extract_same_for_any_partitions(spark):
+    rng = random.Random(9)
+    stories = [[f"{s}.{k} " + " ".join(rng.choice("amber birch cedar delta ember fjord".split()) for _ in range(9)) for k in range(6)] for s in range(25)]
+    menu = [f"menu {k}" for k in range(12)]
+    rows = []
+    for k in range(400):                        # near copies in groups of all sizes, over one host
+        text = list(stories[min(int(rng.expovariate(0.25)), 24)])
+        if rng.random() < 0.5:
+            text[rng.randrange(6)] += f" edit {k}"
+        rows.append((k, f"http://one.org/{rng.randrange(1000):04d}/{k}", "".join(f"<div>{x}</div>" for x in menu[:6] + text + menu[6:])))
+    df = spark.createDataFrame(rows, PAGES)
+    was, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 4, 16, 48):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(rows_of(pagediff.extract(df.repartition(max(2, n // 3))).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == 400
+    texts = {dict(r)["page_id"]: dict(r)["text"] for r in found[0]}
+    assert sum("menu" in x for x in texts.values()) == 0 and all(x for x in texts.values())
+
+
+def test_many_open_and_stray_tags():
+    n = 60_000
+    lines, states = pagediff.page_lines("<article><p>a</p>" + "<div>" * n + "</p>" * n + "</li>" * n + "<p>b</p>" + "</div>" * n + "</article><nav>x</nav>")
+    assert lines == ["a", "b", "x"] and states == [pagediff.KEEP, pagediff.KEEP, pagediff.DROP]
+
+
+def test_words_that_may_be_the_article_s_own():
+    html = '<article><p>One.</p><p class="share">Its share rose.</p><ul class="related"><li>A point.</li></ul><div class="ad">Buy</div></article>'
+    page = pagediff.page_lines(html)
+    assert pagediff.main_text(*page, []) == "One.\n\nIts share rose.\n\nA point."
+    assert pagediff.main_text(*page, [["x", "Its share rose.", "A point."]]) == "One."
+
+
 def test_extract_whole_table(spark, sf):
     got = rows_of(queries.op6_html_extraction(spark, sf).collect())
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
