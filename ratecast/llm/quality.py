@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import trees
-from .common import trimmed, arrow_texts, batch_with, kind_of, mix64, scratch_table, word_hashes
+from .common import arrow_texts, batch_with, first_by_hash, kind_of, mix64, scratch_table, trimmed, word_hashes
 
 TRAIN_ROWS = 20_000
 MAX_LOSS = 0.001
@@ -114,8 +114,9 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 def fit_model(stats: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict | None:
     """Trees and threshold from at most ``rows`` labelled documents; None without both labels."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = (stats.select("doc_id", "n_words", "n_repeat_words", *STATS).join(known, "doc_id")
-              .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows).toPandas())
+    h = F.md5(F.col("doc_id").cast("string"))
+    sample = first_by_hash(stats.select("doc_id", "n_words", "n_repeat_words", *STATS).join(known, "doc_id"),
+                           F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint"), 48, [h, "doc_id"], rows)
     failed = (sample["n_words"] < 50) | (100 * sample["n_repeat_words"] > 50 * sample["n_words"])
     sample = sample[~failed.to_numpy(bool)]
     x, y = sample[list(STATS)].to_numpy(float), (sample["quality"] > 0).to_numpy(float)
