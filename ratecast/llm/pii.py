@@ -15,6 +15,7 @@ result; without candidates nothing is trained; further columns are ignored.
 """
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_with, kind_of, scratch_table
+from .common import batch_with, first_by_hash, kind_of, scratch_table
 
 TRAIN_SPANS = 50_000
 ACCEPT = 0.9
@@ -231,9 +232,9 @@ def train(scanned: DataFrame) -> np.ndarray | None:
     kind, code = counts["kinds"].to_numpy(), counts["votes"].to_numpy()
     _, _, post = estimate(kind, _unpack(code), counts["n"].to_numpy(float))
     known = dict(zip(zip(kind.tolist(), code.tolist()), post.tolist()))
-    sample = (spans.select("kinds", "votes", "digits", (F.col("ends") - F.col("starts")).alias("length"),
-                           F.xxhash64("doc_id", "starts", "kinds").alias("h"))
-              .orderBy("h", "kinds", "votes", "digits", "length").limit(TRAIN_SPANS).toPandas())
+    light = spans.select("kinds", "votes", "digits", (F.col("ends") - F.col("starts")).alias("length"),
+                         F.xxhash64("doc_id", "starts", "kinds").alias("h"))
+    sample = first_by_hash(light, F.shiftright("h", 16) + F.lit(1 << 47), 48, ["h", "kinds", "votes", "digits", "length"], TRAIN_SPANS)
     k, v = sample["kinds"].to_numpy(), sample["votes"].to_numpy()
     x = _features(k, _unpack(v), sample["length"].to_numpy(), sample["digits"].to_numpy())
     return fit_classifier(x, np.array([known[p] for p in zip(k.tolist(), v.tolist())]))
@@ -243,6 +244,28 @@ def joined(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2])))
 
 
+class _Covered:
+    """The union of spans as disjoint intervals in order."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for _, a, z in sorted(spans, key=lambda x: x[1]):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], z)
+            else:
+                self.starts.append(a)
+                self.ends.append(z)
+
+    def add(self, a: int, z: int) -> bool:
+        """Adds a span that meets none so far; whether it did."""
+        k = bisect.bisect_left(self.starts, z)             # the last one that starts before z is k - 1
+        if k and self.ends[k - 1] > a:
+            return False
+        self.starts.insert(k, a)
+        self.ends.insert(k, z)
+        return True
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added."""
     scanned = scratch_table(scan(docs), "spans")
@@ -259,10 +282,10 @@ def find_pii(docs: DataFrame) -> DataFrame:
             counts, digests, spans, added, at = [], [], [], [], 0
             for kinds, starts, ends, bases, _, _ in rows:
                 own = [(KINDS[k], a, z) for k, a, z, own_ in zip(kinds, starts, ends, bases) if own_]
-                taken = list(own)
+                taken, covered = list(own), _Covered(own)
                 found = sorted((-float(p[at + i]), kinds[i], starts[i], ends[i]) for i in range(len(kinds)) if not bases[i])
                 for q, k, a, z in found:
-                    if -q >= ACCEPT and all(z <= x or y <= a for _, x, y in taken):
+                    if -q >= ACCEPT and covered.add(a, z):
                         taken.append((KINDS[k], a, z))
                 at += len(kinds)
                 counts.append([sum(x[0] == k for x in own) for k in KINDS[:4]])
