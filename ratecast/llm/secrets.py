@@ -190,9 +190,11 @@ def candidates(text: str) -> list[tuple[int, int, str, float]]:
 
 def outermost(spans, own) -> list[tuple[str, int, int]]:
     """Of spans (kind, start, end) those inside no other one and no span of ``own``."""
-    out, reach = [], -1
+    out, reach, own, at, covered = [], -1, sorted(own, key=lambda x: x[1]), 0, -1
     for k, a, z in sorted(spans, key=lambda x: (x[1], -x[2])):
-        if z > reach and not any(x <= a and z <= y for _, x, y in own):
+        while at < len(own) and own[at][1] <= a:             # the farthest end of those that start here or before
+            covered, at = max(covered, own[at][2]), at + 1
+        if z > reach and z > covered:
             out.append((k, a, z))
             reach = z
     return out
