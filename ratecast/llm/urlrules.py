@@ -1,11 +1,11 @@
 """URL filters, DataFrame functions only.
 
-Each distinct URL is expanded into its host suffixes (on dots) times its path prefixes of
-the lengths that rules have; expressions and rules meet on the first 8 hex digits of their
+Each distinct URL is expanded into its host suffixes of the label counts times its path prefixes of the lengths that
+rules have; expressions and rules meet on the first 8 hex digits of their
 SHA-256, the full digests are compared, and the longest rule wins (of equally long ones the one
 with the longer host, then block). URLs are joined, not pages: repeated URLs are judged once.
 
-The list of path lengths is at most as long as the longest rule path. The rules go through an
+The lists of label counts and path lengths are at most as long as the longest rule. The rules go through an
 ordinary join: Spark broadcasts them while they are small and splits a hot rule otherwise.
 
 Defined results: null URLs and URLs without ``://`` have empty host and path and get the default
@@ -41,9 +41,11 @@ def judge_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path), distinct -> (host, path, rule, verdict) for those that a rule fits."""
     # a rule is spelled host + path: the first slash parts them, so an expression is unambiguous
     lengths = [r[0] for r in rules.select(F.length("path")).distinct().collect()]
+    labels = [r[0] for r in rules.select(F.size(F.split("host", r"\."))).distinct().collect()]
     parts = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)),
-                           lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    suffixes = F.filter(F.transform(F.array(*[F.lit(n) for n in labels]).cast("array<int>"),
+                                    lambda n: F.when(F.size(parts) >= n, F.array_join(F.slice(parts, -n, n), "."))),
+                        lambda x: x.isNotNull())
     prefixes = F.filter(F.transform(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"),
                                     lambda n: F.when(F.length("path") >= n, F.substring(F.col("path"), F.lit(1), n))),
                         lambda x: x.isNotNull())
