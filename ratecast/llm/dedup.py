@@ -25,6 +25,7 @@ from .common import trimmed, BITMAP_BITS, SPACES, broadcast_bitmap, marked_rows,
 
 FP_BITS = 48          # bits of a fingerprint that are exchanged
 ROWS_PER_OWNER = 1 << 20
+MESSAGE_ROWS = 1 << 22    # fingerprints of one message round: 32 MB of a task's memory
 
 
 def normalised(col="text") -> Column:
@@ -56,18 +57,27 @@ def golomb_decode(message: bytes) -> np.ndarray:
 
 
 def messages(fps: DataFrame, owners: int) -> DataFrame:
-    """(fp) -> (owner, message): per source batch and owner the sorted fingerprints, one
-    that occurs again in the batch being sent twice and no more often."""
+    """(fp) -> (owner, message): per partition (of ``MESSAGE_ROWS`` rows, else several) and owner the sorted
+    fingerprints, one that occurs again there being sent twice and no more often."""
     width = -(-(1 << FP_BITS) // owners)
 
+    def sent(fps: list[np.ndarray]) -> pd.DataFrame:
+        v, n = np.unique(np.concatenate(fps), return_counts=True)
+        v = np.repeat(v.astype(np.int64), np.minimum(n, 2))
+        cuts = np.searchsorted(v, np.arange(owners + 1, dtype=np.int64) * width)
+        rows = [(o, golomb_encode(v[a:b] - o * width, width)) for o, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+        return pd.DataFrame(rows, columns=["owner", "message"])
+
     def encode(batches):
+        waiting, rows = [], 0
         for pdf in batches:
-            v, n = np.unique(pdf["fp"].to_numpy().view(np.uint64) >> np.uint64(64 - FP_BITS), return_counts=True)
-            v = np.repeat(v.astype(np.int64), np.minimum(n, 2))
-            cuts = np.searchsorted(v, np.arange(owners + 1, dtype=np.int64) * width)
-            rows = [(o, golomb_encode(v[a:b] - o * width, width))
-                    for o, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-            yield pd.DataFrame(rows, columns=["owner", "message"])
+            waiting.append(pdf["fp"].to_numpy().view(np.uint64) >> np.uint64(64 - FP_BITS))
+            rows += len(pdf)
+            if rows >= MESSAGE_ROWS:
+                yield sent(waiting)
+                waiting, rows = [], 0
+        if rows:
+            yield sent(waiting)
 
     return fps.select("fp").mapInPandas(trimmed(encode), "owner int, message binary")
 
