@@ -60,6 +60,19 @@ def test_dedup_false_suspects_are_cleared(docs_of, monkeypatch):
     assert rows_of(dedup.dedup_report(docs_of(TRICKY)).collect()) == brute_dedup(TRICKY)
 
 
+def test_dedup_one_message_a_partition(docs_of, monkeypatch):
+    fps = docs_of([(k, "x") for k in range(900)]).selectExpr("xxhash64(doc_id) fp").coalesce(1)
+    spark = fps.sparkSession
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+        assert dedup.messages(fps, 3).count() == 3
+        monkeypatch.setattr(dedup, "MESSAGE_ROWS", 300)
+        assert dedup.messages(fps, 3).count() == 9
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+
+
 def test_dedup_oracle(spark, sf, oracle, documents):
     got = rows_of(queries.op8_exact_dedup(spark, sf).collect())
     assert got == oracle(queries.ORACLES["op8_exact_dedup"], documents=documents)
@@ -156,7 +169,7 @@ def brute_rule(url):
 URLS = ["http://Example.ORG/es/1", "http://example.org/en/12", "http://a.b.example.org/en/1", "http://xexample.org/en/1",
         "https://org/x", "https://org", "http://x.com/fr/", "http://x.com/de/a?b=/fr/", "http://com/de/", "http://x.com/frx",
         None, "", "no scheme", "http://", "http:///org/", "://org/?a://com/de/", "http://É.org/\nx", "http://x.org:80/", "a://b://org/",
-        "http://.org/", "http://a..org/", "http://x.com/fr/1#y", "http://" + "a." * 300 + "org/" + "p" * 100_000]
+        "http://.org/", "http://a..org/", "http://x.com/fr/1#y", "http://" + "a." * 300 + "org/" + "p" * 100_000, "http://" + "b." * 100_000 + "example.org/es/x"]
 
 
 def test_urls(spark, oracle):

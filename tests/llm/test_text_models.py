@@ -440,3 +440,37 @@ def test_extract_whole_table(spark, sf):
         from html import unescape
         blocks = [" ".join(unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", article)]
         assert dict(r)["text"] == "\n\n".join(x for x in blocks if x)
+
+
+# ------------------------------------------------------------------ many spans, bounded samples
+
+def test_many_spans_in_one_text():
+    n = 100_000
+    own = [("hex", 40 * k, 40 * k + 32) for k in range(n)]
+    found = [("random", 40 * k + (k % 3), 40 * k + 33 - (k % 2) * 5) for k in range(n)]
+    got = secrets.outermost(found, own)
+    few = lambda spans: [x for x in spans if x[1] < 4000]
+    plain, reach = [], -1
+    for k, a, z in sorted(few(found), key=lambda x: (x[1], -x[2])):
+        if z > reach and not any(x <= a and z <= y for _, x, y in few(own)):
+            plain.append((k, a, z))
+            reach = z
+    assert few(got) == plain and len(got) > n // 4
+    covered, taken = pii._Covered(own), list(few(own))
+    for _, a, z in found:
+        added = covered.add(a, z)
+        if a < 4000:
+            assert added == all(z <= x or y <= a for _, x, y in taken)
+            taken += [("x", a, z)] * added
+
+
+def test_first_by_hash(spark):
+    from pyspark.sql import functions as F
+    from ratecast.llm.common import first_by_hash
+    df = spark.range(20_000).select("id", F.xxhash64("id").alias("h"))
+    place = F.shiftright("h", 16) + F.lit(1 << 47)
+    want = sorted((r.h, r.id) for r in df.collect())[:300]
+    assert [(r.h, r.id) for r in first_by_hash(df, place, 48, ["h"], 300).itertuples()] == want
+    same = df.withColumn("h", F.lit(-2**63 + 5).cast("bigint")).unionByName(df.limit(10))          # one hash for nearly all rows
+    assert len(first_by_hash(same, place, 48, ["h", "id"], 300)) == 300
+    assert len(first_by_hash(df.limit(50), place, 48, ["h"], 300)) == 50
