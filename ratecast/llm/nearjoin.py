@@ -4,19 +4,19 @@ Sets are the five-word shingles of a text (64-bit hashes); texts link when their
 is at least 0.8.
 
 1. Texts with equal sets become one node (copies are counted, never paired).
-2. Each node has 96 MinHash values; 24 bands of 4 give bucket keys. Nodes that share a bucket form
-   coarse components (each node is linked to its bucket's smallest node: no pairs yet).
-   A pair at similarity 0.8 shares no bucket with probability 3e-6.
-3. Inside a component, pairs are compared in tiles of numpy arrays: MinHash values are
+2. Each node has 96 MinHash values; 24 bands of 4 give bucket keys: nodes that agree in a band share a bucket.
+   A pair at similarity 0.8 shares no bucket with probability 3e-6. Buckets with the same nodes (told by their number and two
+   hashes of 64 bits) count once: a group of near copies is compared once, not once a band.
+3. Inside a bucket, pairs are compared in tiles of numpy arrays: MinHash values are
    compared 16 at a time, and a pair is dropped as soon as the posterior probability that its similarity reaches
-   the threshold (uniform prior, binomial likelihood) falls below 1e-6. Only nodes that
-   keep a partner go on, in the finer components of the kept pairs.
+   the threshold (uniform prior, binomial likelihood) falls below 1e-6. Texts that are linked only through chains of other
+   texts are never compared. Only nodes that keep a partner go on, in the components of the kept pairs.
 4. Their texts are fetched (a fixed-size bitmap filters the second scan, so only they are shuffled),
    and every kept pair is verified exactly on its shingle sets. Pairs are never rows: a
    tile gives each node's number of links and a spanning set of links.
 5. Connected components of the verified links are the classes.
 
-A component larger than a block is dealt out as pairs of blocks over many tasks, so no group
+A bucket or component larger than a block is dealt out as pairs of blocks over many tasks, so no group
 is collected into one task; the work on one group of m mutually linked, different texts is m^2/2
 MinHash comparisons, which an exact number of links needs.
 
@@ -46,6 +46,7 @@ VALUES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-6
 BLOCK_NODES, BLOCK_SHINGLES = 4096, 1_000_000
+BUCKET_NODES = 1024       # nodes of one block of a bucket
 TILE = 512
 _SEEDS = np.random.Generator(np.random.PCG64(77)).integers(1, 2**64 - 1, (2, VALUES), dtype=np.uint64) | np.uint64(1)
 
@@ -163,7 +164,23 @@ def _units(nodes: DataFrame, comp: DataFrame, weight: str) -> DataFrame:
     here = nodes.join(comp, F.col("nid") == F.col("node")).drop("node")
     sizes = nodes.select("nid", weight).join(comp, F.col("nid") == F.col("node")).groupBy("comp").agg(F.count(F.lit(1)).alias("c"), F.sum(weight).alias("w")).select(
         "comp", F.greatest(F.ceil(F.col("c") / BLOCK_NODES), F.ceil(F.col("w") / BLOCK_SHINGLES), F.lit(1)).alias("k"))
-    dealt = here.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("nid"), "k"))
+    return _dealt(here.join(sizes, "comp"))
+
+
+def _bucket_units(nodes: DataFrame) -> DataFrame:
+    """The nodes of each bucket that more than one node is in, dealt out to units; of buckets with the same nodes one."""
+    bands = nodes.select("nid", F.posexplode(F.array(*[F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS) for b in range(BANDS)]))
+                         .alias("band", "part")).select("nid", F.xxhash64("band", "part").alias("key"))
+    buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("nid")).alias("x"),
+                                       F.bit_xor(F.xxhash64(F.lit(1), "nid")).alias("y")).filter("c > 1")
+    chosen = buckets.groupBy("c", "x", "y").agg(F.min("key").alias("comp")).select("comp", F.ceil(F.col("c") / BUCKET_NODES).alias("k"))
+    members = bands.join(chosen, F.col("key") == F.col("comp")).select("nid", "comp", "k")
+    return _dealt(nodes.select("nid", "sig").join(members, "nid"))
+
+
+def _dealt(here: DataFrame) -> DataFrame:
+    """Rows with ``k`` blocks in their component -> a row for each unit that their block is in."""
+    dealt = here.withColumn("block", F.pmod(F.xxhash64("nid"), "k"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1))
     dealt = dealt.withColumn("other", other)
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
@@ -341,12 +358,7 @@ def _classes(docs: DataFrame) -> DataFrame:
         rows.filter("n > 0").groupBy("d1", "d2").agg(F.min(me).alias("low"), F.count(F.lit(1)).alias("copies"),
                                                      F.max(F.struct("fp", "n", "sig")).alias("x"))
         .select(F.monotonically_increasing_id().alias("nid"), "d1", "d2", "low", "copies", "x.fp", "x.n", "x.sig"), "nodes")
-    bands = nodes.select("nid", F.posexplode(F.array(*[F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS) for b in range(BANDS)]))
-                         .alias("band", "part")).select("nid", F.xxhash64("band", "part").alias("key"))
-    leads = bands.groupBy("key").agg(F.min("nid").alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    coarse = connected_components(bands.join(leads, "key").select(F.col("nid").alias("a"), F.col("lead").alias("b")))
-    kept = prune(_units(nodes.select("nid", "n", "sig"), coarse, "n"))
-    fine = connected_components(kept)
+    fine = connected_components(prune(_bucket_units(nodes)))
     wanted = nodes.join(fine, F.col("nid") == F.col("node")).select("nid", "fp")
     full = nodes.select("nid", "n", "sig", "copies").join(_with_shingles(docs, wanted), "nid")
     found = scratch_table(verify(_units(full, fine, "n")), "links")

@@ -117,6 +117,7 @@ def unique_ids(rows):
 def test_near_brute_force(docs_of, monkeypatch, tile):
     # tile 7: components are dealt out over many units
     monkeypatch.setattr(nearjoin, "BLOCK_NODES", tile)
+    monkeypatch.setattr(nearjoin, "BUCKET_NODES", tile)
     rows = corpus()
     df = docs_of(rows, nid=1, comp=2, sig="s", copies=0)
     assert rows_of(nearjoin.near_classes(df).collect()) == brute_near(rows)
@@ -181,3 +182,18 @@ def test_components(spark):
     got = {r.node: r.comp for r in components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert all(got[k] == 0 for k in range(301)) and all(got[1000 + k] == 1000 for k in range(50)) and got[5001] == 5000
     assert components.connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_chains_are_not_compared(docs_of, monkeypatch):
+    """400 texts of which neighbours share half of their shingles: chained buckets, no link, few comparisons."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in rng.integers(0, 10**6, 400 * 12 + 40)]
+    rows = [(k, " ".join(words[12 * k:12 * k + 36])) for k in range(400)]
+    df = docs_of(rows).repartition(4)
+    sig = nearjoin.sketch(df).select("doc_id", "sig").toPandas()
+    units = nearjoin._bucket_units(df.sparkSession.createDataFrame(sig.rename(columns={"doc_id": "nid"}), "nid bigint, sig binary"))
+    pairs = sum(n * (n - 1) // 2 for n in units.groupBy("comp", "lo", "hi").count().toPandas()["count"])
+    assert pairs < 3 * 400 and len(sig) == 400
+    got = nearjoin.near_classes(df).toPandas()
+    assert (got["class_size"] == 1).all() and (got["n_links"] == 0).all()
