@@ -280,6 +280,69 @@ def test_language_mixture(documents):
         assert len(langid.infer(t, langid.grams(texts[a]))[2]) == 1
 
 
+def plain_mixture(p, steps):
+    """EM for mixture proportions, a gram at a time."""
+    w = [1 / len(p)] * len(p)
+    for _ in range(steps):
+        new = [0.0] * len(p)
+        for g in range(len(p[0])):
+            total = sum(w[k] * p[k][g] for k in range(len(p)))
+            for k in range(len(p)):
+                new[k] += w[k] * p[k][g] / total / len(p[0])
+        done = max(abs(a - b) for a, b in zip(new, w)) < 1e-4
+        w = new
+        if done:
+            break
+    return w
+
+
+def plain_infer(table, grams_):
+    """The language set by penalised likelihood and its proportions, by plain loops over languages and grams."""
+    lp = [[float(row[g]) for g in grams_] for row in table]
+    single = [sum(x) for x in lp]
+    first = max(range(len(lp)), key=lambda k: single[k])
+    top = [max(x[g] for x in lp) for g in range(len(grams_))]
+    p = [[np.exp(x[g] - top[g]) for g in range(len(grams_))] for x in lp]
+    chosen, weights = [first], [1.0]
+    price = langid.PENALTY * 0.5 * np.log(max(len(grams_), 2))
+    while len(chosen) < len(p):
+        now = [sum(w * p[k][g] for w, k in zip(weights, chosen)) for g in range(len(grams_))]
+        best = None
+        for j in set(range(len(p))) - set(chosen):
+            w = 0.1
+            for _ in range(12):
+                new = np.mean([w * p[j][g] / now[g] / (1 - w + w * p[j][g] / now[g]) for g in range(len(grams_))])
+                stop, w = abs(new - w) < 1e-3, new
+                if stop:
+                    break
+            gain = sum(np.log(1 - w + w * p[j][g] / now[g]) for g in range(len(grams_)))
+            if best is None or gain > best[0]:
+                best = gain, j
+        if best[0] <= price:
+            break
+        chosen.append(best[1])
+        weights = plain_mixture([p[k] for k in chosen], 30)
+    return dict(zip(chosen, weights))
+
+
+def test_mixtures_against_plain_em(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    langs, table = langid.train(docs.filter(~langid.held_out()))
+    rows = [r.text for r in docs.orderBy("doc_id").limit(400).collect() if r.text]
+    texts = [t[:400] for t in rows[:40]] + [a[:300] + " " + b[:200] for a, b in zip(rows[40:60], rows[60:80])] + ["x", "zzz qqq", "a b c"]
+    several = 0
+    for t in texts:
+        g = langid.grams(t)
+        if not len(g):
+            continue
+        k, score, mix = langid.infer(table, g)
+        want = plain_infer(table, g.tolist())
+        assert sorted(mix) == sorted(want) and 0 <= score <= 1
+        assert all(abs(mix[j] - want[j]) < 1e-6 for j in mix) and k == max(want, key=want.get)
+        several += len(mix) > 1
+    assert several > 3
+
+
 # ------------------------------------------------------------------ pages
 
 def test_page_lines():
