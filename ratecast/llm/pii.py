@@ -39,7 +39,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_SPELLED = re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(]dot[\])] ?[A-Za-z]{2,24}){1,4}")
+_SPELLED = re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?[\[(]dot[\])] ?[A-Za-z]{2,}+)+")
 _NATIONAL = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9-])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -54,7 +54,7 @@ _CUES = {"email": "mail contact write reply", "ip": "ip address host server logi
          "name": "mr mrs ms dr name dear signed author"}
 _ANTI = "version build isbn invoice order sku ticket page section chapter model serial part ref revision".split()
 _WORD = re.compile(r"[a-z]+")
-_NAME = re.compile(r"\b(?:%s) [A-Z][a-z]{1,30}\b" % "|".join(_NAMES))
+_NAME = re.compile(r"\b(?:%s) [A-Z][a-z]++\b" % "|".join(_NAMES))
 
 
 def luhn(digits: str) -> bool:

@@ -537,3 +537,11 @@ def test_first_by_hash(spark):
     same = df.withColumn("h", F.lit(-2**63 + 5).cast("bigint")).unionByName(df.limit(10))          # one hash for nearly all rows
     assert len(first_by_hash(same, place, 48, ["h", "id"], 300)) == 300
     assert len(first_by_hash(df.limit(50), place, 48, ["h"], 300)) == 50
+
+
+def test_long_names_and_spelled_addresses():
+    assert pii._NAME.search("dear Anna " + "B" + "c" * 80 + " here").end() == 91
+    assert pii._NAME.search("Anna McDonald") is None and pii._NAME.search("Maria A") is None
+    m = pii._SPELLED.search("write " + "a" * 100 + " [at] " + "b" * 90 + " [dot] " + "c" * 40 + " (dot) uk now")
+    assert m[0].startswith("aaa") and m[0].endswith("uk")
+    pii._SPELLED.search("a" * 300_000 + " [at" + " (dot) x" * 50_000)
