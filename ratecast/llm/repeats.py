@@ -347,8 +347,9 @@ def marked_windows(segs: DataFrame, docs: DataFrame, grids: tuple[int, ...]) ->
     whole = one.filter("copies > 1").select("d1", "d2", F.lit(0).cast("bigint").alias("rel"), F.col("n").alias("cnt"))
     if not grids:
         return whole                                # windows alone: equal ones have equal digests
-    shared = one.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("copies").alias("least")).filter("kinds > 1 and least = 1")
-    need = scratch_table(one.join(shared.select("core", "kinds"), "core"), "shared-owners")
+    shared = scratch_table(one.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("copies").alias("least"))
+                           .filter("kinds > 1 and least = 1").select("core", "kinds"), "several")
+    need = scratch_table(one.join(shared, "core"), "shared-owners")
     few, many = need.filter(F.col("kinds") <= BUCKET), need.filter(F.col("kinds") > BUCKET)
     data = _bytes_for(few.select("t1", "t2", "core", "d1", "d2", "start", "n"), docs,
                       lambda text, w: [(w["core"], w["d1"], w["d2"], text[w["start"]:w["start"] + w["n"] + LENGTH - 1])], f"{_SEG}, data binary")
@@ -371,9 +372,10 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     texts = with_text_id(docs)
     runs = scratch_table(corpus_runs(docs), "runs")
     owned = runs.filter("core is not null")
-    twice = owned.groupBy("core").agg(F.sum("copies").alias("c")).filter("c > 1").select("core")
+    # written, so that the join below is one of two tables, which Spark can split where an owner is common
+    twice = scratch_table(owned.groupBy("core").agg(F.sum("copies").alias("c")).filter("c > 1").select("core"), "owners")
     # equal texts have the same rows: one row with all copies
-    # (dealt out by place before they are added up: rows of a common owner would meet in the task of the join)
+    # dealt out by place before they are added up: rows of a common owner would meet in the task of the join
     segs = scratch_table(owned.join(twice, "core").repartition("t1", "t2", "start")
                          .groupBy("core", "d1", "d2", "t1", "t2", "start", "n", "lead").agg(F.sum("copies").alias("copies")), "owned")
     marks = marked_windows(segs, texts, GRIDS)
