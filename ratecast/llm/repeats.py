@@ -374,10 +374,9 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     owned = runs.filter("core is not null")
     # written, so that the join below is one of two tables, which Spark can split where an owner is common
     twice = scratch_table(owned.groupBy("core").agg(F.sum("copies").alias("c")).filter("c > 1").select("core"), "owners")
-    # equal texts have the same rows: one row with all copies
-    # dealt out by place before they are added up: rows of a common owner would meet in the task of the join
-    segs = scratch_table(owned.join(twice, "core").repartition("t1", "t2", "start")
-                         .groupBy("core", "d1", "d2", "t1", "t2", "start", "n", "lead").agg(F.sum("copies").alias("copies")), "owned")
+    # equal texts have the same rows: one row with all copies, added up before anything meets by owner
+    alike = owned.groupBy("core", "d1", "d2", "t1", "t2", "start", "n", "lead").agg(F.sum("copies").alias("copies"))
+    segs = scratch_table(alike.join(twice, "core"), "owned")
     marks = marked_windows(segs, texts, GRIDS)
     found = marks.join(segs.select("d1", "d2", "t1", "t2", "start"), ["d1", "d2"]).select(
         "t1", "t2", (F.col("start") + F.col("rel")).alias("start"), "cnt")
