@@ -20,7 +20,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
                       .distinct(), "edges")
     while not _stars(e):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        # written, so that the join below is one of two tables, which Spark can split at the middle of a large star
+        low = scratch_table(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "low")
         # large star: every larger neighbour of a goes to the smallest of a and its neighbours
         big = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         # small star: a and its smaller neighbours go to the smallest neighbour (a repeated edge does no harm before distinct)
