@@ -1,4 +1,3 @@
-import re
 from collections import Counter
 from hashlib import sha256
 
