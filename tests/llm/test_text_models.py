@@ -458,6 +458,29 @@ def test_extract_template_heavy_pages_and_copies(spark):
     assert wrong == [], (len(wrong), wrong[:5])
 
 
+def test_extract_every_section_has_its_template(spark):
+    # many sections with menus of their own on one host, and one page of each without its menu's end
+    rows, want = [], {}
+    for s in range(25):
+        menu = [f"section {s} entry {k} of the long menu" for k in range(40)]
+        for k in range(24):
+            text = [f"s{s} p{k} line {j}" for j in range(4)]
+            want[len(rows)] = "\n\n".join(text)
+            rest = menu[20:] if k != 10 else []
+            rows.append((len(rows), f"http://many.org/{s:02d}/{k:02d}", "".join(f"<div>{x}</div>" for x in menu[:20] + text + rest)))
+    df = spark.createDataFrame(rows, PAGES).repartition(6)
+    got = {r.page_id: r.text for r in pagediff.extract(df).collect()}
+    wrong = [(rows[k][1], got[k][:60]) for k in want if got[k] != want[k]]
+    assert wrong == [], (len(wrong), wrong[:5])
+
+
+def test_template_level():
+    assert pagediff.template_level([9] * 2 + [0] * 18) == 9 * pagediff.TEMPLATE and pagediff.template_level([9] + [0] * 19) is None
+    assert pagediff.template_level([2] * 20) is None
+    a, b = ["m"] * 9 + ["a"], ["m"] * 9 + ["b"]
+    assert pagediff.are_copies(a, b, [0] * 10, [0] * 10) and not pagediff.are_copies(a, b, [5] * 9 + [0], [5] * 9 + [0])
+
+
 def test_extract_same_for_any_partitions(spark):
     rng = random.Random(9)
     stories = [[f"{s}.{k} " + " ".join(rng.choice("amber birch cedar delta ember fjord".split()) for _ in range(9)) for k in range(6)] for s in range(25)]
